@@ -11,7 +11,9 @@ the overwrite never deletes its own input.
 
 from __future__ import annotations
 
+import posixpath
 from dataclasses import dataclass
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,9 +45,14 @@ class Catalog:
         return df.drop(BATCH) if BATCH in df.columns else df
 
 
+def _path_part(uri: str) -> str:
+    """Path component only: a match on another file system costs at most an extra checkpoint."""
+    return posixpath.normpath(urlparse(uri).path or uri)
+
+
 def _reads_from(df: DataFrame, path: str) -> bool:
-    target = path.rstrip("/").removeprefix("file:")
-    return any(f.removeprefix("file:").startswith(target + "/") for f in df.inputFiles())
+    target = _path_part(path)
+    return any(_path_part(f).startswith(target + "/") for f in df.inputFiles())
 
 
 def write_table(df: DataFrame, path: str, mode: str = "delete", batch_id: str | int = 0) -> None:

@@ -1,0 +1,3 @@
+from starloom.streaming.incremental import stage_new_files
+
+__all__ = ["stage_new_files"]

@@ -1,0 +1,26 @@
+import os
+
+from starloom import schemas as S
+from starloom.plans.tables import Catalog
+from starloom.streaming import stage_new_files
+
+HEADER = "date|price|market_cap|total_volumes|coin\n"
+
+
+def _drop(d, name, rows):
+    os.makedirs(d, exist_ok=True)
+    with open(f"{d}/{name}", "w") as f:
+        f.write(HEADER + "".join(rows))
+
+
+def test_each_file_is_staged_once(spark, tmp_dir):
+    landing, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/ckpt"
+    cat = Catalog(spark, f"{tmp_dir}/wh")
+    target = cat.path("crypto.cg_hourly_stg")
+    _drop(landing, "a.csv", ["2017-01-01 00:00:00|1|2|3|a\n", "2017-01-01 04:00:00|1|2|3|b\n"])
+    assert stage_new_files(spark, landing, S.HOURLY_STG, target, ckpt) == 1
+    assert stage_new_files(spark, landing, S.HOURLY_STG, target, ckpt) == 0  # nothing new
+    _drop(landing, "b.csv", ["2017-01-02 00:00:00|5|6|7|c\n"])
+    stage_new_files(spark, landing, S.HOURLY_STG, target, ckpt)
+    rows = cat.read("crypto.cg_hourly_stg").collect()
+    assert sorted(r["coin"] for r in rows) == ["a", "b", "c"]

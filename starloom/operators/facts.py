@@ -35,23 +35,41 @@ def coin_aliases(coin_dim: DataFrame, alias_cols: Sequence[str], upper: bool) ->
 
 
 def match_coins(
-    stg: DataFrame, coin_dim: DataFrame, stg_col: str, alias_cols: Sequence[str], upper: bool
+    stg: DataFrame, coin_dim: DataFrame, stg_col: str, alias_cols: Sequence[str], upper: bool,
+    broadcast: bool | None = None,
 ) -> DataFrame:
-    """Inner join of staging rows to every coin whose alias equals ``stg_col``."""
-    aliases = maybe_broadcast(coin_aliases(coin_dim, alias_cols, upper))
+    """Inner join of staging rows to every coin whose alias equals ``stg_col``.
+
+    ``broadcast=None`` checks the alias list's row bound here; a caller that has
+    already bounded the coin list (e.g. on the raw file) passes the answer.
+    """
+    aliases = coin_aliases(coin_dim, alias_cols, upper)
+    if broadcast is None:
+        aliases = maybe_broadcast(aliases)
+    elif broadcast:
+        aliases = F.broadcast(aliases)
     key: Column = F.upper(stg[stg_col]) if upper else stg[stg_col]
     return stg.join(aliases, key == aliases[_ALIAS]).drop(_ALIAS)
 
 
-def _with_date_key(matched: DataFrame, ts_col: str, date_dim: DataFrame) -> DataFrame:
+def _with_date_key(matched: DataFrame, ts_col: str, date_dim: DataFrame, date_mode: str = "bag") -> DataFrame:
+    """J1. In bag mode the dimension has one row per staging row, so it grows
+    with the data and is never a broadcast candidate; it is joined by a
+    sort-merge join on ``date``, whose skewed partitions (hot timestamps)
+    adaptive execution splits. In set mode Spark picks the strategy by size."""
     dd = date_dim.select(F.col("date_key"), F.col("date").alias("_dd_date"))
+    if date_mode == "bag":
+        dd = dd.hint("merge")
     return matched.join(dd, matched[ts_col] == dd["_dd_date"]).drop("_dd_date")
 
 
-def build_coin_stats_hist(hourly_stg: DataFrame, date_dim: DataFrame, coin_dim: DataFrame) -> DataFrame:
+def build_coin_stats_hist(
+    hourly_stg: DataFrame, date_dim: DataFrame, coin_dim: DataFrame, date_mode: str = "bag",
+    broadcast_coins: bool | None = None,
+) -> DataFrame:
     """Hourly statistics per coin: case-insensitive match on coin id OR name."""
-    m = match_coins(hourly_stg, coin_dim, "coin", ["coin_id", "name"], upper=True)
-    m = _with_date_key(m, "date", date_dim).where(F.col("name").isNotNull())
+    m = match_coins(hourly_stg, coin_dim, "coin", ["coin_id", "name"], upper=True, broadcast=broadcast_coins)
+    m = _with_date_key(m, "date", date_dim, date_mode).where(F.col("name").isNotNull())
     return m.select(
         "date_key", "coin_key", "date",
         F.col("name").alias("coin_name"), F.col("symbol").alias("coin_symbol"),
@@ -59,20 +77,26 @@ def build_coin_stats_hist(hourly_stg: DataFrame, date_dim: DataFrame, coin_dim:
     ).select(*COIN_STATS_HIST.names)
 
 
-def build_coin_stats_hist_by_id(hourly_stg: DataFrame, date_dim: DataFrame, coin_dim: DataFrame) -> DataFrame:
+def build_coin_stats_hist_by_id(
+    hourly_stg: DataFrame, date_dim: DataFrame, coin_dim: DataFrame, date_mode: str = "bag",
+    broadcast_coins: bool | None = None,
+) -> DataFrame:
     """Older rule: exact ``coin = coin_id`` only, no symbol column."""
-    m = match_coins(hourly_stg, coin_dim, "coin", ["coin_id"], upper=False)
-    m = _with_date_key(m, "date", date_dim).where(F.col("name").isNotNull())
+    m = match_coins(hourly_stg, coin_dim, "coin", ["coin_id"], upper=False, broadcast=broadcast_coins)
+    m = _with_date_key(m, "date", date_dim, date_mode).where(F.col("name").isNotNull())
     return m.select(
         "date_key", "coin_key", "date", F.col("name").alias("coin_name"),
         "price", "market_cap", "total_volumes",
     ).select(*COIN_STATS_HIST_BY_ID.names)
 
 
-def build_tweets_hist(tweets_stg: DataFrame, date_dim: DataFrame, coin_dim: DataFrame) -> DataFrame:
+def build_tweets_hist(
+    tweets_stg: DataFrame, date_dim: DataFrame, coin_dim: DataFrame, date_mode: str = "bag",
+    broadcast_coins: bool | None = None,
+) -> DataFrame:
     """Tweets per coin: case-sensitive match on name OR symbol."""
-    m = match_coins(tweets_stg, coin_dim, "crypto", ["name", "symbol"], upper=False)
-    m = _with_date_key(m, "datetime", date_dim).where(F.col("tweet_id").isNotNull())
+    m = match_coins(tweets_stg, coin_dim, "crypto", ["name", "symbol"], upper=False, broadcast=broadcast_coins)
+    m = _with_date_key(m, "datetime", date_dim, date_mode).where(F.col("tweet_id").isNotNull())
     return m.select(
         "date_key", "coin_key", F.col("datetime").alias("date"), "tweet_id",
         F.col("name").alias("coin_name"), F.col("text").alias("tweet"),

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.session import shuffle_partitions
 
@@ -24,6 +25,22 @@ def _cols(order_by: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_by]
 
 
+def _row_count(df: DataFrame) -> Column:
+    """Row count that depends on every column of ``df``.
+
+    A plain ``count(1)`` lets column pruning give the counting branch a
+    narrower copy of the input plan, which then cannot share the main branch's
+    range exchange and computes the whole input a second time. Summing
+    ``pmod(hash(all columns), 1) + 1`` is still the row count, but the optimizer
+    cannot drop the columns, the two plans stay identical and adaptive
+    execution runs the exchange once.
+    """
+    if not df.columns or any(isinstance(f.dataType, T.MapType) for f in df.schema.fields):
+        return F.count(F.lit(1))
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    return F.sum(F.pmod(F.xxhash64(*cols), F.lit(1)) + 1)
+
+
 def with_surrogate_key(
     df: DataFrame,
     name: str,
@@ -47,7 +64,7 @@ def with_surrogate_key(
             F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33),
         )
     )
-    counts = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
+    counts = numbered.groupBy(_PID).agg(_row_count(df).alias(_N))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
     first = start if isinstance(start, Column) else F.lit(start)

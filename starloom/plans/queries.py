@@ -8,6 +8,7 @@ round trips write to a fresh folder under the cluster's checkpoint directory.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from starloom.operators import quality as Q
 from starloom.operators.conform import conform
 from starloom.operators.dims import build_coin_dim, build_date_dim, build_date_dim_from_sources
 from starloom.operators.facts import build_coin_stats_hist, build_coin_stats_hist_by_id, build_tweets_hist
+from starloom.operators.joins import BROADCAST_MAX_ROWS, fits
 from starloom.operators.filters import coin_subset, last_n_days, time_range
 from starloom.operators.keys import append_with_keys, with_surrogate_key
 from starloom.plans import fixtures as fx
@@ -34,7 +36,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Model:
-    """The staging frames, dimensions and facts of one run, built lazily."""
+    """The staging frames, dimensions and facts of one run, as lazy plans.
+
+    Dimension keys are deterministic because every order key ends in a unique
+    id, so each branch of a plan that recomputes a dimension sees the same keys.
+    The coin list is bounded once, on the raw list, for the broadcast decision.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, date_mode: str = "bag"):
         configure(spark)
@@ -42,14 +49,25 @@ class Model:
         st = fx.staging(spark, sf_dir)
         self.coin_stg, self.hourly_src, self.tweets_stg = st["coin_stg"], st["hourly_stg"], st["tweets_stg"]
         self.hourly_stg = self.hourly_src.drop("src_id")
-        self.coin_dim = build_coin_dim(self.coin_stg)
-        self.date_dim = build_date_dim_from_sources(self.tweets_stg, self.hourly_src, date_mode)
+
+    @cached_property
+    def coin_dim(self) -> DataFrame:
+        return build_coin_dim(self.coin_stg)
+
+    @cached_property
+    def date_dim(self) -> DataFrame:
+        return build_date_dim_from_sources(self.tweets_stg, self.hourly_src, self.date_mode)
+
+    @cached_property
+    def small_coin_list(self) -> bool:
+        # Each coin yields at most two aliases.
+        return fits(self.coin_stg, BROADCAST_MAX_ROWS // 2)
 
     def coin_stats(self) -> DataFrame:
-        return build_coin_stats_hist(self.hourly_src, self.date_dim, self.coin_dim)
+        return build_coin_stats_hist(self.hourly_src, self.date_dim, self.coin_dim, self.date_mode, self.small_coin_list)
 
     def tweets(self) -> DataFrame:
-        return build_tweets_hist(self.tweets_stg, self.date_dim, self.coin_dim)
+        return build_tweets_hist(self.tweets_stg, self.date_dim, self.coin_dim, self.date_mode, self.small_coin_list)
 
 
 # -- sources ---------------------------------------------------------------
@@ -169,7 +187,7 @@ def q_coin_stats_hist_set(spark, sf_dir):
 
 def q_coin_stats_hist_by_id(spark, sf_dir):
     m = Model(spark, sf_dir, "bag")
-    return build_coin_stats_hist_by_id(m.hourly_src, m.date_dim, m.coin_dim)
+    return build_coin_stats_hist_by_id(m.hourly_src, m.date_dim, m.coin_dim, m.date_mode, m.small_coin_list)
 
 
 def q_tweets_hist(spark, sf_dir):

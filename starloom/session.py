@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed runtime settings (see SURVEY §7.5):
 #   zone-less calendar maths in UTC, ANSI casts that raise on overflow,
@@ -52,6 +52,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/starloom-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Used for keyed dimensions that feed several branches of a plan: the keys are
+    computed once (every branch sees the same ones), lineage is cut (a lost
+    executor re-reads the table instead of recomputing the numbering), and later
+    size checks read a small file instead of re-running the plan.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -61,4 +75,4 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["configure", "checkpoint_dir", "scratch_path", "shuffle_partitions", "local_path"]
+__all__ = ["configure", "checkpoint_dir", "scratch_path", "materialize", "shuffle_partitions", "local_path"]

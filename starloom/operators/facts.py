@@ -63,18 +63,25 @@ def _with_date_key(matched: DataFrame, ts_col: str, date_dim: DataFrame, date_mo
     return matched.join(dd, matched[ts_col] == dd["_dd_date"]).drop("_dd_date")
 
 
+def coin_stats_matches(
+    hourly_stg: DataFrame, coin_dim: DataFrame, broadcast_coins: bool | None = None
+) -> DataFrame:
+    """The rows of ``coin_stats_hist`` before the date join: each hourly row once
+    per matching coin (case-insensitive coin id OR name), without ``date_key``."""
+    m = match_coins(hourly_stg, coin_dim, "coin", ["coin_id", "name"], upper=True, broadcast=broadcast_coins)
+    return m.where(F.col("name").isNotNull()).select(
+        "coin_key", "date", F.col("name").alias("coin_name"), F.col("symbol").alias("coin_symbol"),
+        "price", "market_cap", "total_volumes",
+    )
+
+
 def build_coin_stats_hist(
     hourly_stg: DataFrame, date_dim: DataFrame, coin_dim: DataFrame, date_mode: str = "bag",
     broadcast_coins: bool | None = None,
 ) -> DataFrame:
     """Hourly statistics per coin: case-insensitive match on coin id OR name."""
-    m = match_coins(hourly_stg, coin_dim, "coin", ["coin_id", "name"], upper=True, broadcast=broadcast_coins)
-    m = _with_date_key(m, "date", date_dim, date_mode).where(F.col("name").isNotNull())
-    return m.select(
-        "date_key", "coin_key", "date",
-        F.col("name").alias("coin_name"), F.col("symbol").alias("coin_symbol"),
-        "price", "market_cap", "total_volumes",
-    ).select(*COIN_STATS_HIST.names)
+    m = _with_date_key(coin_stats_matches(hourly_stg, coin_dim, broadcast_coins), "date", date_dim, date_mode)
+    return m.select(*COIN_STATS_HIST.names)
 
 
 def build_coin_stats_hist_by_id(

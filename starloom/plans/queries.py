@@ -19,8 +19,13 @@ from starloom.functions.calendar import epoch_millis, iso_text, millis_to_timest
 from starloom.operators import analysis as A
 from starloom.operators import quality as Q
 from starloom.operators.conform import conform
-from starloom.operators.dims import build_coin_dim, build_date_dim, build_date_dim_from_sources
-from starloom.operators.facts import build_coin_stats_hist, build_coin_stats_hist_by_id, build_tweets_hist
+from starloom.operators.dims import build_coin_dim, build_date_dim, build_date_dim_from_sources, date_rows
+from starloom.operators.facts import (
+    build_coin_stats_hist,
+    build_coin_stats_hist_by_id,
+    build_tweets_hist,
+    coin_stats_matches,
+)
 from starloom.operators.joins import BROADCAST_MAX_ROWS, fits
 from starloom.operators.filters import coin_subset, last_n_days, time_range
 from starloom.operators.keys import append_with_keys, with_surrogate_key
@@ -63,6 +68,10 @@ class Model:
         # Each coin yields at most two aliases.
         return fits(self.coin_stg, BROADCAST_MAX_ROWS // 2)
 
+    def coin_matches(self) -> DataFrame:
+        """Fact rows before the date join (``coin_stats_hist`` without ``date_key``)."""
+        return coin_stats_matches(self.hourly_src, self.coin_dim, self.small_coin_list)
+
     def coin_stats(self) -> DataFrame:
         return build_coin_stats_hist(self.hourly_src, self.date_dim, self.coin_dim, self.date_mode, self.small_coin_list)
 
@@ -218,23 +227,29 @@ def q_same_time_top5(spark, sf_dir):
 # -- aggregates and orderings ---------------------------------------------
 
 def q_monthly_price_stats(spark, sf_dir):
-    return A.monthly_price_stats(Model(spark, sf_dir, "bag").coin_stats())
+    """A1 over the bag-mode fact, computed without building the fan-out: MIN/MAX
+    are equal over the coin-matched staging rows (see ``analysis``)."""
+    return A.monthly_price_stats(Model(spark, sf_dir, "bag").coin_matches())
 
 
 def q_monthly_price_stats_set(spark, sf_dir):
-    return A.monthly_price_stats(Model(spark, sf_dir, "set").coin_stats())
+    return A.monthly_price_stats(Model(spark, sf_dir, "set").coin_matches())
 
 
 def q_monthly_price_minmax(spark, sf_dir):
-    return A.monthly_price_minmax(Model(spark, sf_dir, "bag").coin_stats())
+    return A.monthly_price_minmax(Model(spark, sf_dir, "bag").coin_matches())
 
 
 def q_monthly_price_avg(spark, sf_dir):
-    return A.monthly_price_avg(Model(spark, sf_dir, "bag").coin_stats())
+    """A3 over the bag-mode fact: staging rows weighted by their timestamp's
+    dimension-row count instead of materialising the fan-out."""
+    m = Model(spark, sf_dir, "bag")
+    mult = A.date_multiplicity(date_rows(m.tweets_stg, m.hourly_src))
+    return A.monthly_price_avg_weighted(m.coin_matches(), mult)
 
 
 def q_monthly_price_avg_set(spark, sf_dir):
-    return A.monthly_price_avg(Model(spark, sf_dir, "set").coin_stats())
+    return A.monthly_price_avg_weighted(Model(spark, sf_dir, "set").coin_matches(), None)
 
 
 def q_monthly_sorted(spark, sf_dir):

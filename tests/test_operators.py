@@ -221,3 +221,22 @@ def test_top_k_and_preview_are_ordered(spark):
     df = spark.range(100).select((F.col("id") * 37 % 100).alias("v"))
     assert [r["v"] for r in A.top_k(df, 3).collect()] == [0, 1, 2]
     assert [r["v"] for r in A.preview(df, 2).collect()] == [0, 1]
+
+
+def test_linear_monthly_stats_equal_the_fan_out(spark):
+    from starloom.operators.dims import date_rows
+    from starloom.operators.facts import coin_stats_matches
+
+    m = fx.staging(spark, SF)
+    coin_dim = build_coin_dim(m["coin_stg"])
+    dd = build_date_dim_from_sources(m["tweets_stg"], m["hourly_stg"], "bag")
+    fact = build_coin_stats_hist(m["hourly_stg"], dd, coin_dim)
+    matches = coin_stats_matches(m["hourly_stg"], coin_dim)
+
+    def same(a, b):
+        return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    assert same(A.monthly_price_stats(fact), A.monthly_price_stats(matches))
+    assert same(A.monthly_price_stats(fact, dd), A.monthly_price_stats(fact))
+    mult = A.date_multiplicity(date_rows(m["tweets_stg"], m["hourly_stg"]))
+    assert same(A.monthly_price_avg(fact), A.monthly_price_avg_weighted(matches, mult))

@@ -23,7 +23,7 @@ SNAPSHOTS_PER_DAY = 6
 NULL_COIN_NATION = 24        # this nation's coin has no id
 TURNS_PER_ORDER_BLOCK = 8    # conversation turn t of conversation c -> order c*8 + t
 TWEET_ID_FACTOR = 1000       # tweet_id = conv_id * 1000 + turn
-CHART_POINTS = 64            # market-chart documents hold at most 64 snapshots
+CHART_ID_BLOCK = 4096        # a market-chart document covers one coin in a block of 4096 order ids
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,15 +95,16 @@ def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def market_chart_docs(hourly: DataFrame) -> DataFrame:
     """Market-chart documents (coin, chunk, prices, market_caps, total_volumes) of
-    ``[epoch ms, value]`` pairs, at most ``CHART_POINTS`` snapshots each, grouped by
-    coin and a block of source ids so that no document grows with the data."""
+    ``[epoch ms, value]`` pairs: one per coin and block of ``CHART_ID_BLOCK``
+    source ids, so no document holds more than that many snapshots however
+    large the data grows."""
     ms = epoch_millis("date").cast("double")
 
     def series(v: str):
         pts = F.collect_list(F.struct(F.col("src_id").alias("i"), F.array(ms, F.col(v).cast("double")).alias("p")))
         return F.transform(F.array_sort(pts), lambda s: s["p"])
 
-    return hourly.groupBy("coin", F.floor(F.col("src_id") / CHART_POINTS).alias("chunk")).agg(
+    return hourly.groupBy("coin", F.floor(F.col("src_id") / CHART_ID_BLOCK).alias("chunk")).agg(
         series("price").alias("prices"),
         series("market_cap").alias("market_caps"),
         series("total_volumes").alias("total_volumes"),

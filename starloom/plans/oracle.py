@@ -135,9 +135,9 @@ SQL: dict[str, str] = {
     "stage_parquet": _with() + "SELECT * FROM tweets_stg",
     "read_documents": _with() + "SELECT * FROM tweets_stg WHERE crypto = 'R1'",
     "flatten_market_chart": _with(
-        """p AS (SELECT coin, src_id // 64 AS chunk, "date", CAST(price AS DOUBLE) AS price FROM hourly_src),
-m AS (SELECT coin, src_id // 64 AS chunk, "date", CAST(market_cap AS DOUBLE) AS market_cap FROM hourly_src),
-v AS (SELECT coin, src_id // 64 AS chunk, "date", CAST(total_volumes AS DOUBLE) AS total_volumes FROM hourly_src)"""
+        """p AS (SELECT coin, src_id // 4096 AS chunk, "date", CAST(price AS DOUBLE) AS price FROM hourly_src),
+m AS (SELECT coin, src_id // 4096 AS chunk, "date", CAST(market_cap AS DOUBLE) AS market_cap FROM hourly_src),
+v AS (SELECT coin, src_id // 4096 AS chunk, "date", CAST(total_volumes AS DOUBLE) AS total_volumes FROM hourly_src)"""
     ) + """SELECT p."date", p.price, m.market_cap, v.total_volumes, p.coin
 FROM p JOIN m ON p.coin = m.coin AND p.chunk = m.chunk AND p."date" = m."date"
 JOIN v ON p.coin = v.coin AND p.chunk = v.chunk AND p."date" = v."date\"""",

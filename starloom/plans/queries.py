@@ -304,9 +304,7 @@ def q_null_key_report(spark, sf_dir):
 def q_fk_orphans(spark, sf_dir):
     m = Model(spark, sf_dir, "bag")
     dims = {"coin_key": m.coin_dim, "date_key": m.date_dim}
-    return Q.fk_orphan_report(m.coin_stats(), "coin_stats_hist", dims).unionByName(
-        Q.fk_orphan_report(m.tweets(), "tweets_hist", dims)
-    )
+    return Q.fk_orphan_report({"coin_stats_hist": m.coin_stats(), "tweets_hist": m.tweets()}, dims)
 
 
 def q_csv_roundtrip(spark, sf_dir):

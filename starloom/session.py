@@ -22,7 +22,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.csv.parser.columnPruning.enabled": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

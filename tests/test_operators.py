@@ -93,10 +93,16 @@ def test_date_dim_plan_has_no_single_partition_exchange_over_rows(spark):
     st_ = fx.staging(spark, SF)
     dd = build_date_dim_from_sources(st_["tweets_stg"], st_["hourly_stg"], "bag")
     dd.collect()
-    plan = plan_text(dd)
-    # The only single-partition step is over the per-partition counts.
-    assert "rangepartitioning" in plan
-    assert "BroadcastNestedLoopJoin" not in plan
+    lines = plan_text(dd).split("\n")
+    assert any("rangepartitioning" in ln for ln in lines)
+    assert not any("BroadcastNestedLoopJoin" in ln for ln in lines)
+    # Every single-partition exchange sits on the per-partition counts (one row
+    # per range partition), never on row data.
+    singles = [i for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
+    assert singles
+    for i in singles:
+        below = next(ln for ln in lines[i + 1:] if "HashAggregate" in ln or "Scan" in ln or "Exchange" in ln)
+        assert "HashAggregate(keys=[_sk_pid" in below, below
 
 
 # -- calendar --------------------------------------------------------------

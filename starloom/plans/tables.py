@@ -60,8 +60,12 @@ def write_table(df: DataFrame, path: str, mode: str = "delete", batch_id: str |
     spark = df.sparkSession
     configure(spark)
     if _reads_from(df, path):
+        # Copy to the shared checkpoint folder first; persisting lets the
+        # checkpoint job reuse what its counting job computed.
         checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)
+        src = df.persist()
+        df = src.checkpoint(eager=True)
+        src.unpersist()
     out = df.withColumn(BATCH, F.lit(str(batch_id)))
     writer = out.write.partitionBy(BATCH).mode("overwrite")
     if mode == "delete":

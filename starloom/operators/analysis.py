@@ -139,6 +139,46 @@ def same_time(
     return j.select("date", "coin_symbol", "tweet", "price", "market_cap", "total_volumes")
 
 
+def same_time_from_matches(
+    stats_matches: DataFrame, tweet_matches: DataFrame, multiplicity: DataFrame | None
+) -> DataFrame:
+    """J5 without building the facts.
+
+    A fact row's ``date_key`` names a dimension row with the same ``date``, and
+    the output carries no other dimension attribute. So the fact join yields,
+    for each (date, coin), every pair of matched price and tweet rows once per
+    dimension row at that timestamp. Join the unfanned matches on
+    ``(date, coin_key)`` and repeat each pair by the timestamp's multiplicity
+    (bag mode; ``None`` = set mode, once). The bag equals ``same_time`` over the
+    facts, without surrogate keys or the per-fact fan-out.
+    """
+    s = stats_matches.select("date", "coin_key", "coin_symbol", "price", "market_cap", "total_volumes")
+    t = tweet_matches.select("date", "coin_key", "tweet")
+    j = s.join(t, ["date", "coin_key"])
+    if multiplicity is not None:
+        j = repeat_rows(j.join(multiplicity, "date"), "dim_rows")
+    return j.select("date", "coin_symbol", "tweet", "price", "market_cap", "total_volumes")
+
+
+REPEAT_BLOCK = 4096
+
+
+def repeat_rows(df: DataFrame, count_col: str, block: int = REPEAT_BLOCK) -> DataFrame:
+    """Each row ``count_col`` times (rows with a count below 1 are dropped).
+
+    Copies are made in blocks: one row per block of at most ``block`` copies,
+    rebalanced by adaptive execution (skewed partitions are split), then
+    expanded. No array grows past ``max(count / block, block)`` and the copies
+    of a hot row are spread over many tasks instead of one.
+    """
+    n = F.col(count_col).cast("long")
+    last = F.floor((n - 1) / block).cast("long")
+    blocks = df.where(n > 0).select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_blk"))
+    blocks = blocks.hint("rebalance")
+    size = F.least(F.lit(block).cast("long"), n - F.col("_blk") * block).cast("int")
+    return blocks.select("*", F.explode(F.array_repeat(F.lit(0), size)).alias("_rep")).drop("_blk", "_rep")
+
+
 def top_k(df: DataFrame, k: int = 5) -> DataFrame:
     """``... LIMIT k`` ordered by every output column (O4), planned as a top-k."""
     return df.orderBy(*df.columns).limit(k)

@@ -97,15 +97,23 @@ def build_coin_stats_hist_by_id(
     ).select(*COIN_STATS_HIST_BY_ID.names)
 
 
+def tweets_matches(
+    tweets_stg: DataFrame, coin_dim: DataFrame, broadcast_coins: bool | None = None
+) -> DataFrame:
+    """The rows of ``snscrape_tweets_hist`` before the date join: each tweet once
+    per matching coin (case-sensitive name OR symbol), without ``date_key``."""
+    m = match_coins(tweets_stg, coin_dim, "crypto", ["name", "symbol"], upper=False, broadcast=broadcast_coins)
+    return m.where(F.col("tweet_id").isNotNull()).select(
+        "coin_key", F.col("datetime").alias("date"), "tweet_id",
+        F.col("name").alias("coin_name"), F.col("text").alias("tweet"),
+        "username", F.col("crypto").alias("search_term"),
+    )
+
+
 def build_tweets_hist(
     tweets_stg: DataFrame, date_dim: DataFrame, coin_dim: DataFrame, date_mode: str = "bag",
     broadcast_coins: bool | None = None,
 ) -> DataFrame:
     """Tweets per coin: case-sensitive match on name OR symbol."""
-    m = match_coins(tweets_stg, coin_dim, "crypto", ["name", "symbol"], upper=False, broadcast=broadcast_coins)
-    m = _with_date_key(m, "datetime", date_dim, date_mode).where(F.col("tweet_id").isNotNull())
-    return m.select(
-        "date_key", "coin_key", F.col("datetime").alias("date"), "tweet_id",
-        F.col("name").alias("coin_name"), F.col("text").alias("tweet"),
-        "username", F.col("crypto").alias("search_term"),
-    ).select(*TWEETS_HIST.names)
+    m = _with_date_key(tweets_matches(tweets_stg, coin_dim, broadcast_coins), "date", date_dim, date_mode)
+    return m.select(*TWEETS_HIST.names)

@@ -25,6 +25,7 @@ from starloom.operators.facts import (
     build_coin_stats_hist_by_id,
     build_tweets_hist,
     coin_stats_matches,
+    tweets_matches,
 )
 from starloom.operators.joins import BROADCAST_MAX_ROWS, fits
 from starloom.operators.filters import coin_subset, last_n_days, time_range
@@ -72,6 +73,16 @@ class Model:
         """Fact rows before the date join (``coin_stats_hist`` without ``date_key``)."""
         return coin_stats_matches(self.hourly_src, self.coin_dim, self.small_coin_list)
 
+    def tweet_matches(self) -> DataFrame:
+        """Fact rows before the date join (``snscrape_tweets_hist`` without ``date_key``)."""
+        return tweets_matches(self.tweets_stg, self.coin_dim, self.small_coin_list)
+
+    def multiplicity(self) -> DataFrame | None:
+        """Dimension rows per timestamp in bag mode; ``None`` in set mode (one each)."""
+        if self.date_mode == "set":
+            return None
+        return A.date_multiplicity(date_rows(self.tweets_stg, self.hourly_src))
+
     def coin_stats(self) -> DataFrame:
         return build_coin_stats_hist(self.hourly_src, self.date_dim, self.coin_dim, self.date_mode, self.small_coin_list)
 
@@ -208,8 +219,9 @@ def q_tweets_hist_set(spark, sf_dir):
 
 
 def _same_time(spark, sf_dir, mode):
+    """J5 over the facts, computed from the unfanned matches (``same_time_from_matches``)."""
     m = Model(spark, sf_dir, mode)
-    return A.same_time(m.coin_stats(), m.tweets())
+    return A.same_time_from_matches(m.coin_matches(), m.tweet_matches(), m.multiplicity())
 
 
 def q_same_time(spark, sf_dir):
@@ -244,8 +256,7 @@ def q_monthly_price_avg(spark, sf_dir):
     """A3 over the bag-mode fact: staging rows weighted by their timestamp's
     dimension-row count instead of materialising the fan-out."""
     m = Model(spark, sf_dir, "bag")
-    mult = A.date_multiplicity(date_rows(m.tweets_stg, m.hourly_src))
-    return A.monthly_price_avg_weighted(m.coin_matches(), mult)
+    return A.monthly_price_avg_weighted(m.coin_matches(), m.multiplicity())
 
 
 def q_monthly_price_avg_set(spark, sf_dir):

@@ -246,3 +246,26 @@ def test_linear_monthly_stats_equal_the_fan_out(spark):
     assert same(A.monthly_price_stats(fact, dd), A.monthly_price_stats(fact))
     mult = A.date_multiplicity(date_rows(m["tweets_stg"], m["hourly_stg"]))
     assert same(A.monthly_price_avg(fact), A.monthly_price_avg_weighted(matches, mult))
+
+
+def test_repeat_rows_in_blocks(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 3), ("c", 0), ("d", 10)], "k string, n long")
+    out = A.repeat_rows(df, "n", block=4).groupBy("k").count().collect()
+    assert {r["k"]: r["count"] for r in out} == {"a": 1, "b": 3, "d": 10}
+    assert A.repeat_rows(df, "n", block=4).columns == ["k", "n"]
+
+
+def test_same_time_from_matches_equals_fact_join(spark):
+    from starloom.operators.dims import date_rows
+    from starloom.operators.facts import coin_stats_matches, tweets_matches
+
+    m = fx.staging(spark, SF)
+    coin_dim = build_coin_dim(m["coin_stg"])
+    for mode in ("bag", "set"):
+        dd = build_date_dim_from_sources(m["tweets_stg"], m["hourly_stg"], mode)
+        facts = A.same_time(
+            build_coin_stats_hist(m["hourly_stg"], dd, coin_dim, mode), build_tweets_hist(m["tweets_stg"], dd, coin_dim, mode)
+        )
+        mult = A.date_multiplicity(date_rows(m["tweets_stg"], m["hourly_stg"])) if mode == "bag" else None
+        fast = A.same_time_from_matches(coin_stats_matches(m["hourly_stg"], coin_dim), tweets_matches(m["tweets_stg"], coin_dim), mult)
+        assert facts.exceptAll(fast).count() == 0 and fast.exceptAll(facts).count() == 0

@@ -34,15 +34,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a local one only where none is set."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, the setting is the folder
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    if not configured:  # tests and local runs only; a cluster names a shared folder
         configured = tempfile.mkdtemp(prefix="starloom-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir()
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

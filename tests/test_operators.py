@@ -269,3 +269,44 @@ def test_same_time_from_matches_equals_fact_join(spark):
         mult = A.date_multiplicity(date_rows(m["tweets_stg"], m["hourly_stg"])) if mode == "bag" else None
         fast = A.same_time_from_matches(coin_stats_matches(m["hourly_stg"], coin_dim), tweets_matches(m["tweets_stg"], coin_dim), mult)
         assert facts.exceptAll(fast).count() == 0 and fast.exceptAll(facts).count() == 0
+
+
+def test_keys_split_a_hot_timestamp_across_partitions(spark):
+    # One timestamp holds a third of all rows; the range partitioning on
+    # (date, id) still spreads it, so no task numbers more than a fair share.
+    n = 30000
+    hot = dt.datetime(2020, 1, 1)
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(
+            F.timestamp_add("HOUR", (F.col("id") % 1000).cast("int"), F.lit(hot))
+        ).cast("timestamp_ntz").alias("date"),
+        F.col("id"),
+    )
+    keyed = with_surrogate_key(df, "k", ["date", "id"], partitions=8)
+    sizes = [r["c"] for r in keyed.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
+    assert sum(sizes) == n and len(sizes) == 8
+    assert max(sizes) < 2 * n / 8
+    assert sorted(r["k"] for r in keyed.select("k").collect()) == list(range(n))
+
+
+def test_coin_join_falls_back_to_a_shuffle_join_beyond_the_bound(spark, monkeypatch):
+    from starloom.operators import facts, joins
+
+    stg = spark.createDataFrame([("btc",), ("eth",), ("nope",)], "coin string")
+    dim = _coins(spark)
+    small = match_coins(stg, dim, "coin", ["coin_id", "name"], upper=True)
+    small.collect()
+
+    def coin_join(df):
+        return [ln for ln in plan_text(df).split("\n") if "Join" in ln and "_coin_alias" in ln]
+
+    assert any("BroadcastHashJoin" in ln for ln in coin_join(small))
+    monkeypatch.setattr(facts, "maybe_broadcast", lambda df: joins.maybe_broadcast(df, max_rows=1))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = match_coins(stg, dim, "coin", ["coin_id", "name"], upper=True)
+        big.collect()
+        assert coin_join(big) and not any("BroadcastHashJoin" in ln for ln in coin_join(big))
+        assert sorted(map(tuple, big.collect())) == sorted(map(tuple, small.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -2,6 +2,7 @@
 
 from starloom.operators.analysis import (
     date_multiplicity,
+    fact_head,
     monthly_price_avg,
     monthly_price_avg_weighted,
     monthly_price_minmax,
@@ -43,7 +44,7 @@ __all__ = [
     "CheckFailed", "ConstraintError", "NullKeyError", "OrphanKeyError",
     "append_with_keys", "build_coin_dim", "build_coin_stats_hist", "build_coin_stats_hist_by_id",
     "build_date_dim", "build_date_dim_from_sources", "build_tweets_hist", "check_foreign_keys",
-    "check_no_nulls", "coin_stats_matches", "coin_subset", "conform", "date_multiplicity", "date_rows",
+    "check_no_nulls", "coin_stats_matches", "coin_subset", "conform", "date_multiplicity", "date_rows", "fact_head",
     "fits", "fk_orphan_report", "fk_orphans", "last_n_days", "match_coins", "maybe_broadcast",
     "monthly_price_avg", "monthly_price_avg_weighted", "monthly_price_minmax", "monthly_price_stats",
     "monthly_sorted", "monthly_sorted_text", "next_key", "null_key_report", "preview", "repeat_rows",

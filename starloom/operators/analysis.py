@@ -118,6 +118,26 @@ def preview(df: DataFrame, n: int = 10, order_by: Sequence[Column | str] | None
     return df.orderBy(*cols).limit(n)
 
 
+def fact_head(matches: DataFrame, date_dim: DataFrame, k: int, columns: Sequence[str]) -> DataFrame:
+    """The first ``k`` rows, in the order of ``columns`` (``date_key`` first), of
+    the fact ``matches JOIN date_dim ON date`` - without building that join.
+
+    Every dimension row whose date has a match yields at least one fact row, so
+    the first ``k`` fact rows can only carry the ``k`` smallest such keys. Those
+    (a top-k, at most ``k`` rows, broadcast) are joined to the matches, and only
+    their rows are sorted. Exact, and linear in the input.
+    """
+    if not columns or columns[0] != "date_key":
+        raise ValueError("fact_head orders by date_key first")
+    dates = matches.select("date").distinct()
+    first = (
+        date_dim.select("date_key", "date").join(dates, "date", "left_semi")
+        .orderBy("date_key").limit(k)
+    )
+    rows = matches.join(F.broadcast(first), "date")
+    return rows.select(*columns).orderBy(*columns).limit(k)
+
+
 def same_time(
     coin_stats: DataFrame, tweets_hist: DataFrame, date_dim: DataFrame | None = None
 ) -> DataFrame:

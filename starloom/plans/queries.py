@@ -276,11 +276,14 @@ def q_preview_coin_dim(spark, sf_dir):
 
 
 def q_preview_coin_stats(spark, sf_dir):
-    return A.preview(Model(spark, sf_dir).coin_stats(), 10)
+    """First 10 fact rows in key order, without building the bag-mode fact."""
+    m = Model(spark, sf_dir)
+    return A.fact_head(m.coin_matches(), m.date_dim, 10, S.COIN_STATS_HIST.names)
 
 
 def q_preview_tweets(spark, sf_dir):
-    return A.preview(Model(spark, sf_dir).tweets(), 10)
+    m = Model(spark, sf_dir)
+    return A.fact_head(m.tweet_matches(), m.date_dim, 10, S.TWEETS_HIST.names)
 
 
 # -- functions, checks, sinks ---------------------------------------------

@@ -310,3 +310,20 @@ def test_coin_join_falls_back_to_a_shuffle_join_beyond_the_bound(spark, monkeypa
         assert sorted(map(tuple, big.collect())) == sorted(map(tuple, small.collect()))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_fact_head_equals_preview_of_the_fact(spark):
+    from starloom.operators.facts import coin_stats_matches, tweets_matches
+
+    m = fx.staging(spark, SF)
+    coin_dim = build_coin_dim(m["coin_stg"])
+    for mode in ("bag", "set"):
+        dd = build_date_dim_from_sources(m["tweets_stg"], m["hourly_stg"], mode)
+        fact = build_tweets_hist(m["tweets_stg"], dd, coin_dim, mode)
+        for k in (1, 7, 10_000):
+            want = [tuple(r) for r in A.preview(fact, k).collect()]
+            got = [tuple(r) for r in A.fact_head(tweets_matches(m["tweets_stg"], coin_dim), dd, k, S.TWEETS_HIST.names).collect()]
+            assert got == want
+        cs = build_coin_stats_hist(m["hourly_stg"], dd, coin_dim, mode)
+        got = A.fact_head(coin_stats_matches(m["hourly_stg"], coin_dim), dd, 10, S.COIN_STATS_HIST.names).collect()
+        assert [tuple(r) for r in got] == [tuple(r) for r in A.preview(cs, 10).collect()]

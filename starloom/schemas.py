@@ -172,9 +172,15 @@ MONTHLY_AVG = _t(
 )
 
 ALL = {
-    s.name.split(".")[-1] if s is not COIN_STATS_HIST_BY_ID else "coin_stats_hist_by_id": s
-    for s in (
-        TWEETS_STG, HOURLY_STG, COIN_LIST_STG, COIN_DIM, DATE_DIM, COIN_STATS_HIST,
-        COIN_STATS_HIST_BY_ID, TWEETS_HIST, MONTHLY_STATS, MONTHLY_AVG,
-    )
+    "snscrape_tweets_stg": TWEETS_STG,
+    "cg_hourly_stg": HOURLY_STG,
+    "cg_coin_list_stg": COIN_LIST_STG,
+    "cg_coin_list": COIN_DIM,
+    "date_dim": DATE_DIM,
+    "coin_stats_hist": COIN_STATS_HIST,
+    "coin_stats_hist_by_id": COIN_STATS_HIST_BY_ID,
+    "snscrape_tweets_hist": TWEETS_HIST,
+    "usd_price_per_month_stats": MONTHLY_STATS,
+    "usd_price_per_month_minmax": MONTHLY_MINMAX,
+    "avg_price_per_month": MONTHLY_AVG,
 }

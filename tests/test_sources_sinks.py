@@ -130,3 +130,19 @@ def test_pruned_bad_column_still_fails(spark, tmp_dir):
     _write(f"{tmp_dir}/h/part.csv", BAD_HOURLY)
     with pytest.raises(Exception):
         stage_delimited(spark, f"{tmp_dir}/h", S.HOURLY_STG).select("coin").count()
+
+
+def test_market_chart_repeated_timestamps_multiply_as_a_merge(spark):
+    t1, t2 = 1_500_000_000_000.0, 1_500_003_600_000.0
+    docs = spark.createDataFrame(
+        [
+            ("btc", [[t1, 1.0], [t2, 2.0]], [[t1, 10.0], [t2, 20.0]], [[t2, 6.0]]),     # unique: in-row path
+            ("eth", [[t1, 1.0], [t1, 2.0]], [[t1, 10.0]], [[t1, 5.0], [t1, 6.0]]),      # repeated: join path
+        ],
+        MARKET_CHART,
+    )
+    rows = flatten_market_chart(docs).collect()
+    btc = [(r["price"], r["market_cap"], r["total_volumes"]) for r in rows if r["coin"] == "btc"]
+    eth = sorted((r["price"], r["market_cap"], r["total_volumes"]) for r in rows if r["coin"] == "eth")
+    assert btc == [(2.0, 20.0, 6.0)]
+    assert eth == [(1.0, 10.0, 5.0), (1.0, 10.0, 6.0), (2.0, 10.0, 5.0), (2.0, 10.0, 6.0)]

@@ -18,6 +18,7 @@ from urllib.parse import urlparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.schemas import TableSchema
 from starloom.session import checkpoint_dir, configure
 
 BATCH = "_batch"
@@ -40,7 +41,11 @@ class Catalog:
         except Exception:  # AnalysisException: path does not exist / no files
             return False
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, schema: TableSchema | None = None) -> DataFrame:
+        """The table's rows; with ``schema``, a table that does not exist yet reads
+        as empty (``CREATE TABLE IF NOT EXISTS`` followed by a read)."""
+        if schema is not None and not self.exists(name):
+            return self.spark.createDataFrame([], schema.struct())
         df = self.spark.read.parquet(self.path(name))
         return df.drop(BATCH) if BATCH in df.columns else df
 

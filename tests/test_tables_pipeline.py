@@ -60,3 +60,12 @@ def test_pipeline_end_to_end(spark, source_files, tmp_path, mode, expected):
     assert len(res.previews) == 3 and len(res.previews[0]) == 10
     for name, _ in EXPORTS:
         assert glob.glob(str(tmp_path / "out" / f"{name}.csv" / "part-*.csv"))
+
+
+def test_missing_table_reads_empty_with_its_schema(spark, tmp_dir):
+    from starloom.operators.keys import next_key
+
+    cat = Catalog(spark, tmp_dir)
+    empty = cat.read("dim.date_dim", S.DATE_DIM)
+    assert empty.count() == 0 and empty.columns == S.DATE_DIM.names
+    assert spark.range(1).select(next_key(empty, "date_key").alias("k")).first()["k"] == 0

@@ -52,9 +52,27 @@ class Model:
     def __init__(self, spark: SparkSession, sf_dir: str, date_mode: str = "bag"):
         configure(spark)
         self.spark, self.sf_dir, self.date_mode = spark, sf_dir, date_mode
-        st = fx.staging(spark, sf_dir)
-        self.coin_stg, self.hourly_src, self.tweets_stg = st["coin_stg"], st["hourly_stg"], st["tweets_stg"]
-        self.hourly_stg = self.hourly_src.drop("src_id")
+
+    @cached_property
+    def _orders(self) -> DataFrame:
+        return fx.table(self.spark, self.sf_dir, "orders")
+
+    @cached_property
+    def coin_stg(self) -> DataFrame:
+        return fx.coin_stg(fx.table(self.spark, self.sf_dir, "nation"))
+
+    @cached_property
+    def hourly_src(self) -> DataFrame:
+        """Hourly staging rows with their source id (key order only)."""
+        return fx.hourly_stg(self._orders)
+
+    @cached_property
+    def hourly_stg(self) -> DataFrame:
+        return self.hourly_src.drop("src_id")
+
+    @cached_property
+    def tweets_stg(self) -> DataFrame:
+        return fx.tweets_stg(fx.table(self.spark, self.sf_dir, "conversations"), self._orders)
 
     @cached_property
     def coin_dim(self) -> DataFrame:

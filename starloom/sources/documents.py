@@ -38,62 +38,39 @@ def append_documents(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def _ts(series: str):
-    return F.transform(F.col(series), lambda p: p[0])
-
-
-def _unique_timestamps(series: str):
-    return F.size(F.array_distinct(_ts(series))) == F.size(F.col(series))
+def _merge_by_grouping(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact many-to-many merge with one pass over the documents: all points of
+    the three series exploded at once (tagged), grouped by (document, date),
+    and each group's value lists expanded into their product (an empty list
+    gives no rows, as an inner join). Groups hold one document's points at one
+    timestamp, so they stay small."""
+    def tag(i: int):
+        return lambda p: F.struct(F.lit(i).alias("s"), p[0].alias("t"), p[1].alias("v"))
+
+    tagged = F.concat(*[F.transform(F.col(src), tag(i)) for i, (src, _) in enumerate(SERIES)])
+    pts = docs.select(*keys, F.explode(tagged).alias("_q")).select(
+        *keys, F.col("_q.s").alias("_s"), F.col("_q.t").alias("_t"), F.col("_q.v").alias("_v")
+    )
+    grouped = pts.groupBy(*keys, "_t").agg(*[
+        F.collect_list(F.when(F.col("_s") == i, F.struct(F.col("_v").alias("v")))).alias(f"_l{i}")
+        for i in range(len(SERIES))
+    ])
+    out = grouped
+    for i, (_, name) in enumerate(SERIES):
+        out = out.select("*", F.explode(f"_l{i}").alias(f"_e{i}")).withColumn(name, F.col(f"_e{i}.v"))
+    return out.select(millis_to_timestamp(F.col("_t")).alias("date"), *[n for _, n in SERIES], "coin")
 
 
 def flatten_market_chart(docs: DataFrame, key_cols: Sequence[str] | None = None) -> DataFrame:
     """One row per timestamp present in all three series of a document.
 
-    The reference merges one coin's three frames on date (an inner join: a
-    timestamp missing from a series drops, a repeated one multiplies). Documents
-    whose series each have distinct timestamps - real market data - are merged
-    inside the row: each price point looks its timestamp up in maps built from
-    the other two series, with no shuffle. Only documents with a repeated
-    timestamp take the exact join path: each series exploded and the three
-    inner-joined on (document key, date). ``key_cols`` identify a document
-    (default: every non-series column); the output keeps ``coin``.
+    The reference merges one coin's three frames on date: an inner join, so a
+    timestamp missing from a series drops and a repeated one multiplies. Here
+    the documents are read once: every point of the three series is exploded
+    in one generator (tagged by series), grouped by (document, date), and each
+    group's value lists are expanded into their product. ``key_cols`` identify
+    a document (default: every non-series column); the output keeps ``coin``.
     """
     series_names = [s for s, _ in SERIES]
     keys = list(key_cols) if key_cols is not None else [c for c in docs.columns if c not in series_names]
-    unique = F.coalesce(
-        _unique_timestamps("prices") & _unique_timestamps("market_caps") & _unique_timestamps("total_volumes"),
-        F.lit(False),
-    )
-    out_cols = ["date", *[n for _, n in SERIES], "coin"]
-
-    # In-row merge: price points with both other values present.
-    maps = {
-        name: F.map_from_arrays(_ts(src), F.transform(F.col(src), lambda p: p[1]))
-        for src, name in SERIES[1:]
-    }
-    fast = (
-        docs.where(unique)
-        .select("coin", *[m.alias(f"_m_{n}") for n, m in maps.items()], F.explode("prices").alias("_p"))
-        .where(F.map_contains_key("_m_market_cap", F.col("_p")[0]) & F.map_contains_key("_m_total_volumes", F.col("_p")[0]))
-        .select(
-            millis_to_timestamp(F.col("_p")[0]).alias("date"),
-            F.col("_p")[1].alias("price"),
-            F.element_at("_m_market_cap", F.col("_p")[0]).alias("market_cap"),
-            F.element_at("_m_total_volumes", F.col("_p")[0]).alias("total_volumes"),
-            "coin",
-        )
-    )
-
-    # Exact many-to-many path for documents with a repeated timestamp.
-    rest = docs.where(~unique)
-    parts = []
-    for src, name in SERIES:
-        parts.append(
-            rest.select(*keys, F.explode(src).alias("_p")).select(
-                *keys,
-                millis_to_timestamp(F.col("_p")[0]).alias("date"),
-                F.col("_p")[1].alias(name),
-            )
-        )
-    slow = parts[0].join(parts[1], [*keys, "date"]).join(parts[2], [*keys, "date"]).select(*out_cols)
-    return fast.select(*out_cols).unionByName(slow)
+    return _merge_by_grouping(docs, keys)

@@ -4,9 +4,10 @@
 (``_batch=<id>``). ``mode="delete"`` replaces the whole table; any other mode
 appends a batch. Appends overwrite only their own batch directory (dynamic
 partition overwrite), so a retried load replaces what the failed attempt wrote
-instead of adding it twice. A frame that reads the table it is about to
-replace is first checkpointed to the cluster's shared checkpoint folder, so
-the overwrite never deletes its own input.
+instead of adding it twice. A frame that reads the files it is about to
+replace (the table for ``delete``, its own batch for an append) is first
+checkpointed to the cluster's shared checkpoint folder, so the overwrite
+never deletes its own input.
 """
 
 from __future__ import annotations
@@ -64,7 +65,10 @@ def write_table(df: DataFrame, path: str, mode: str = "delete", batch_id: str |
     """``delete``: clear and load (S3, C3). Anything else: idempotent append of one batch."""
     spark = df.sparkSession
     configure(spark)
-    if _reads_from(df, path):
+    # Only what this write replaces must not be read: the whole table for
+    # ``delete``, the batch's own directory for an append.
+    replaced = path if mode == "delete" else f"{path.rstrip('/')}/{BATCH}={batch_id}"
+    if _reads_from(df, replaced):
         # Copy to the shared checkpoint folder first; persisting lets the
         # checkpoint job reuse what its counting job computed.
         checkpoint_dir(spark)

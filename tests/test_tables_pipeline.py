@@ -79,3 +79,11 @@ def test_rerun_into_the_same_warehouse_does_not_duplicate(spark, source_files, t
     again = run_pipeline(spark, src, root, date_mode="bag")  # e.g. the scheduler retried the whole run
     assert [again.table(t).count() for t in (T_DATE_DIM, T_COIN_STATS, T_TWEETS_HIST, T_MONTHLY)] == counts
     assert counts[:3] == [1587, 1661, 352]
+
+
+def test_append_reading_its_own_batch_is_safe(spark, tmp_dir):
+    cat = Catalog(spark, tmp_dir)
+    load_dimension(cat, "x.t", spark.createDataFrame([(1,), (2,)], "k long"), mode="append", batch_id="b")
+    derived = cat.read("x.t").withColumn("k", F.col("k") + 10)  # reads batch b, replaces batch b
+    load_dimension(cat, "x.t", derived, mode="append", batch_id="b")
+    assert sorted(r["k"] for r in cat.read("x.t").collect()) == [11, 12]

@@ -159,6 +159,11 @@ FROM tweets_stg""",
   CAST(week("date") AS INTEGER) AS week, CAST(month("date") AS VARCHAR) AS "month",
   CAST(year("date") AS INTEGER) AS "year", CAST(dayofweek("date") AS VARCHAR) AS weekday
 FROM hourly_src""",
+    "date_dim_events": """SELECT CAST(row_number() OVER (ORDER BY ts, event_id) - 1 AS BIGINT) AS date_key,
+  ts AS "date", CAST(hour(ts) AS INTEGER) AS "hour", CAST(day(ts) AS INTEGER) AS "day",
+  CAST(week(ts) AS INTEGER) AS week, CAST(month(ts) AS VARCHAR) AS "month",
+  CAST(year(ts) AS INTEGER) AS "year", CAST(dayofweek(ts) AS VARCHAR) AS weekday
+FROM events""",
     "date_dim": _with() + "SELECT * FROM date_dim",
     "date_dim_set": _with() + "SELECT * FROM date_dim_set",
     "load_dimension_append": _with() + "SELECT * FROM date_dim",

@@ -193,6 +193,13 @@ def q_date_dim_crypto(spark, sf_dir):
     return _keyed_date_dim(Model(spark, sf_dir).hourly_src, "date", "src_id")
 
 
+def q_date_dim_events(spark, sf_dir):
+    """D1 on a second calendar input: the microsecond stamps of ``events``."""
+    configure(spark)
+    ev = fx.table(spark, sf_dir, "events").select(F.col("ts"), F.col("event_id"))
+    return _keyed_date_dim(ev, "ts", "event_id")
+
+
 def q_date_dim(spark, sf_dir):
     return Model(spark, sf_dir, "bag").date_dim
 
@@ -359,6 +366,7 @@ QUERIES: dict[str, Query] = {
     "coin_dim": q_coin_dim,
     "date_dim_tweets": q_date_dim_tweets,
     "date_dim_crypto": q_date_dim_crypto,
+    "date_dim_events": q_date_dim_events,
     "date_dim": q_date_dim,
     "date_dim_set": q_date_dim_set,
     "load_dimension_append": q_load_dimension_append,

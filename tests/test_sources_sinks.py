@@ -146,3 +146,31 @@ def test_market_chart_repeated_timestamps_multiply_as_a_merge(spark):
     eth = sorted((r["price"], r["market_cap"], r["total_volumes"]) for r in rows if r["coin"] == "eth")
     assert btc == [(2.0, 20.0, 6.0)]
     assert eth == [(1.0, 10.0, 5.0), (1.0, 10.0, 6.0), (2.0, 10.0, 5.0), (2.0, 10.0, 6.0)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_document_filter_reaches_the_json_scan(spark, tmp_dir):
+    _write(f"{tmp_dir}/d/a.json", json.dumps({"_id": "1", "coin": "a", "v": 1}) + "\n")
+    out = read_documents(spark, f"{tmp_dir}/d", schema="_id string, coin string, v long", where={"coin": "a"})
+    out.collect()
+    assert "PushedFilters: [IsNotNull(coin), EqualTo(coin,a)]" in _plan(out)
+
+
+def test_time_filter_and_projection_reach_the_parquet_scan(spark, tmp_dir):
+    from starloom.operators.filters import time_range
+
+    df = spark.createDataFrame(
+        [(dt.datetime(2020, 1, d), Decimal("1.5"), Decimal("2.5"), Decimal("3.5"), "c") for d in (1, 15, 28)],
+        S.HOURLY_STG.struct(),
+    )
+    df.write.parquet(f"{tmp_dir}/h")
+    staged = stage_parquet(spark, f"{tmp_dir}/h", S.HOURLY_STG, validate="none")
+    out = time_range(staged, "2020-01-10", "2020-01-20").select("date", "price")
+    assert out.count() == 1
+    out.collect()
+    plan = _plan(out)
+    assert "GreaterThanOrEqual(date," in plan and "LessThanOrEqual(date," in plan
+    assert "ReadSchema: struct<date:timestamp_ntz,price:decimal(18,5)>" in plan

@@ -50,3 +50,25 @@ def test_csv_export_round_trip(spark, tmp_path_factory, texts):
     export_csv(df, path)
     back = read_exported_csv(spark, path, schema)
     assert sorted(map(tuple, back.collect())) == sorted(rows)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.integers(min_value=-2, max_value=40), min_size=1, max_size=8), st.integers(1, 9))
+def test_repeat_rows_makes_exactly_n_copies(spark, counts, block):
+    from starloom.operators.analysis import repeat_rows
+
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(counts)], "i long, n long")
+    got = {r["i"]: r["c"] for r in repeat_rows(df, "n", block=block).groupBy("i").agg(F.count("*").alias("c")).collect()}
+    assert got == {i: n for i, n in enumerate(counts) if n > 0}
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=3), min_size=1, max_size=40), st.integers(1, 6))
+def test_keys_with_ties_are_still_dense_and_ordered(spark, values, parts):
+    from starloom.operators.keys import with_surrogate_key
+
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    rows = with_surrogate_key(df, "k", ["v"], partitions=parts).collect()
+    assert sorted(r["k"] for r in rows) == list(range(len(values)))
+    by_key = [r["v"] for r in sorted(rows, key=lambda r: r["k"])]
+    assert by_key == sorted(values)

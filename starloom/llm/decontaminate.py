@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm import textnum as N
-from starloom.llm.scratch import stored
+from starloom.llm.scratch import ship, stored
 
 MASKS = ("10001111", "11011001")
 WINDOW = 12
@@ -132,6 +132,7 @@ def contaminated(
     by overlapping windows, from 0) and ``n_words`` (how many they are at most).
     """
     spark = docs.sparkSession
+    ship(spark)
     rules = _rules(window, masks)
     tests = stored(benchmark_seeds(items, item_id, item_text, window, masks), "bench-seeds")
     bitmap = spark.sparkContext.broadcast(_filter(tests, filter_bits))

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm import textnum as N
 from starloom.llm.components import components
-from starloom.llm.scratch import partitions, stored
+from starloom.llm.scratch import partitions, ship, stored
 
 WORDS = 5
 NUM, DEN = 75, 100
@@ -358,6 +358,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n
     """``(rows, links)``. rows: ``id, n, class`` of every document (class null for
     the empty set). links: ``a, b, overlap`` between classes; together with equal
     classes they connect exactly the documents that Jaccard links connect."""
+    ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
     scan = stored(_scan(texts, n), "shingle-scan")
     postings = _postings(texts, _frequent(scan, FREQUENT), n, num, den)

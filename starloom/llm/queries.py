@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from starloom.llm.decontaminate import op10_decontaminate
 from starloom.llm.jaccard import op9_jaccard_join
+from starloom.llm.langid import op1_language_id
+from starloom.llm.linededup import SQL as LINE_SQL
+from starloom.llm.linededup import op2_line_dedup
+from starloom.llm.pieces import op7_sentencepiece
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_line_dedup": op2_line_dedup,
+    "op7_sentencepiece": op7_sentencepiece,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontaminate": op10_decontaminate,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_line_dedup": LINE_SQL}

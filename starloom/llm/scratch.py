@@ -40,3 +40,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once, so that Python tasks can import it
+    wherever the driver found it."""
+    import os
+    import shutil
+
+    sc = spark.sparkContext
+    if getattr(sc, "_starloom_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="starloom-package-")  # read by the driver alone
+    copy = os.path.join(folder, "package", "starloom")
+    shutil.copytree(package, copy, ignore=shutil.ignore_patterns("__pycache__"))
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "starloom"), "zip", os.path.dirname(copy)))
+    sc._starloom_shipped = True

@@ -43,6 +43,7 @@ TRAIN_TEXTS = 400
 TRAIN_SYMBOLS = 24_000
 ALPHABET = 250
 LANE = 512
+SAMPLE_PARTS = 64
 BATCH_SYMBOLS = 2 << 20
 UNKNOWN = "und"
 
@@ -197,9 +198,14 @@ def training_sample(rows: DataFrame, text: str, lang: str, per_language: int = T
     hashed = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.xxhash64(text).alias("h"), F.col(text).alias("text")
     )
-    distinct = hashed.select("lang", "h").distinct()
-    first = Window.partitionBy("lang").orderBy("h")
-    chosen = distinct.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_language)
+    distinct = hashed.select("lang", "h").distinct().withColumn("part", F.pmod(F.hash("h"), F.lit(SAMPLE_PARTS)))
+
+    def least(rows: DataFrame, *by: str) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy("h"))
+        return rows.withColumn("rank", rank).where(F.col("rank") <= per_language).drop("rank")
+
+    # first within parts of a language, so no task sees all of its hashes
+    chosen = least(least(distinct, "lang", "part"), "lang")
     keys = {(r["lang"], r["h"]) for r in chosen.select("lang", "h").collect()}
     if not keys:
         return {}

@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.scratch import stored
+
 RATIO = 0.3
 MIN_PAGES = 5
 SALTS = 32
@@ -85,17 +87,18 @@ def drop_boilerplate(pages: DataFrame, key: str, host: str, text: str, ratio: fl
     )
 
 
-# Tags that end a line of text, and parts of a page that hold none.
-_NO_TEXT = r"(?s)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
-_BREAKS = r"</?(?:p|div|li|ul|ol|nav|h[1-6]|br|tr|td|table|article|footer|header|title|body|head|html)(?:\s[^>]*)?/?>"
+# What stands for a line end: parts of a page that hold no text, and block tags.
+_BREAKS = (
+    r"(?s)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
+    r"|</?(?:p|div|li|ul|ol|nav|h[1-6]|br|tr|td|table|article|footer|header|title|body|head|html)(?:\s[^>]*)?/?>"
+)
 
 
 def page_lines(html: Column) -> Column:
     """The text of a page, one block element a line."""
-    text = F.regexp_replace(html, _NO_TEXT, "")
-    text = F.regexp_replace(text, _BREAKS, "\n")
+    text = F.regexp_replace(html, _BREAKS, "\n")
     text = F.regexp_replace(text, r"<[^>]*>", "")
-    return F.regexp_replace(text, r"[ \t\r]*\n[\s]*", "\n")
+    return F.regexp_replace(text, r"[ \t\r]*\n\s*", "\n")
 
 
 def page_host(url: Column) -> Column:
@@ -107,7 +110,8 @@ def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
         "page_id", page_host(F.col("url")).alias("host"), page_lines(F.col("html")).alias("text")
     )
-    return drop_boilerplate(pages, "page_id", "host", "text").select(
+    # the text is read three times: cut it out of the markup once
+    return drop_boilerplate(stored(pages, "page-lines"), "page_id", "host", "text").select(
         "page_id", "host", "n_dropped", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5")
     )
 
@@ -125,9 +129,8 @@ SQL = rf"""
 WITH t AS (
   SELECT page_id,
          lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)', 1)) AS host,
-         regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
-           '{_NO_TEXT}', '', 'g'), '{_BREAKS}', chr(10), 'g'), '<[^>]*>', '', 'g'),
-           '[ \t\r]*\n[\s]*', chr(10), 'g') AS text
+         regexp_replace(regexp_replace(regexp_replace(html,
+           '{_BREAKS}', chr(10), 'g'), '<[^>]*>', '', 'g'), '[ \t\r]*\n\s*', chr(10), 'g') AS text
   FROM pages
 ), l AS (
   SELECT page_id, host, i, string_split(text, chr(10))[i] AS line

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from starloom.llm.decontaminate import op10_decontaminate
 from starloom.llm.jaccard import op9_jaccard_join
 from starloom.llm.langid import op1_language_id
 from starloom.llm.linededup import SQL as LINE_SQL
 from starloom.llm.linededup import op2_line_dedup
 from starloom.llm.pieces import op7_sentencepiece
+from starloom.llm.warc import op3_warc
 
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
+    "op3_warc": op3_warc,
     "op7_sentencepiece": op7_sentencepiece,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontaminate": op10_decontaminate,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {"op2_line_dedup": LINE_SQL}
+if corpus_pipeline.ORACLE_SQL is not None:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

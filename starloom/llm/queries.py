@@ -6,8 +6,10 @@ import corpus_pipeline
 from starloom.llm.decontaminate import op10_decontaminate
 from starloom.llm.jaccard import op9_jaccard_join
 from starloom.llm.langid import op1_language_id
+from starloom.llm.license import op6_license_scan
 from starloom.llm.linededup import SQL as LINE_SQL
 from starloom.llm.linededup import op2_line_dedup
+from starloom.llm.permutation import op8_nearest_neighbours
 from starloom.llm.pieces import op7_sentencepiece
 from starloom.llm.warc import op3_warc
 
@@ -15,7 +17,9 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
     "op3_warc": op3_warc,
+    "op6_license_scan": op6_license_scan,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontaminate": op10_decontaminate,
     "pipeline": corpus_pipeline.run,

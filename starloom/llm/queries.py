@@ -11,12 +11,14 @@ from starloom.llm.linededup import SQL as LINE_SQL
 from starloom.llm.linededup import op2_line_dedup
 from starloom.llm.permutation import op8_nearest_neighbours
 from starloom.llm.pieces import op7_sentencepiece
+from starloom.llm.surrogates import op4_surrogates
 from starloom.llm.warc import op3_warc
 
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
     "op3_warc": op3_warc,
+    "op4_surrogates": op4_surrogates,
     "op6_license_scan": op6_license_scan,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_nearest_neighbours": op8_nearest_neighbours,

@@ -9,6 +9,7 @@ from starloom.llm.langid import op1_language_id
 from starloom.llm.license import op6_license_scan
 from starloom.llm.linededup import SQL as LINE_SQL
 from starloom.llm.linededup import op2_line_dedup
+from starloom.llm.lm import op5_lm_scores
 from starloom.llm.permutation import op8_nearest_neighbours
 from starloom.llm.pieces import op7_sentencepiece
 from starloom.llm.surrogates import op4_surrogates
@@ -19,6 +20,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_warc": op3_warc,
     "op4_surrogates": op4_surrogates,
+    "op5_lm_scores": op5_lm_scores,
     "op6_license_scan": op6_license_scan,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_nearest_neighbours": op8_nearest_neighbours,

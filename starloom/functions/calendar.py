@@ -60,5 +60,10 @@ def iso_text(ts: Column | str) -> Column:
 
 
 def text_to_epoch_seconds(s: Column | str) -> Column:
-    """Timestamp text to fractional epoch seconds, read as UTC (X-7)."""
-    return epoch_seconds(F.to_timestamp_ntz(_col(s)))
+    """Timestamp text to fractional epoch seconds (X-7): moved to UTC where the text
+    ends in an offset (``+02:00``, ``+0200`` or ``Z``), else read as UTC."""
+    text = _col(s)
+    colon = F.regexp_replace(text, r"([+-][0-9]{2})([0-9]{2})$", "$1:$2")
+    zoned = text.rlike(r"[0-9](?:Z|[+-][0-9]{2}:?[0-9]{2})$") & text.rlike(r":[0-9]{2}")
+    moved = F.unix_micros(F.to_timestamp_ltz(F.when(zoned, colon))) / F.lit(1_000_000.0)
+    return F.when(zoned, moved).otherwise(epoch_seconds(F.to_timestamp_ntz(F.when(~zoned, text))))

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.joins import product_join
 from starloom.operators.keys import with_surrogate_key
 
 PRICE_T = "decimal(18,5)"
@@ -87,11 +88,12 @@ def monthly_price_avg_weighted(matches: DataFrame, multiplicity: DataFrame | Non
     timestamp's dimension-row count (bag mode), or by 1 (``None``, set mode)."""
     if multiplicity is None:
         return monthly_price_avg(matches)
-    w = matches.join(multiplicity, "date")
+    # one row per task, coin and timestamp before any shuffle, whatever a timestamp holds
+    per_date = matches.groupBy("coin_name", "date").agg(F.sum("price").alias("_s"), F.count("price").alias("_c"))
+    w = per_date.join(multiplicity, "date")
     w = w.withColumn("month", F.month("date").cast("string")).withColumn("year", F.year("date"))
-    out = w.groupBy("coin_name", "year", "month").agg(
-        (F.sum(F.col("price") * F.col("dim_rows")).cast("double") / F.sum("dim_rows")).alias("avg_usd_price")
-    )
+    total, rows = F.sum(F.col("_s") * F.col("dim_rows")), F.sum(F.col("_c") * F.col("dim_rows"))
+    out = w.groupBy("coin_name", "year", "month").agg((total.cast("double") / rows).alias("avg_usd_price"))
     return out.select("coin_name", "month", F.col("year").cast("string").alias("year"), "avg_usd_price")
 
 
@@ -172,12 +174,33 @@ def same_time_from_matches(
     (bag mode; ``None`` = set mode, once). The bag equals ``same_time`` over the
     facts, without surrogate keys or the per-fact fan-out.
     """
+    j = _pairs(stats_matches, tweet_matches, multiplicity)
+    if multiplicity is not None:
+        j = repeat_rows(j, "dim_rows")
+    return j.select(*SAME_TIME)
+
+
+SAME_TIME = ["date", "coin_symbol", "tweet", "price", "market_cap", "total_volumes"]
+
+
+def _pairs(stats_matches: DataFrame, tweet_matches: DataFrame, multiplicity: DataFrame | None) -> DataFrame:
+    """Every price row with every tweet of its coin and timestamp, and in bag mode
+    the timestamp's dimension rows, which join the prices before they multiply."""
     s = stats_matches.select("date", "coin_key", "coin_symbol", "price", "market_cap", "total_volumes")
-    t = tweet_matches.select("date", "coin_key", "tweet")
-    j = s.join(t, ["date", "coin_key"])
     if multiplicity is not None:
-        j = repeat_rows(j.join(multiplicity, "date"), "dim_rows")
-    return j.select("date", "coin_symbol", "tweet", "price", "market_cap", "total_volumes")
+        s = s.join(multiplicity, "date")
+    return product_join(s, tweet_matches.select("date", "coin_key", "tweet"), ["date", "coin_key"])
+
+
+def same_time_top(
+    stats_matches: DataFrame, tweet_matches: DataFrame, multiplicity: DataFrame | None, k: int = 5
+) -> DataFrame:
+    """The first ``k`` rows of J5 (O4): every pair yields a row at least, so they
+    come from the first ``k`` pairs, which alone are repeated."""
+    first = _pairs(stats_matches, tweet_matches, multiplicity).orderBy(*SAME_TIME).limit(k)
+    if multiplicity is not None:
+        first = repeat_rows(first, "dim_rows")
+    return top_k(first.select(*SAME_TIME), k)
 
 
 REPEAT_BLOCK = 4096
@@ -186,15 +209,12 @@ REPEAT_BLOCK = 4096
 def repeat_rows(df: DataFrame, count_col: str, block: int = REPEAT_BLOCK) -> DataFrame:
     """Each row ``count_col`` times (rows with a count below 1 are dropped).
 
-    Copies are made in blocks: one row per block of at most ``block`` copies,
-    rebalanced by adaptive execution (skewed partitions are split), then
-    expanded. No array grows past ``max(count / block, block)`` and the copies
-    of a hot row are spread over many tasks instead of one.
+    Copies are made in blocks: one row per block of at most ``block`` copies, then
+    expanded, so no array grows past ``max(count / block, block)``.
     """
     n = F.col(count_col).cast("long")
     last = F.floor((n - 1) / block).cast("long")
     blocks = df.where(n > 0).select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_blk"))
-    blocks = blocks.hint("rebalance")
     size = F.least(F.lit(block).cast("long"), n - F.col("_blk") * block).cast("int")
     return blocks.select("*", F.explode(F.array_repeat(F.lit(0), size)).alias("_rep")).drop("_blk", "_rep")
 

@@ -5,7 +5,7 @@ nested-loop join, so each coin is expanded into its distinct aliases and the
 match becomes one equi join against that (checked-size, broadcast) alias list.
 ``array_distinct`` keeps a coin whose id equals its name from matching twice.
 The coin join runs first (no shuffle, drops unmatched rows early), then the
-date join (a shuffle on ``date``; adaptive execution splits hot timestamps).
+date join (a shuffle on ``date``; the products of hot timestamps are split).
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import maybe_broadcast
+from starloom.operators.joins import maybe_broadcast, product_join
 from starloom.schemas import COIN_STATS_HIST, COIN_STATS_HIST_BY_ID, TWEETS_HIST
 
 _ALIAS = "_coin_alias"
@@ -52,15 +52,12 @@ def match_coins(
     return stg.join(aliases, key == aliases[_ALIAS]).drop(_ALIAS)
 
 
-def _with_date_key(matched: DataFrame, ts_col: str, date_dim: DataFrame, date_mode: str = "bag") -> DataFrame:
-    """J1. In bag mode the dimension has one row per staging row, so it grows
-    with the data and is never a broadcast candidate; it is joined by a
-    sort-merge join on ``date``, whose skewed partitions (hot timestamps)
-    adaptive execution splits. In set mode Spark picks the strategy by size."""
-    dd = date_dim.select(F.col("date_key"), F.col("date").alias("_dd_date"))
-    if date_mode == "bag":
-        dd = dd.hint("merge")
-    return matched.join(dd, matched[ts_col] == dd["_dd_date"]).drop("_dd_date")
+def _with_date_key(matched: DataFrame, date_dim: DataFrame, date_mode: str = "bag") -> DataFrame:
+    """J1. In bag mode the dimension has one row per staging row, so a timestamp's
+    rows multiply: the products of hot timestamps are split over many tasks. In
+    set mode each row meets one, and Spark picks the strategy by size."""
+    dd = date_dim.select("date_key", "date")
+    return product_join(matched, dd, ["date"]) if date_mode == "bag" else matched.join(dd, "date")
 
 
 def coin_stats_matches(
@@ -80,7 +77,7 @@ def build_coin_stats_hist(
     broadcast_coins: bool | None = None,
 ) -> DataFrame:
     """Hourly statistics per coin: case-insensitive match on coin id OR name."""
-    m = _with_date_key(coin_stats_matches(hourly_stg, coin_dim, broadcast_coins), "date", date_dim, date_mode)
+    m = _with_date_key(coin_stats_matches(hourly_stg, coin_dim, broadcast_coins), date_dim, date_mode)
     return m.select(*COIN_STATS_HIST.names)
 
 
@@ -90,7 +87,7 @@ def build_coin_stats_hist_by_id(
 ) -> DataFrame:
     """Older rule: exact ``coin = coin_id`` only, no symbol column."""
     m = match_coins(hourly_stg, coin_dim, "coin", ["coin_id"], upper=False, broadcast=broadcast_coins)
-    m = _with_date_key(m, "date", date_dim, date_mode).where(F.col("name").isNotNull())
+    m = _with_date_key(m, date_dim, date_mode).where(F.col("name").isNotNull())
     return m.select(
         "date_key", "coin_key", "date", F.col("name").alias("coin_name"),
         "price", "market_cap", "total_volumes",
@@ -115,5 +112,5 @@ def build_tweets_hist(
     broadcast_coins: bool | None = None,
 ) -> DataFrame:
     """Tweets per coin: case-sensitive match on name OR symbol."""
-    m = _with_date_key(tweets_matches(tweets_stg, coin_dim, broadcast_coins), "date", date_dim, date_mode)
+    m = _with_date_key(tweets_matches(tweets_stg, coin_dim, broadcast_coins), date_dim, date_mode)
     return m.select(*TWEETS_HIST.names)

@@ -9,15 +9,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Coin lists up to this size go into an IN list; longer ones become a
-# broadcast semi join (their size is the length of the list we were given).
+# Coin lists up to this size go into an IN list, which scans can use; longer ones
+# become a semi join with the list. Rows, columns and their order are the same.
 IN_LIST_MAX = 1000
 
 
 def _ts(value: str | dt.datetime | Column) -> Column:
+    """A bound as a zone-less UTC timestamp; one with an offset is moved to UTC."""
     if isinstance(value, Column):
         return value
-    return F.lit(str(value)).cast("timestamp_ntz")
+    if isinstance(value, str):
+        value = dt.datetime.fromisoformat(value)
+    if value.tzinfo is not None:
+        value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def last_n_days(
@@ -41,5 +46,5 @@ def coin_subset(df: DataFrame, coins: Sequence[str], col: str = "coin") -> DataF
     coins = list(dict.fromkeys(coins))
     if len(coins) <= IN_LIST_MAX:
         return df.where(F.col(col).isin(coins))
-    wanted = df.sparkSession.createDataFrame([(c,) for c in coins], f"{col} string")
-    return df.join(F.broadcast(wanted), col, "left_semi")
+    wanted = df.sparkSession.createDataFrame([(c,) for c in coins], "_wanted string")
+    return df.join(wanted, df[col] == wanted["_wanted"], "left_semi")

@@ -1,44 +1,52 @@
 """Dense surrogate keys (K1) and keys that continue an existing table (K2).
 
-``row_number() OVER (ORDER BY ...)`` moves every row into one task. Instead the
-rows are range-partitioned on the order keys (sampled bounds, so a hot date is
-split across tasks as long as the full order key is finer than the date),
-sorted inside each partition and numbered locally; each partition then adds
-the row count of all partitions before it. The per-partition counts have one
-row per partition - a size fixed by the partition count - and are broadcast.
+``row_number() OVER (ORDER BY ...)`` moves every row into one task. Instead a
+random sample of the order keys, of a size that the number of buckets fixes,
+gives bucket bounds. They are plain values in the plan, so a row's bucket is a
+function of the row alone: counting the buckets and numbering the rows in them
+agree whatever the optimizer prunes, reuses or computes twice. A bucket's rows
+are numbered in its own task and get the row count of all buckets before it,
+one row per bucket, which is broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starloom.session import shuffle_partitions
 
-_PID, _LOCAL, _OFF, _N = "_sk_pid", "_sk_local", "_sk_off", "_sk_n"
+_BUCKET, _OFF, _N = "_sk_bucket", "_sk_off", "_sk_n"
+
+#: Sampled order keys per bucket.
+SAMPLE = 20
 
 
 def _cols(order_by: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_by]
 
 
-def _row_count(df: DataFrame) -> Column:
-    """Row count that depends on every column of ``df``.
+def _bounds(keys: DataFrame, buckets: int) -> list[Row]:
+    """At most ``buckets - 1`` order keys that cut the rows into about equal parts.
+    Any bounds give the same numbering, so the sample may be random."""
+    drawn = keys.orderBy(F.rand(17)).limit(SAMPLE * buckets).orderBy("k").collect()
+    found = [r["k"] for r in drawn[SAMPLE::SAMPLE]]
+    return [k for i, k in enumerate(found) if i == 0 or k != found[i - 1]]
+
+
+def _bucket(key: Column, bounds: list[Row], types) -> Column:
+    """How many bounds are not above the key, found by halving."""
+    fixed = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, types, strict=True)]) for b in bounds]
 
-    A plain ``count(1)`` lets column pruning give the counting branch a
-    narrower copy of the input plan, which then cannot share the main branch's
-    range exchange and computes the whole input a second time. Summing
-    ``pmod(hash(all columns), 1) + 1`` is still the row count, but the optimizer
-    cannot drop the columns, the two plans stay identical and adaptive
-    execution runs the exchange once.
-    """
-    if not df.columns or any(isinstance(f.dataType, T.MapType) for f in df.schema.fields):
-        return F.count(F.lit(1))
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    return F.sum(F.pmod(F.xxhash64(*cols), F.lit(1)) + 1)
+    def within(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key < fixed[mid], within(lo, mid)).otherwise(within(mid + 1, hi))
+
+    return within(0, len(fixed))
 
 
 def with_surrogate_key(
@@ -49,29 +57,25 @@ def with_surrogate_key(
     partitions: int | None = None,
 ) -> DataFrame:
     """Add ``name`` = start, start+1, ... in the order of ``order_by`` (ascending,
-    NULLs first). Ties get distinct keys in an unspecified order; give a unique
-    order to make keys reproducible."""
+    NULLs first). Rows that tie in the order get distinct keys in an unspecified
+    order, and are numbered in one task; give a unique order to make keys
+    reproducible and to spread a hot value."""
     n = partitions or shuffle_partitions(df.sparkSession)
     order = _cols(order_by)
-    # A monotonically increasing id is (partition index << 33) + row position in
-    # the partition, so after the sort its low bits are the local row number.
-    numbered = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn(_PID, F.spark_partition_id())
-        .withColumn(
-            _LOCAL,
-            F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33),
-        )
-    )
-    counts = numbered.groupBy(_PID).agg(_row_count(df).alias(_N))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
+    key = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    keys = df.select(key.alias("k"))
+    bounds = _bounds(keys, n) if n > 1 else []
+    placed = df.withColumn(_BUCKET, _bucket(key, bounds, keys.schema["k"].dataType.fields))
+    counts = placed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias(_N))
+    before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_BUCKET, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
+    local = F.row_number().over(Window.partitionBy(_BUCKET).orderBy(*order)) - 1
     first = start if isinstance(start, Column) else F.lit(start)
     return (
-        numbered.join(F.broadcast(offsets), _PID)
-        .withColumn(name, (first + F.col(_OFF) + F.col(_LOCAL)).cast("long"))
-        .drop(_PID, _LOCAL, _OFF)
+        placed.withColumn(name, local)
+        .join(F.broadcast(offsets), _BUCKET)
+        .withColumn(name, (first + F.col(_OFF) + F.col(name)).cast("long"))
+        .drop(_BUCKET, _OFF)
     )
 
 

@@ -1,9 +1,9 @@
 """DuckDB SQL equivalent to each registered query (the correctness oracle).
 
-The fixture CTEs repeat ``starloom.plans.fixtures`` in SQL; the query bodies
-follow the reference's own statements (OR joins, the date-dimension join,
-``row_number`` keys) rather than our physical plans, so each Spark query is
-checked against a plain, independent formulation.
+The fixture CTEs repeat ``starloom.plans.fixtures`` in SQL. The facts are built in
+full by plain joins against the coins' spellings and the date dimension, and the
+aggregates read those facts, so each Spark query is checked against a formulation
+that shares none of its plan.
 """
 
 from __future__ import annotations
@@ -52,63 +52,82 @@ date_dim_set AS (
 """
 
 
-def _fact_ctes(dd: str, suffix: str) -> str:
-    return f"""
-coin_stats_hist{suffix} AS (
-  SELECT date_dim.date_key AS date_key, cg_coin_list.coin_key AS coin_key, cg_hourly_stg."date",
-         cg_coin_list.name AS coin_name, cg_coin_list.symbol AS coin_symbol,
-         cg_hourly_stg.price, cg_hourly_stg.market_cap, cg_hourly_stg.total_volumes
-  FROM hourly_stg cg_hourly_stg
-  JOIN {dd} date_dim ON date_dim."date" = cg_hourly_stg."date"
-  JOIN coin_dim cg_coin_list
-    ON (UPPER(cg_hourly_stg.coin) = UPPER(cg_coin_list.coin_id) OR UPPER(cg_hourly_stg.coin) = UPPER(cg_coin_list.name))
-  WHERE cg_coin_list.name IS NOT NULL),
-tweets_hist{suffix} AS (
-  SELECT date_dim.date_key AS date_key, cg_coin_list.coin_key AS coin_key, t.datetime AS "date", t.tweet_id AS tweet_id,
-         cg_coin_list.name AS coin_name, t.text AS tweet, t.username, t.crypto AS search_term
-  FROM tweets_stg t
-  JOIN {dd} date_dim ON date_dim."date" = t.datetime
-  JOIN coin_dim cg_coin_list ON t.crypto = cg_coin_list.name OR t.crypto = cg_coin_list.symbol
-  WHERE t.tweet_id IS NOT NULL)"""
+# The words that stand for a coin: in hourly rows its id or name in any case, in
+# tweets its name or symbol as written. UNION leaves each word once a coin.
+SPELLINGS = """
+hourly_word AS (
+  SELECT coin_key, UPPER(coin_id) AS word FROM coin_dim
+  UNION SELECT coin_key, UPPER(name) FROM coin_dim),
+tweet_word AS (
+  SELECT coin_key, name AS word FROM coin_dim
+  UNION SELECT coin_key, symbol FROM coin_dim)"""
+
+
+def _fact_ctes(dd: str) -> str:
+    return f"""{SPELLINGS},
+coin_stats_hist AS (
+  SELECT k.date_key, w.coin_key, s."date", c.name AS coin_name, c.symbol AS coin_symbol,
+         s.price, s.market_cap, s.total_volumes
+  FROM (SELECT *, UPPER(coin) AS word FROM hourly_stg) AS s
+  INNER JOIN hourly_word AS w USING (word)
+  INNER JOIN coin_dim AS c USING (coin_key)
+  INNER JOIN {dd} AS k USING ("date")),
+tweets_hist AS (
+  SELECT k.date_key, w.coin_key, k."date", s.tweet_id, c.name AS coin_name, s.text AS tweet, s.username,
+         s.crypto AS search_term
+  FROM tweets_stg AS s
+  INNER JOIN tweet_word AS w ON w.word = s.crypto
+  INNER JOIN coin_dim AS c USING (coin_key)
+  INNER JOIN {dd} AS k ON k."date" = s.datetime)"""
 
 
 def _with(*extra: str) -> str:
     return "WITH " + ",".join([FIXTURE_CTES, *extra]) + "\n"
 
 
-FACTS = _fact_ctes("date_dim", "")
-FACTS_SET = _fact_ctes("date_dim_set", "")  # same names, set-mode dimension
+FACTS = _fact_ctes("date_dim")
+FACTS_SET = _fact_ctes("date_dim_set")  # same names, set-mode dimension
 
-MONTHLY_STATS = """
-SELECT hist.coin_name, hist.coin_symbol, dt."month" AS "month", CAST(dt."year" AS VARCHAR) AS "year",
-       CAST(MAX(price) AS DECIMAL(18,5)) AS max_usd_price, CAST(MIN(price) AS DECIMAL(18,5)) AS min_usd_price,
-       CAST(MAX(market_cap) AS DECIMAL(18,5)) AS max_mcap, CAST(MIN(market_cap) AS DECIMAL(18,5)) AS min_mcap,
-       CAST(MAX(total_volumes) AS DECIMAL(18,5)) AS max_total_vol, CAST(MIN(total_volumes) AS DECIMAL(18,5)) AS min_total_vol
-FROM coin_stats_hist hist JOIN {dd} dt ON dt.date_key = hist.date_key
-GROUP BY hist.coin_name, hist.coin_symbol, dt."year", dt."month"
-"""
+# A fact with its calendar month, found through the key.
+_IN_MONTH = """(SELECT f.*, k."month" AS in_month, k."year" AS in_year
+  FROM coin_stats_hist AS f INNER JOIN (SELECT date_key, "month", "year" FROM {dd}) AS k USING (date_key))"""
 
-MONTHLY_MINMAX = """
-SELECT hist.coin_name, dt."month" AS "month", CAST(dt."year" AS VARCHAR) AS "year",
-       CAST(MAX(price) AS DECIMAL(18,5)) AS max_usd_price, CAST(MIN(price) AS DECIMAL(18,5)) AS min_usd_price
-FROM coin_stats_hist hist JOIN {dd} dt ON dt.date_key = hist.date_key
-GROUP BY hist.coin_name, dt."year", dt."month"
-"""
 
-MONTHLY_AVG = """
-SELECT hist.coin_name, dt."month" AS "month", CAST(dt."year" AS VARCHAR) AS "year",
-       CAST(SUM(price) AS DOUBLE) / COUNT(price) AS avg_usd_price
-FROM coin_stats_hist hist JOIN {dd} dt ON dt.date_key = hist.date_key
-GROUP BY hist.coin_name, dt."year", dt."month"
-"""
+def _extremes(column: str, name: str) -> str:
+    return ", ".join(f"CAST({fn}({column}) AS DECIMAL(18,5)) AS {fn}_{name}" for fn in ("max", "min"))
+
+
+MONTHLY_STATS = (
+    """SELECT coin_name, coin_symbol, in_month AS "month", CAST(in_year AS VARCHAR) AS "year", """
+    + ", ".join([_extremes("price", "usd_price"), _extremes("market_cap", "mcap"), _extremes("total_volumes", "total_vol")])
+    + f" FROM {_IN_MONTH} GROUP BY ALL"
+)
+MONTHLY_MINMAX = (
+    f"""SELECT coin_name, in_month AS "month", CAST(in_year AS VARCHAR) AS "year", {_extremes("price", "usd_price")}
+FROM {_IN_MONTH} GROUP BY ALL"""
+)
+MONTHLY_AVG = (
+    f"""SELECT coin_name, in_month AS "month", CAST(in_year AS VARCHAR) AS "year",
+  CAST(SUM(price) AS DOUBLE) / COUNT(price) AS avg_usd_price FROM {_IN_MONTH} GROUP BY ALL"""
+)
 
+# Both facts at one dimension row and coin.
 SAME_TIME = """
-SELECT dt."date", coin_symbol, tweet, price, market_cap, total_volumes
-FROM coin_stats_hist coin
-JOIN tweets_hist tweet ON coin.date_key = tweet.date_key AND coin.coin_key = tweet.coin_key
-JOIN {dd} dt ON dt.date_key = coin.date_key AND dt.date_key = tweet.date_key
+SELECT (SELECT k."date" FROM {dd} AS k WHERE k.date_key = both_facts.date_key) AS "date",
+       coin_symbol, tweet, price, market_cap, total_volumes
+FROM (SELECT date_key, coin_key, coin_symbol, price, market_cap, total_volumes FROM coin_stats_hist)
+  NATURAL JOIN (SELECT date_key, coin_key, tweet FROM tweets_hist) AS both_facts
 """
 
+# The stored facts and dimensions with faults (``queries._stored_facts``).
+FAULTS = """
+bad_coin_stats AS (SELECT * REPLACE (NULLIF(coin_key, 3) AS coin_key,
+  CASE WHEN date_key % 11 <> 0 THEN date_key END AS date_key) FROM coin_stats_hist),
+bad_tweets AS (SELECT * REPLACE (NULLIF(coin_key, 3) AS coin_key,
+  CASE WHEN date_key % 11 <> 0 THEN date_key END AS date_key) FROM tweets_hist),
+fewer_coins AS (SELECT * FROM coin_dim WHERE coin_key % 5 <> 0),
+fewer_dates AS (SELECT * FROM date_dim_set WHERE date_key % 7 <> 3)"""
+
 ALL_HIST_COLS = "date_key, coin_key, \"date\", coin_name, coin_symbol, price, market_cap, total_volumes"
 ALL_TWEET_COLS = "date_key, coin_key, \"date\", tweet_id, coin_name, tweet, username, search_term"
 
@@ -116,20 +135,28 @@ ISO = """CASE WHEN strftime(ts, '%f') = '000000' THEN strftime(ts, '%Y-%m-%dT%H:
               ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END"""
 
 
-def _nulls(table: str, keys: list[str]) -> str:
+def _nulls(table: str, keys: list[str], name: str | None = None) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{table}' AS table_name, '{k}' AS key_column, CAST(COUNT(*) FILTER (WHERE {k} IS NULL) AS BIGINT) AS null_rows FROM {table}"
+        f"SELECT '{name or table}' AS table_name, '{k}' AS key_column, "
+        f"CAST(COUNT(*) FILTER (WHERE {k} IS NULL) AS BIGINT) AS null_rows FROM {table}"
         for k in keys
     )
 
 
-def _orphans(table: str, key: str, dim: str) -> str:
+def _orphans(table: str, key: str, dim: str, name: str) -> str:
     return (
-        f"SELECT '{table}' AS table_name, '{key}' AS fk, CAST(COUNT(*) AS BIGINT) AS orphan_rows FROM {table} f "
+        f"SELECT '{name}' AS table_name, '{key}' AS fk, CAST(COUNT(*) AS BIGINT) AS orphan_rows FROM {table} f "
         f"WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{key} = f.{key})"
     )
 
 
+def _exported(name: str, rows: str, text: str) -> str:
+    return (
+        f"SELECT '{name}' AS table_name, CAST(COUNT(*) AS BIGINT) AS n_rows, "
+        f"CAST(SUM(LENGTH({text})) AS BIGINT) AS n_chars FROM {rows}"
+    )
+
+
 SQL: dict[str, str] = {
     "stage_delimited": _with() + "SELECT * FROM hourly_stg",
     "stage_parquet": _with() + "SELECT * FROM tweets_stg",
@@ -169,10 +196,8 @@ FROM events""",
     "load_dimension_append": _with() + "SELECT * FROM date_dim",
     "coin_stats_hist": _with(FACTS) + "SELECT * FROM coin_stats_hist",
     "coin_stats_hist_set": _with(FACTS_SET) + "SELECT * FROM coin_stats_hist",
-    "coin_stats_hist_by_id": _with() + """SELECT date_dim.date_key AS date_key, c.coin_key AS coin_key, h."date",
-  c.name AS coin_name, h.price, h.market_cap, h.total_volumes
-FROM hourly_stg h JOIN date_dim ON date_dim."date" = h."date"
-JOIN coin_dim c ON h.coin = c.coin_id
+    "coin_stats_hist_by_id": _with() + """SELECT k.date_key, c.coin_key, "date", c.name AS coin_name, s.price, s.market_cap, s.total_volumes
+FROM (SELECT *, coin AS coin_id FROM hourly_stg) AS s INNER JOIN coin_dim AS c USING (coin_id) INNER JOIN date_dim AS k USING ("date")
 WHERE c.name IS NOT NULL""",
     "tweets_hist": _with(FACTS) + "SELECT * FROM tweets_hist",
     "tweets_hist_set": _with(FACTS_SET) + "SELECT * FROM tweets_hist",
@@ -200,18 +225,41 @@ SELECT event_id, ts, iso_text,
        CAST(epoch_us(ts) // 1000 AS BIGINT) AS epoch_millis,
        make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts_from_millis
 FROM e""",
-    "null_key_report": _with(FACTS) + " UNION ALL ".join([
+    "null_key_report": _with(FACTS_SET, FAULTS) + " UNION ALL ".join([
         _nulls("coin_stg", ["coin_id", "symbol", "name"]),
-        _nulls("coin_dim", ["coin_key"]),
-        _nulls("date_dim", ["date_key"]),
-        _nulls("coin_stats_hist", ["coin_key", "date_key"]),
-        _nulls("tweets_hist", ["coin_key", "date_key"]),
+        _nulls("fewer_coins", ["coin_key"], "coin_dim"),
+        _nulls("fewer_dates", ["date_key"], "date_dim"),
+        _nulls("bad_coin_stats", ["coin_key", "date_key"], "coin_stats_hist"),
+        _nulls("bad_tweets", ["coin_key", "date_key"], "tweets_hist"),
+    ]),
+    "fk_orphans": _with(FACTS_SET, FAULTS) + " UNION ALL ".join([
+        _orphans("bad_coin_stats", "coin_key", "fewer_coins", "coin_stats_hist"),
+        _orphans("bad_coin_stats", "date_key", "fewer_dates", "coin_stats_hist"),
+        _orphans("bad_tweets", "coin_key", "fewer_coins", "tweets_hist"),
+        _orphans("bad_tweets", "date_key", "fewer_dates", "tweets_hist"),
     ]),
-    "fk_orphans": _with(FACTS) + " UNION ALL ".join([
-        _orphans("coin_stats_hist", "coin_key", "coin_dim"),
-        _orphans("coin_stats_hist", "date_key", "date_dim"),
-        _orphans("tweets_hist", "coin_key", "coin_dim"),
-        _orphans("tweets_hist", "date_key", "date_dim"),
+    "run_checks": _with(SPELLINGS) + """
+SELECT check_name, CAST(LEAST(n, 3) AS BIGINT) AS shown, n > 0 AS failed FROM (
+  SELECT 'coins without id' AS check_name, COUNT(*) AS n FROM coin_stg WHERE coin_id IS NULL
+  UNION ALL SELECT 'prices below zero', COUNT(*) FROM hourly_stg WHERE price < 0
+  UNION ALL SELECT 'tweets of unknown coins', COUNT(*) FROM tweets_stg
+    WHERE crypto NOT IN (SELECT word FROM tweet_word))""",
+    "load_errors": _with() + """
+SELECT concat_ws('|', strftime("date", '%Y-%m-%d %H:%M:%S'), CAST(price AS VARCHAR) || CASE WHEN spoiled THEN 'x' ELSE '' END,
+         CAST(market_cap AS VARCHAR), CAST(total_volumes AS VARCHAR), CASE WHEN src_id % 16 <> 3 THEN coin ELSE '' END) AS raw_line,
+       CASE WHEN spoiled THEN 'price' ELSE 'coin' END AS column_name,
+       CASE WHEN spoiled THEN 'not a decimal(18,5)' ELSE 'NULL in a NOT NULL column' END AS reason
+FROM (SELECT *, starts_with(coin, 'Nation-') AS spoiled FROM hourly_src) WHERE spoiled OR src_id % 16 = 3""",
+    "append_documents": _with() + "SELECT * FROM tweets_stg",
+    "coin_subset_long": _with() + "SELECT * FROM hourly_stg WHERE coin LIKE 'nation!_%' ESCAPE '!'",
+    "load_fact_append": _with(FACTS_SET) + "SELECT * FROM coin_stats_hist",
+    "monthly_price_stats_fact": _with(FACTS_SET) + MONTHLY_STATS.format(dd="date_dim_set"),
+    "pipeline_monthly": _with(FACTS_SET) + MONTHLY_STATS.format(dd="date_dim_set"),
+    "csv_roundtrip_events": "SELECT event_id, ts FROM events",
+    "export_all": _with(FACTS_SET, "m AS (" + MONTHLY_STATS.format(dd="date_dim_set") + ")") + " UNION ALL ".join([
+        _exported("snscrape_tweets_hist", "tweets_hist", "tweet"), _exported("coin_stats_hist", "coin_stats_hist", "coin_name"),
+        _exported("date_dim", "date_dim_set", "weekday"), _exported("cg_coin_list", "coin_dim", "name"),
+        _exported("cg_usd_min_anx_max", "m", "coin_name"),
     ]),
     "csv_roundtrip": _with() + "SELECT * FROM tweets_stg",
 }

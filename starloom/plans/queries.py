@@ -12,7 +12,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starloom import schemas as S
 from starloom.functions.calendar import epoch_millis, iso_text, millis_to_timestamp, text_to_epoch_seconds
@@ -24,18 +23,29 @@ from starloom.operators.facts import (
     build_coin_stats_hist,
     build_coin_stats_hist_by_id,
     build_tweets_hist,
+    coin_aliases,
     coin_stats_matches,
     tweets_matches,
 )
-from starloom.operators.joins import BROADCAST_MAX_ROWS, fits
+from starloom.operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, fits
 from starloom.operators.filters import coin_subset, last_n_days, time_range
 from starloom.operators.keys import append_with_keys, with_surrogate_key
 from starloom.plans import fixtures as fx
-from starloom.plans.tables import Catalog, load_dimension
+from starloom.plans.pipeline import (
+    EXPORTS,
+    T_COIN_DIM,
+    T_COIN_STATS,
+    T_DATE_DIM,
+    T_MONTHLY,
+    T_TWEETS_HIST,
+    Sources,
+    run_pipeline,
+)
+from starloom.plans.tables import Catalog, load_dimension, load_fact
 from starloom.session import configure, scratch_path
-from starloom.sinks.csv import export_csv, read_exported_csv
+from starloom.sinks.csv import export_csv, read_exported_csv, with_timestamp_text
 from starloom.sources.delimited import load_errors, stage_delimited
-from starloom.sources.documents import MARKET_CHART, flatten_market_chart, read_documents
+from starloom.sources.documents import MARKET_CHART, append_documents, flatten_market_chart, read_documents
 from starloom.sources.parquet import stage_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,11 +95,17 @@ class Model:
     @cached_property
     def small_coin_list(self) -> bool:
         # Each coin yields at most two aliases.
-        return fits(self.coin_stg, BROADCAST_MAX_ROWS // 2)
+        return fits(self.coin_stg, BROADCAST_MAX_ROWS // 2, BROADCAST_MAX_BYTES // 2)
+
+    @cached_property
+    def coin_list(self) -> DataFrame:
+        """The coins of the dimension without keys, for results that show none."""
+        return self.coin_stg.where(F.col("coin_id").isNotNull()).withColumn("coin_key", F.lit(None).cast("long"))
 
-    def coin_matches(self) -> DataFrame:
+    def coin_matches(self, keyed: bool = True) -> DataFrame:
         """Fact rows before the date join (``coin_stats_hist`` without ``date_key``)."""
-        return coin_stats_matches(self.hourly_src, self.coin_dim, self.small_coin_list)
+        coins = self.coin_dim if keyed else self.coin_list
+        return coin_stats_matches(self.hourly_src, coins, self.small_coin_list)
 
     def tweet_matches(self) -> DataFrame:
         """Fact rows before the date join (``snscrape_tweets_hist`` without ``date_key``)."""
@@ -110,13 +126,18 @@ class Model:
 
 # -- sources ---------------------------------------------------------------
 
-HOURLY_CSV_WRITE = {"sep": "|", "header": "true", "nullValue": "\\N", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+HOURLY_CSV_WRITE = {"sep": "|", "header": "true", "nullValue": "\\N"}
+
+
+def write_pipe_file(df: DataFrame, path: str) -> None:
+    """A frame as the pipe file that staging reads; timestamps keep their fraction."""
+    with_timestamp_text(df).write.options(**HOURLY_CSV_WRITE).csv(path)
 
 
 def q_stage_delimited(spark, sf_dir):
     m = Model(spark, sf_dir)
     path = scratch_path(spark, "hourly-csv")
-    m.hourly_stg.write.options(**HOURLY_CSV_WRITE).csv(path)
+    write_pipe_file(m.hourly_stg, path)
     return stage_delimited(spark, path + "/{name}", S.HOURLY_STG, params={"name": "*.csv"})
 
 
@@ -129,14 +150,15 @@ def q_stage_parquet(spark, sf_dir):
 
 def q_load_errors(spark, sf_dir):
     """Hourly rows written as the pipe file, with the price text of every
-    case-variant-id row spoiled; the report must list exactly those lines."""
+    case-variant-id row spoiled and some coins left out; the report must list
+    exactly those lines, with column and reason."""
     m = Model(spark, sf_dir)
     path = scratch_path(spark, "hourly-bad-csv")
-    spoiled = F.when(F.col("coin").startswith("Nation-"), F.concat(F.col("price").cast("string"), F.lit("x")))
-    m.hourly_stg.withColumn("price", spoiled.otherwise(F.col("price").cast("string"))).write.options(
-        **HOURLY_CSV_WRITE
-    ).csv(path)
-    return load_errors(spark, path, S.HOURLY_STG)
+    price = F.col("price").cast("string")
+    spoiled = m.hourly_src.withColumn("price", F.when(F.col("coin").startswith("Nation-"), F.concat(price, F.lit("x"))).otherwise(price))
+    spoiled = spoiled.withColumn("coin", F.when(F.col("src_id") % 16 != 3, F.col("coin")))
+    write_pipe_file(spoiled.drop("src_id"), path)
+    return load_errors(spark, path, S.HOURLY_STG).select("raw_line", "column_name", "reason")
 
 
 def q_read_documents(spark, sf_dir):
@@ -147,12 +169,21 @@ def q_read_documents(spark, sf_dir):
     return read_documents(spark, path, schema, where={"crypto": "R1"}).select(*S.TWEETS_STG.names)
 
 
+def q_append_documents(spark, sf_dir):
+    """Tweets appended to a collection in two goes, and read back."""
+    m = Model(spark, sf_dir)
+    path = scratch_path(spark, "tweets-appended")
+    for odd in (0, 1):
+        append_documents(m.tweets_stg.where(F.col("tweet_id") % 2 == odd), path)
+    return read_documents(spark, path, S.TWEETS_STG.struct())
+
+
 def q_flatten_market_chart(spark, sf_dir):
+    """Several documents of a coin, whose timestamps overlap."""
     m = Model(spark, sf_dir)
     path = scratch_path(spark, "market-chart-json")
     fx.market_chart_docs(m.hourly_src).write.json(path)
-    docs = read_documents(spark, path, T.StructType(MARKET_CHART.fields + [T.StructField("chunk", T.LongType())]))
-    return flatten_market_chart(docs, key_cols=["coin", "chunk"])
+    return flatten_market_chart(read_documents(spark, path, MARKET_CHART))
 
 
 def q_conform(spark, sf_dir):
@@ -174,6 +205,11 @@ def q_coin_subset(spark, sf_dir):
     return coin_subset(Model(spark, sf_dir).hourly_stg, COIN_LIST)
 
 
+def q_coin_subset_long(spark, sf_dir):
+    """A list beyond the IN-list bound: the same columns in the same order."""
+    return coin_subset(Model(spark, sf_dir).hourly_stg, [f"nation_{i}" for i in range(1200)])
+
+
 # -- dimensions ------------------------------------------------------------
 
 def q_coin_dim(spark, sf_dir):
@@ -214,10 +250,13 @@ def q_load_dimension_append(spark, sf_dir):
     m = Model(spark, sf_dir)
     cat = Catalog(spark, scratch_path(spark, "catalog"))
     first = _keyed_date_dim(m.tweets_stg, "datetime", "tweet_id")
-    existing = load_dimension(cat, "dim.date_dim", first, mode="delete", batch_id="tweets")
-    crypto = append_with_keys(existing, m.hourly_src.select("date", "src_id"), "date_key", ["date", "src_id"])
-    crypto = build_date_dim(crypto, "date", keep=["date_key"]).select(*S.DATE_DIM.names)
-    return load_dimension(cat, "dim.date_dim", crypto, mode="append", batch_id="crypto")
+    load_dimension(cat, "dim.date_dim", first, mode="delete", batch_id="tweets")
+    for _ in range(2):  # a repeated append gives the same keys
+        existing = cat.read("dim.date_dim", without_batch="crypto")
+        crypto = append_with_keys(existing, m.hourly_src.select("date", "src_id"), "date_key", ["date", "src_id"])
+        crypto = build_date_dim(crypto, "date", keep=["date_key"]).select(*S.DATE_DIM.names)
+        out = load_dimension(cat, "dim.date_dim", crypto, mode="append", batch_id="crypto")
+    return out
 
 
 # -- facts -----------------------------------------------------------------
@@ -258,7 +297,19 @@ def q_same_time_set(spark, sf_dir):
 
 
 def q_same_time_top5(spark, sf_dir):
-    return A.top_k(_same_time(spark, sf_dir, "bag"), 5)
+    m = Model(spark, sf_dir, "bag")
+    return A.same_time_top(m.coin_matches(), m.tweet_matches(), m.multiplicity(), 5)
+
+
+def q_load_fact_append(spark, sf_dir):
+    """A fact loaded in two batches, the appended one twice."""
+    m = Model(spark, sf_dir, "set")
+    cat = Catalog(spark, scratch_path(spark, "catalog"))
+    fact = m.coin_stats()
+    load_fact(cat, "crypto.coin_stats_hist", fact.where("coin_key % 2 = 0"), mode="delete", batch_id="even")
+    for _ in range(2):
+        out = load_fact(cat, "crypto.coin_stats_hist", fact.where("coin_key % 2 = 1"), mode="append", batch_id="odd")
+    return out
 
 
 # -- aggregates and orderings ---------------------------------------------
@@ -266,26 +317,70 @@ def q_same_time_top5(spark, sf_dir):
 def q_monthly_price_stats(spark, sf_dir):
     """A1 over the bag-mode fact, computed without building the fan-out: MIN/MAX
     are equal over the coin-matched staging rows (see ``analysis``)."""
-    return A.monthly_price_stats(Model(spark, sf_dir, "bag").coin_matches())
+    return A.monthly_price_stats(Model(spark, sf_dir, "bag").coin_matches(keyed=False))
 
 
 def q_monthly_price_stats_set(spark, sf_dir):
-    return A.monthly_price_stats(Model(spark, sf_dir, "set").coin_matches())
+    return A.monthly_price_stats(Model(spark, sf_dir, "set").coin_matches(keyed=False))
 
 
 def q_monthly_price_minmax(spark, sf_dir):
-    return A.monthly_price_minmax(Model(spark, sf_dir, "bag").coin_matches())
+    return A.monthly_price_minmax(Model(spark, sf_dir, "bag").coin_matches(keyed=False))
 
 
 def q_monthly_price_avg(spark, sf_dir):
     """A3 over the bag-mode fact: staging rows weighted by their timestamp's
     dimension-row count instead of materialising the fan-out."""
     m = Model(spark, sf_dir, "bag")
-    return A.monthly_price_avg_weighted(m.coin_matches(), m.multiplicity())
+    return A.monthly_price_avg_weighted(m.coin_matches(keyed=False), m.multiplicity())
 
 
 def q_monthly_price_avg_set(spark, sf_dir):
-    return A.monthly_price_avg_weighted(Model(spark, sf_dir, "set").coin_matches(), None)
+    return A.monthly_price_avg_weighted(Model(spark, sf_dir, "set").coin_matches(keyed=False), None)
+
+
+def q_monthly_price_stats_fact(spark, sf_dir):
+    """A1 as the reference computes it: fact joined to the date dimension by key."""
+    m = Model(spark, sf_dir, "set")
+    return A.monthly_price_stats(m.coin_stats(), m.date_dim)
+
+
+def _pipeline(spark, sf_dir, **options):
+    """The whole job over the fixtures, written as the files it stages."""
+    m = Model(spark, sf_dir, "set")
+    path = scratch_path(spark, "pipeline")
+    write_pipe_file(m.coin_stg, f"{path}/coins")
+    write_pipe_file(m.hourly_stg, f"{path}/hourly/2024")
+    m.tweets_stg.write.parquet(f"{path}/tweets")
+    src = Sources(f"{path}/coins", f"{path}/hourly/{{year}}", f"{path}/tweets", {"year": 2024})
+    return run_pipeline(spark, src, f"{path}/wh", date_mode="set", **options)
+
+
+def q_pipeline_monthly(spark, sf_dir):
+    """Stage, dimensions, checks, facts, checks, aggregate; its monthly table."""
+    return _pipeline(spark, sf_dir).table(T_MONTHLY)
+
+
+_EXPORTED = {
+    T_TWEETS_HIST: (S.TWEETS_HIST, "tweet"), T_COIN_STATS: (S.COIN_STATS_HIST, "coin_name"),
+    T_DATE_DIM: (S.DATE_DIM, "weekday"), T_COIN_DIM: (S.COIN_DIM, "name"), T_MONTHLY: (S.MONTHLY_STATS, "coin_name"),
+}
+
+
+def q_export_all(spark, sf_dir):
+    """The five exported tables read back: their rows and the characters of a text."""
+    prefix = scratch_path(spark, "export")
+    _pipeline(spark, sf_dir, export_prefix=prefix)
+    out = None
+    for name, table in EXPORTS:
+        schema, text = _EXPORTED[table]
+        back = read_exported_csv(spark, f"{prefix}/{name}.csv", schema.struct())
+        part = back.agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+            F.sum(F.char_length(text)).cast("long").alias("n_chars"),
+        ).select("table_name", "n_rows", "n_chars")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_monthly_sorted(spark, sf_dir):
@@ -325,14 +420,29 @@ def q_epoch_roundtrip(spark, sf_dir):
     )
 
 
+def _stored_facts(spark, sf_dir):
+    """Facts and dimensions written once, with faults: some keys NULL, and some
+    dimension rows taken away."""
+    m = Model(spark, sf_dir, "set")
+    cat = Catalog(spark, scratch_path(spark, "catalog"))
+    coin = F.when(F.col("coin_key") != 3, F.col("coin_key"))
+    date = F.when(F.col("date_key") % 11 != 0, F.col("date_key"))
+    out = {}
+    for name, df in (("coin_stats_hist", m.coin_stats()), ("tweets_hist", m.tweets())):
+        out[name] = load_fact(cat, name, df.withColumn("coin_key", coin).withColumn("date_key", date))
+    out["coin_dim"] = load_dimension(cat, "coin_dim", m.coin_dim.where("coin_key % 5 <> 0"))
+    out["date_dim"] = load_dimension(cat, "date_dim", m.date_dim.where("date_key % 7 <> 3"))
+    return m, out
+
+
 def q_null_key_report(spark, sf_dir):
-    m = Model(spark, sf_dir, "bag")
+    m, t = _stored_facts(spark, sf_dir)
     parts = [
         Q.null_key_report(m.coin_stg, ["coin_id", "symbol", "name"], "coin_stg"),
-        Q.null_key_report(m.coin_dim, ["coin_key"], "coin_dim"),
-        Q.null_key_report(m.date_dim, ["date_key"], "date_dim"),
-        Q.null_key_report(m.coin_stats(), ["coin_key", "date_key"], "coin_stats_hist"),
-        Q.null_key_report(m.tweets(), ["coin_key", "date_key"], "tweets_hist"),
+        Q.null_key_report(t["coin_dim"], ["coin_key"], "coin_dim"),
+        Q.null_key_report(t["date_dim"], ["date_key"], "date_dim"),
+        Q.null_key_report(t["coin_stats_hist"], ["coin_key", "date_key"], "coin_stats_hist"),
+        Q.null_key_report(t["tweets_hist"], ["coin_key", "date_key"], "tweets_hist"),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -341,9 +451,41 @@ def q_null_key_report(spark, sf_dir):
 
 
 def q_fk_orphans(spark, sf_dir):
-    m = Model(spark, sf_dir, "bag")
-    dims = {"coin_key": m.coin_dim, "date_key": m.date_dim}
-    return Q.fk_orphan_report({"coin_stats_hist": m.coin_stats(), "tweets_hist": m.tweets()}, dims)
+    _, t = _stored_facts(spark, sf_dir)
+    dims = {"coin_key": t["coin_dim"], "date_key": t["date_dim"]}
+    return Q.fk_orphan_report({n: t[n] for n in ("coin_stats_hist", "tweets_hist")}, dims)
+
+
+def q_run_checks(spark, sf_dir):
+    """A list of checks under both policies: how many rows each shows, and whether
+    the strict policy stops at it."""
+    m = Model(spark, sf_dir, "set")
+    checks = {
+        "coins without id": m.coin_stg.where("coin_id is null"),
+        "prices below zero": m.hourly_stg.where("price < 0"),
+        "tweets of unknown coins": m.tweets_stg.join(
+            coin_aliases(m.coin_list, ["name", "symbol"], upper=False), F.col("crypto") == F.col("_coin_alias"), "left_anti"
+        ),
+    }
+    shown = Q.run_checks(list(checks.values()), show=3)
+    rows = []
+    for (name, check), sample in zip(checks.items(), shown, strict=True):
+        try:
+            Q.run_checks([check], fail_if_rows=True)
+            failed = False
+        except Q.CheckFailed:
+            failed = True
+        rows.append((name, len(sample), failed))
+    return spark.createDataFrame(rows, "check_name string, shown long, failed boolean")
+
+
+def q_csv_roundtrip_events(spark, sf_dir):
+    """Microseconds survive an export."""
+    configure(spark)
+    path = scratch_path(spark, "events-export")
+    events = fx.table(spark, sf_dir, "events").select("event_id", "ts")
+    export_csv(events, path)
+    return read_exported_csv(spark, path, events.schema)
 
 
 def q_csv_roundtrip(spark, sf_dir):
@@ -358,11 +500,13 @@ QUERIES: dict[str, Query] = {
     "stage_parquet": q_stage_parquet,
     "load_errors": q_load_errors,
     "read_documents": q_read_documents,
+    "append_documents": q_append_documents,
     "flatten_market_chart": q_flatten_market_chart,
     "conform": q_conform,
     "last_n_days": q_last_n_days,
     "time_range": q_time_range,
     "coin_subset": q_coin_subset,
+    "coin_subset_long": q_coin_subset_long,
     "coin_dim": q_coin_dim,
     "date_dim_tweets": q_date_dim_tweets,
     "date_dim_crypto": q_date_dim_crypto,
@@ -375,11 +519,14 @@ QUERIES: dict[str, Query] = {
     "coin_stats_hist_by_id": q_coin_stats_hist_by_id,
     "tweets_hist": q_tweets_hist,
     "tweets_hist_set": q_tweets_hist_set,
+    "load_fact_append": q_load_fact_append,
     "tweets_and_stats_same_time": q_same_time,
     "tweets_and_stats_same_time_set": q_same_time_set,
     "tweets_and_stats_top5": q_same_time_top5,
     "monthly_price_stats": q_monthly_price_stats,
     "monthly_price_stats_set": q_monthly_price_stats_set,
+    "monthly_price_stats_fact": q_monthly_price_stats_fact,
+    "pipeline_monthly": q_pipeline_monthly,
     "monthly_price_minmax": q_monthly_price_minmax,
     "monthly_price_avg": q_monthly_price_avg,
     "monthly_price_avg_set": q_monthly_price_avg_set,
@@ -391,9 +538,8 @@ QUERIES: dict[str, Query] = {
     "epoch_roundtrip": q_epoch_roundtrip,
     "null_key_report": q_null_key_report,
     "fk_orphans": q_fk_orphans,
+    "run_checks": q_run_checks,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_roundtrip_events": q_csv_roundtrip_events,
+    "export_all": q_export_all,
 }
-
-# Queries checked by row count only (no SQL form): the report carries file paths
-# and modification times of files this query itself writes.
-NO_ORACLE = {"load_errors"}

@@ -1,28 +1,81 @@
 """Namespaced tables as parquet directories (C2, C3) and the load operators (L1, L2).
 
-``root/<schema>/<table>`` holds one sub-directory per load batch
-(``_batch=<id>``). ``mode="delete"`` replaces the whole table; any other mode
-appends a batch. Appends overwrite only their own batch directory (dynamic
-partition overwrite), so a retried load replaces what the failed attempt wrote
-instead of adding it twice. A frame that reads the files it is about to
-replace (the table for ``delete``, its own batch for an append) is first
-checkpointed to the cluster's shared checkpoint folder, so the overwrite
-never deletes its own input.
+A write never touches what is there. ``root/<schema>/<table>/g<generation>/
+b<batch>/a<attempt>`` is one finished write, marked by Spark's ``_SUCCESS`` file.
+A table is, of its newest generation with a finished write, the newest finished
+attempt of every batch. ``mode="delete"`` starts a generation, any other mode
+adds an attempt of its batch to the newest. So a failed write leaves the old rows,
+a retried one replaces its own batch, and a frame may read the table that it is
+written to. ``vacuum`` removes what no longer counts.
 """
 
 from __future__ import annotations
 
-import posixpath
+import re
 from dataclasses import dataclass
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starloom.schemas import TableSchema
-from starloom.session import checkpoint_dir, configure
+from starloom.session import configure
 
-BATCH = "_batch"
+_DONE = "_SUCCESS"
+
+
+def _part(batch_id: str | int) -> str:
+    """A batch id as a directory name: what is not a letter, digit or dash by its code."""
+    return "b" + re.sub(r"[^A-Za-z0-9-]", lambda m: f"_{ord(m[0]):x}_", str(batch_id))
+
+
+class _Folder:
+    """The few file-system calls a table needs, on whatever store its path names."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm, self.path = spark._jvm, path
+        at = self.jvm.org.apache.hadoop.fs.Path(path)
+        self.fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    def children(self, name: str = "") -> list[str]:
+        if not self.fs.exists(self._at(name)):
+            return []
+        return sorted(s.getPath().getName() for s in self.fs.listStatus(self._at(name)))
+
+    def has(self, name: str) -> bool:
+        return self.fs.exists(self._at(name))
+
+    def remove(self, name: str) -> None:
+        self.fs.delete(self._at(name), True)
+
+
+def _numbered(names: list[str], letter: str) -> list[str]:
+    """The children with a number, newest first."""
+    return sorted((n for n in names if re.fullmatch(rf"{letter}[0-9]{{8}}", n)), reverse=True)
+
+
+def _attempts(folder: _Folder, generation: str) -> dict[str, str]:
+    """The newest finished attempt of every batch of a generation."""
+    out = {}
+    for batch in folder.children(generation):
+        for attempt in _numbered(folder.children(f"{generation}/{batch}"), "a"):
+            if folder.has(f"{generation}/{batch}/{attempt}/{_DONE}"):
+                out[batch] = f"{generation}/{batch}/{attempt}"
+                break
+    return out
+
+
+def _current(folder: _Folder) -> tuple[str | None, dict[str, str]]:
+    for generation in _numbered(folder.children(), "g"):
+        if found := _attempts(folder, generation):
+            return generation, found
+    return None, {}
+
+
+def _next(names: list[str], letter: str) -> str:
+    last = _numbered(names, letter)
+    return f"{letter}{int(last[0][1:]) + 1 if last else 0:08d}"
 
 
 @dataclass
@@ -36,52 +89,52 @@ class Catalog:
         return f"{self.root.rstrip('/')}/{schema or 'public'}/{table}"
 
     def exists(self, name: str) -> bool:
-        try:
-            self.spark.read.parquet(self.path(name)).schema
-            return True
-        except Exception:  # AnalysisException: path does not exist / no files
-            return False
-
-    def read(self, name: str, schema: TableSchema | None = None) -> DataFrame:
-        """The table's rows; with ``schema``, a table that does not exist yet reads
-        as empty (``CREATE TABLE IF NOT EXISTS`` followed by a read)."""
-        if schema is not None and not self.exists(name):
+        """Whether the table has a finished write; an unreachable or forbidden
+        folder raises."""
+        return bool(_current(_Folder(self.spark, self.path(name)))[1])
+
+    def read(self, name: str, schema: TableSchema | None = None, without_batch: str | int | None = None) -> DataFrame:
+        """The table's rows, without those of one batch if asked. With ``schema``, a
+        table (or a rest) that does not exist yet reads as empty (``CREATE TABLE IF
+        NOT EXISTS`` followed by a read)."""
+        path = self.path(name)
+        _, found = _current(_Folder(self.spark, path))
+        parts = [f"{path}/{p}" for b, p in found.items() if without_batch is None or b != _part(without_batch)]
+        if parts:
+            return self.spark.read.parquet(*parts)
+        if schema is not None:
             return self.spark.createDataFrame([], schema.struct())
-        df = self.spark.read.parquet(self.path(name))
-        return df.drop(BATCH) if BATCH in df.columns else df
-
-
-def _path_part(uri: str) -> str:
-    """Path component only: a match on another file system costs at most an extra checkpoint."""
-    return posixpath.normpath(urlparse(uri).path or uri)
-
-
-def _reads_from(df: DataFrame, path: str) -> bool:
-    target = _path_part(path)
-    return any(_path_part(f).startswith(target + "/") for f in df.inputFiles())
+        if found:  # only the batch that is left out
+            return self.spark.read.parquet(*[f"{path}/{p}" for p in found.values()]).where("false")
+        raise FileNotFoundError(f"no finished write of {name} under {path}")
+
+    def vacuum(self, name: str) -> int:
+        """Remove superseded and unfinished writes; how many. Not while the table is
+        being written or an older state of it read."""
+        folder = _Folder(self.spark, self.path(name))
+        generation, found = _current(folder)
+        n = 0
+        for g in _numbered(folder.children(), "g"):
+            for batch in folder.children(g):
+                for attempt in folder.children(f"{g}/{batch}"):
+                    if g != generation or found.get(batch) != f"{g}/{batch}/{attempt}":
+                        folder.remove(f"{g}/{batch}/{attempt}")
+                        n += 1
+        return n
 
 
 def write_table(df: DataFrame, path: str, mode: str = "delete", batch_id: str | int = 0) -> None:
     """``delete``: clear and load (S3, C3). Anything else: idempotent append of one batch."""
     spark = df.sparkSession
     configure(spark)
-    # Only what this write replaces must not be read: the whole table for
-    # ``delete``, the batch's own directory for an append.
-    replaced = path if mode == "delete" else f"{path.rstrip('/')}/{BATCH}={batch_id}"
-    if _reads_from(df, replaced):
-        # Copy to the shared checkpoint folder first; persisting lets the
-        # checkpoint job reuse what its counting job computed.
-        checkpoint_dir(spark)
-        src = df.persist()
-        df = src.checkpoint(eager=True)
-        src.unpersist()
-    out = df.withColumn(BATCH, F.lit(str(batch_id)))
-    writer = out.write.partitionBy(BATCH).mode("overwrite")
-    if mode == "delete":
-        writer = writer.option("partitionOverwriteMode", "static")
-    else:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    folder = _Folder(spark, path.rstrip("/"))
+    generation, _ = _current(folder)
+    if mode == "delete" or generation is None:
+        generation = _next(folder.children(), "g")
+    batch = f"{generation}/{_part(batch_id)}"
+    df.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(
+        f"{folder.path}/{batch}/{_next(folder.children(batch), 'a')}"
+    )
 
 
 def load_dimension(catalog: Catalog, name: str, df: DataFrame, mode: str = "delete", batch_id: str | int = 0) -> DataFrame:

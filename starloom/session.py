@@ -41,7 +41,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    if not configured:  # tests and local runs only; a cluster names a shared folder
+    if not configured:
+        # tests and local runs only: on a cluster this folder would be another one
+        # on every executor
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor shares")
         configured = tempfile.mkdtemp(prefix="starloom-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(configured)
@@ -59,9 +63,4 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (tests only)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["configure", "checkpoint_dir", "scratch_path", "shuffle_partitions", "local_path"]
+__all__ = ["configure", "checkpoint_dir", "scratch_path", "shuffle_partitions"]

@@ -1,6 +1,6 @@
 """CSV export (X1, X2): header, no index, overwrite, bytes as a pandas export.
 
-Timestamps as ``yyyy-MM-dd HH:mm:ss``, quotes doubled, NULL and '' both empty,
+Timestamps as ``yyyy-MM-dd HH:mm:ss``, with a fraction where it is not zero, quotes doubled, NULL and '' both empty,
 leading and trailing blanks kept. Spark writes one directory of part files per
 table from the executors; ``single_file`` coalesces to one task and is meant for
 small tables only.
@@ -10,14 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from starloom.session import configure
 
 CSV_WRITE_OPTIONS = {
     "header": "true",
     "escape": '"',
     "emptyValue": "",
-    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
-    "timestampFormat": "yyyy-MM-dd HH:mm:ss",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
@@ -28,17 +30,36 @@ CSV_READ_OPTIONS = {
     "multiLine": "true",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    "mode": "FAILFAST",
 }
 
 
+def timestamp_text(ts: Column) -> Column:
+    """A timestamp as text; the fraction appears only where it is not zero."""
+    whole = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    return F.when(F.date_format(ts, "SSSSSS") == "000000", whole).otherwise(
+        F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    )
+
+
+def with_timestamp_text(df: DataFrame) -> DataFrame:
+    """The frame with its timestamp columns as text."""
+    stamps = {f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType | T.TimestampNTZType)}
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    return df.select(*[timestamp_text(x).alias(c) if c in stamps else x for c, x in zip(df.columns, cols, strict=True)])
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
+    with_timestamp_text(out).write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
 
 
 def read_exported_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read an export back (texts may hold newlines, hence multiLine)."""
+    """Read an export back (texts may hold newlines, hence multiLine); a line that
+    does not fit the schema fails the read."""
+    configure(spark)
     return spark.read.schema(schema).options(**CSV_READ_OPTIONS).csv(path)
 
 

@@ -25,12 +25,18 @@ def render_path(template: str, **params) -> str:
     return template.format(**params)
 
 
+# Timestamps of staged files, with or without a fraction of a second.
+STAMP = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+
+
 def _csv_options(sep: str, header: bool) -> dict[str, str]:
     return {
         "sep": sep,
         "header": str(header).lower(),
         "quote": "",
         "nullValue": NULL_MARKER,
+        "timestampNTZFormat": STAMP,
+        "timestampFormat": STAMP,
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
     }
@@ -55,27 +61,40 @@ def stage_delimited(
 def load_errors(
     spark: SparkSession, path: str | list[str], schema: TableSchema, sep: str = "|", header: bool = True
 ) -> DataFrame:
-    """Lines that do not parse under the declared schema (bad values, too few or
-    too many fields), newest file first: (file_path, file_modified, raw_line,
-    parsed columns). One distributed pass, no cache."""
+    """Lines that do not fit the declared schema, newest file first: (file_path,
+    file_modified, raw_line, column_name, reason). The reason is the first of: a
+    wrong number of fields, a value that is not of its column's type, NULL in a NOT
+    NULL column, a text beyond its column's length. One distributed pass, no cache.
+
+    The raw line of a line that parses is put together from its fields, so a NULL
+    marker shows as an empty field there.
+    """
     configure(spark)
-    read_schema = T.StructType(schema.struct().fields + [T.StructField(RAW, T.StringType(), True)])
-    parsed = (
-        spark.read.schema(read_schema)
-        .options(**_csv_options(sep, header))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", RAW)
-        .csv(path)
-    )
-    # Spark will not read the corrupt-record column alone from a raw file, so
-    # the parsed columns stay in the report (NULL where a value did not parse).
+    fields = [T.StructField(n, T.StringType(), True) for n in schema.names]
+    raw = spark.read.schema(T.StructType([*fields, T.StructField(RAW, T.StringType(), True)])).options(
+        **_csv_options(sep, header)
+    ).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW).csv(path)
+    rules = [(F.col(RAW).isNotNull(), F.lit(None).cast("string"), "wrong number of fields")]
+    for c in schema.columns:
+        value = F.col(c.name)
+        typed = value.try_cast(c.dtype)
+        rules.append((value.isNotNull() & typed.isNull(), F.lit(c.name), f"not a {c.dtype.simpleString()}"))
+        if not c.nullable:
+            rules.append((value.isNull(), F.lit(c.name), "NULL in a NOT NULL column"))
+        if c.max_len is not None and isinstance(c.dtype, T.StringType):
+            rules.append((F.char_length(value) > c.max_len, F.lit(c.name), f"longer than {c.max_len}"))
+    found = F.lit(None).cast("struct<column_name: string, reason: string>")
+    for bad, column, reason in reversed(rules):
+        found = F.when(bad, F.struct(column.alias("column_name"), F.lit(reason).alias("reason"))).otherwise(found)
+    line = F.concat_ws(sep, *[F.coalesce(n, F.lit("")) for n in schema.names])
     return (
-        parsed.select(
+        raw.select(
             F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_modification_time").alias("file_modified"),
-            F.col(RAW).alias("raw_line"),
-            *schema.names,
+            F.coalesce(RAW, line).alias("raw_line"),
+            found.alias("_found"),
         )
-        .where(F.col("raw_line").isNotNull())
+        .where("_found is not null")
+        .select("file_path", "file_modified", "raw_line", "_found.column_name", "_found.reason")
         .orderBy(F.col("file_modified").desc(), "file_path", "raw_line")
     )

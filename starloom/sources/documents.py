@@ -3,8 +3,6 @@ documents flattened into rows (S7)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,9 +22,11 @@ def read_documents(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None,
     where: dict | None = None, drop_id: bool = True,
 ) -> DataFrame:
-    """A document collection with an equality filter (``find(query)``), ``_id`` dropped."""
+    """A document collection with an equality filter (``find(query)``), ``_id``
+    dropped. A broken line or a value of the wrong type fails the read."""
     configure(spark)
-    reader = spark.read.schema(schema) if schema is not None else spark.read
+    reader = spark.read.option("mode", "FAILFAST")
+    reader = reader.schema(schema) if schema is not None else reader
     df = reader.json(path)
     for field, value in (where or {}).items():
         df = df.where(F.col(field) == F.lit(value))
@@ -38,39 +38,50 @@ def append_documents(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def _merge_by_grouping(docs: DataFrame, keys: list[str]) -> DataFrame:
-    """Exact many-to-many merge with one pass over the documents: all points of
-    the three series exploded at once (tagged), grouped by (document, date),
-    and each group's value lists expanded into their product (an empty list
-    gives no rows, as an inner join). Groups hold one document's points at one
-    timestamp, so they stay small."""
+def _points(docs_series: list[str]):
+    """All points of a document's series, tagged by series and sorted by time;
+    points without a time meet nothing."""
     def tag(i: int):
-        return lambda p: F.struct(F.lit(i).alias("s"), p[0].alias("t"), p[1].alias("v"))
+        return lambda p: F.struct(p[0].alias("t"), F.lit(i).alias("s"), p[1].alias("v"))
 
-    tagged = F.concat(*[F.transform(F.col(src), tag(i)) for i, (src, _) in enumerate(SERIES)])
-    pts = docs.select(*keys, F.explode(tagged).alias("_q")).select(
-        *keys, F.col("_q.s").alias("_s"), F.col("_q.t").alias("_t"), F.col("_q.v").alias("_v")
-    )
-    grouped = pts.groupBy(*keys, "_t").agg(*[
-        F.collect_list(F.when(F.col("_s") == i, F.struct(F.col("_v").alias("v")))).alias(f"_l{i}")
-        for i in range(len(SERIES))
-    ])
-    out = grouped
-    for i, (_, name) in enumerate(SERIES):
-        out = out.select("*", F.explode(f"_l{i}").alias(f"_e{i}")).withColumn(name, F.col(f"_e{i}.v"))
-    return out.select(millis_to_timestamp(F.col("_t")).alias("date"), *[n for _, n in SERIES], "coin")
+    every = [F.coalesce(F.transform(F.col(c), tag(i)), F.array()) for i, c in enumerate(docs_series)]
+    return F.array_sort(F.filter(F.concat(*every), lambda p: p["t"].isNotNull()))
+
+
+def _merged(group):
+    """The product of one timestamp's values in the three series."""
+    def of(i: int):
+        return F.filter(group, lambda p: p["s"] == i)
 
+    def row(a, b, c):
+        return F.struct(a["t"].alias("t"), a["v"].alias("a"), b["v"].alias("b"), c["v"].alias("c"))
 
-def flatten_market_chart(docs: DataFrame, key_cols: Sequence[str] | None = None) -> DataFrame:
+    return F.flatten(F.transform(of(0), lambda a: F.flatten(F.transform(of(1), lambda b: F.transform(of(2), lambda c: row(a, b, c))))))
+
+
+def flatten_market_chart(docs: DataFrame) -> DataFrame:
     """One row per timestamp present in all three series of a document.
 
-    The reference merges one coin's three frames on date: an inner join, so a
-    timestamp missing from a series drops and a repeated one multiplies. Here
-    the documents are read once: every point of the three series is exploded
-    in one generator (tagged by series), grouped by (document, date), and each
-    group's value lists are expanded into their product. ``key_cols`` identify
-    a document (default: every non-series column); the output keeps ``coin``.
+    The reference merges one document's three frames on date and then stacks the
+    documents: an inner join within each document, so a timestamp missing from a
+    series drops and a repeated one multiplies, and equal timestamps of different
+    documents never meet. Here each document is merged inside its row: the points
+    sorted by time, cut where the time changes, and each cut multiplied out. No
+    shuffle, and no group beyond a document. Null series are empty.
     """
-    series_names = [s for s, _ in SERIES]
-    keys = list(key_cols) if key_cols is not None else [c for c in docs.columns if c not in series_names]
-    return _merge_by_grouping(docs, keys)
+    sorted_ = docs.select("coin", _points([c for c, _ in SERIES]).alias("_p"))
+    p = F.col("_p")
+    # places (from 1) where a new time begins
+    new = F.filter(
+        F.transform(p, lambda x, i: F.when((i == 0) | (x["t"] != F.get(p, i - 1)["t"]), i + 1)), lambda i: i.isNotNull()
+    )
+    cut = sorted_.select("coin", "_p", new.alias("_b"))
+    ends = lambda k: F.coalesce(F.get(F.col("_b"), k + 1), F.size("_p") + 1)
+    groups = F.transform("_b", lambda b, k: _merged(F.slice(p, b, ends(k) - b)))
+    # outer: a plain explode would repeat the merge in a filter below it
+    rows = cut.select("coin", F.explode_outer(F.flatten(groups)).alias("_r")).where("_r is not null")
+    return rows.select(
+        millis_to_timestamp(F.col("_r.t")).alias("date"),
+        *[F.col(f"_r.{x}").alias(n) for x, (_, n) in zip("abc", SERIES, strict=True)],
+        "coin",
+    )

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.session import shuffle_partitions
+
 # Largest side we are willing to ship to every executor. The coin alias list of a
 # real market-data source is in the tens of thousands of rows.
 BROADCAST_MAX_ROWS = 1_000_000
@@ -60,6 +62,8 @@ def product_join(left: DataFrame, right: DataFrame, keys: list[str], block: int
             .drop("_p", "_q")
         )
 
-    a = dealt(left, "_p", "_q", "_i", "_j")
-    b = dealt(right, "_q", "_p", "_j", "_i")
-    return a.join(b, [*keys, "_i", "_j"]).drop("_i", "_j")
+    # a fixed number of tasks: what they read is small, so it must not be merged again
+    n, cell = shuffle_partitions(left.sparkSession), [*keys, "_i", "_j"]
+    a = dealt(left, "_p", "_q", "_i", "_j").repartition(n, *cell)
+    b = dealt(right, "_q", "_p", "_j", "_i").repartition(n, *cell)
+    return a.join(b, cell).drop("_i", "_j")

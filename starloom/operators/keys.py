@@ -66,13 +66,15 @@ def with_surrogate_key(
     keys = df.select(key.alias("k"))
     bounds = _bounds(keys, n) if n > 1 else []
     placed = df.withColumn(_BUCKET, _bucket(key, bounds, keys.schema["k"].dataType.fields))
+    # a bucket a task, which is also how the numbering window needs the rows
+    dealt = placed.repartitionById(n, F.col(_BUCKET))
     counts = placed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_BUCKET, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
     local = F.row_number().over(Window.partitionBy(_BUCKET).orderBy(*order)) - 1
     first = start if isinstance(start, Column) else F.lit(start)
     return (
-        placed.withColumn(name, local)
+        dealt.withColumn(name, local)
         .join(F.broadcast(offsets), _BUCKET)
         .withColumn(name, (first + F.col(_OFF) + F.col(name)).cast("long"))
         .drop(_BUCKET, _OFF)

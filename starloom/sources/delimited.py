@@ -25,18 +25,12 @@ def render_path(template: str, **params) -> str:
     return template.format(**params)
 
 
-# Timestamps of staged files, with or without a fraction of a second.
-STAMP = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
-
-
 def _csv_options(sep: str, header: bool) -> dict[str, str]:
     return {
         "sep": sep,
         "header": str(header).lower(),
         "quote": "",
         "nullValue": NULL_MARKER,
-        "timestampNTZFormat": STAMP,
-        "timestampFormat": STAMP,
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
     }

@@ -94,7 +94,7 @@ def test_date_dim_plan_has_no_single_partition_exchange_over_rows(spark):
     dd = build_date_dim_from_sources(st_["tweets_stg"], st_["hourly_stg"], "bag")
     dd.collect()
     lines = plan_text(dd).split("\n")
-    assert any("rangepartitioning" in ln for ln in lines)
+    assert any("shufflepartitionidpassthrough" in ln for ln in lines)
     assert not any("BroadcastNestedLoopJoin" in ln for ln in lines)
     # Every single-partition exchange sits on the per-partition counts (one row
     # per range partition), never on row data.
@@ -102,7 +102,7 @@ def test_date_dim_plan_has_no_single_partition_exchange_over_rows(spark):
     assert singles
     for i in singles:
         below = next(ln for ln in lines[i + 1:] if "HashAggregate" in ln or "Scan" in ln or "Exchange" in ln)
-        assert "HashAggregate(keys=[_sk_pid" in below, below
+        assert "HashAggregate(keys=[_sk_bucket" in below, below
 
 
 # -- calendar --------------------------------------------------------------
@@ -302,7 +302,7 @@ def test_coin_join_falls_back_to_a_shuffle_join_beyond_the_bound(spark, monkeypa
         return [ln for ln in plan_text(df).split("\n") if "Join" in ln and "_coin_alias" in ln]
 
     assert any("BroadcastHashJoin" in ln for ln in coin_join(small))
-    monkeypatch.setattr(facts, "maybe_broadcast", lambda df: joins.maybe_broadcast(df, max_rows=1))
+    monkeypatch.setattr(facts, "maybe_broadcast", lambda df: F.broadcast(df) if joins.fits(df, 1) else df)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         big = match_coins(stg, dim, "coin", ["coin_id", "name"], upper=True)

@@ -149,7 +149,7 @@ def contaminated(
             o = rules[rule][-1]
             return hit[owner[hit] == owner[hit + o]]
 
-        for b in batches:
+        for b in N.parts(batches, 1):
             yield from _seed_rows(b.column(0).to_pylist(), b.column(1).to_pylist(), pick, window, masks)
 
     def compare(batches):

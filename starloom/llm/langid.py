@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.scratch import ship
+from starloom.llm.textnum import parts
 
 TRAIN_TEXTS = 400
 TRAIN_SYMBOLS = 24_000
@@ -242,7 +243,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", out: tuple[str,
     def run(batches):
         m = shared.value
         table = m.table()
-        for b in batches:
+        for b in parts(batches, at):
             got = list(zip(*m.classify(b.column(at).to_pylist(), table), strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(got[0], pa.string()), pa.array(got[1], pa.float64()), pa.array(got[2], pa.float64())],

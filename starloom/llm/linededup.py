@@ -88,9 +88,10 @@ def drop_boilerplate(pages: DataFrame, key: str, host: str, text: str, ratio: fl
 
 
 # What stands for a line end: parts of a page that hold no text, and block tags.
+# One pattern that begins with "<", so that a scan passes over the text quickly.
 _BREAKS = (
-    r"(?s)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
-    r"|</?(?:p|div|li|ul|ol|nav|h[1-6]|br|tr|td|table|article|footer|header|title|body|head|html)(?:\s[^>]*)?/?>"
+    r"(?s)<(?:script[^>]*>.*?</script>|style[^>]*>.*?</style>|!--.*?-->"
+    r"|/?(?:p|div|li|ul|ol|nav|h[1-6]|br|tr|td|table|article|footer|header|title|body|head|html)(?:\s[^>]*)?/?>)"
 )
 
 

@@ -57,3 +57,19 @@ def ship(spark: SparkSession) -> None:
     shutil.copytree(package, copy, ignore=shutil.ignore_patterns("__pycache__"))
     sc.addPyFile(shutil.make_archive(os.path.join(folder, "starloom"), "zip", os.path.dirname(copy)))
     sc._starloom_shipped = True
+
+
+def least_frequent(counted: DataFrame, column: str, bound: int) -> int:
+    """The smallest count that at most ``bound`` rows reach, so that the rows with it
+    or more are a table of bounded size. Reads one number for each distinct count,
+    of which there are about the square root of the total at most."""
+    from pyspark.sql import functions as F
+
+    sizes = counted.groupBy(F.col(column).alias("n")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("n"))
+    total, least = 0, None
+    for r in sizes.toLocalIterator():
+        total += r["rows"]
+        if total > bound:
+            return least if least is not None else r["n"] + 1
+        least = r["n"]
+    return 1

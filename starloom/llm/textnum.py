@@ -6,17 +6,25 @@ hashes depend only on the words' bytes, so all tasks agree on them.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
+PART_BYTES = 8 << 20
 
 _RNG = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _RNG.integers(1, 2**63, 1 << 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 GRAM = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
+# Words of more bytes are hashed one by one.
+LONG = 1024
+# The first n bytes of a little-endian word.
+_KEEP = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
+
 # Bytes of a word. SPACED: anything but blank and \t..\r. ALNUM: ASCII letters and
 # digits and every byte of a character beyond ASCII.
 SPACED = np.ones(256, dtype=bool)
@@ -47,31 +55,69 @@ def slices(texts: Sequence[bytes], limit: int = BATCH_BYTES) -> Iterator[tuple[i
         yield lo, len(texts)
 
 
+def parts(batches, at: int, limit: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """The Arrow batches in consecutive pieces of at most ``limit`` bytes of text
+    in column ``at`` (one row at least), so that what is made of a piece at once
+    does not depend on how Spark cut the batches."""
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo = 0
+        while lo < b.num_rows:
+            done = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, done + limit, side="right")))
+            yield b.slice(lo, hi - lo)
+            lo = hi
+
+
 def lowered(texts: Sequence[str | None]) -> list[bytes]:
     """UTF-8 with A-Z lower-cased and nothing else changed; null becomes empty."""
     return [t.encode("utf-8", "surrogatepass").lower() if t else b"" for t in texts]
 
 
-def words(texts: Sequence[bytes], is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(hashes, first)``: the hash of each word in order, and for each text the
-    index of its first word, with the total as a last entry."""
-    data = np.frombuffer(b" ".join(texts), dtype=np.uint8)
+def hashes(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hash of each of the given stretches of ``data``, which holds at least
+    eight bytes more than the last one's end."""
+    length = end - start
+    eight = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,))
+    h = length.astype(np.uint64) * GRAM[62]
+    at, left, which = start, length, None
+    for j in range(LONG // 8):
+        part = eight[at] & _KEEP[np.minimum(left, 8)]
+        if which is None:
+            h = mix(h + part * _PLACE[j])
+        else:
+            h[which] = mix(h[which] + part * _PLACE[j])
+        more = np.flatnonzero(left > 8)
+        if not len(more):
+            break
+        which = more if which is None else which[more]
+        at, left = at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(length > LONG):
+        digest = hashlib.blake2b(data[start[i] : end[i]], digest_size=8).digest()
+        h[i] = int.from_bytes(digest, "little")
+    return h
+
+
+def located(texts: Sequence[bytes], is_word: np.ndarray):
+    """``(hashes, first, data, start, end)``: the hash of each word in order, for
+    each text the index of its first word (the total last), and where each word
+    stands in ``data``."""
+    # a blank in front, and enough behind for eight bytes from any word's last
+    joined = b" " + b" ".join(texts) + b" " * 9
+    data = np.frombuffer(joined, dtype=np.uint8)
     inside = is_word[data]
-    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    start, end = edge[0::2], edge[1::2]
     size = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
-    offset = np.concatenate(([0], np.cumsum(size)))
-    first = np.searchsorted(start, offset)
-    if not len(start):
-        return np.empty(0, dtype=np.uint64), first
-    length = end - start
-    begin = np.concatenate(([0], np.cumsum(length)[:-1]))
-    place = np.arange(int(length.sum()), dtype=np.int64) - np.repeat(begin, length)
-    weight = _PLACE[place & 0xFFFF]
-    if int(length.max()) > 0xFFFF:
-        weight = weight + (place >> 16).astype(np.uint64) * GRAM[63]
-    h = np.add.reduceat(_BYTE[data[inside]] * weight, begin)
-    return mix(h + length.astype(np.uint64) * GRAM[62]), first
+    first = np.searchsorted(start, np.concatenate(([1], 1 + np.cumsum(size))))
+    h = hashes(joined, start, end)
+    return h, first, joined, start, end
+
+
+def words(texts: Sequence[bytes], is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word, and for each text the index of its first word."""
+    h, first, *_ = located(texts, is_word)
+    return h, first
 
 
 def grams(h: np.ndarray, offsets: Sequence[int]) -> np.ndarray:

@@ -1,0 +1,71 @@
+"""The index against brute force: footrule, exact search, recall, edges."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.llm import permutation as P
+
+
+def brute(rows, k=10):
+    ids = np.array([i for i, _ in rows])
+    v = np.array([x for _, x in rows], dtype=np.float32).astype(np.float64)
+    out = {}
+    for i in {i for i in ids.tolist() if i % 100 == 0}:
+        d = np.sqrt(((v - v[ids == i][0]) ** 2).sum(axis=1))
+        order = [j for j in np.lexsort((ids, d)) if ids[j] != i][:k]
+        out[i] = [(int(ids[j]), float(d[j])) for j in order]
+    return out
+
+
+def found(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        out.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        assert r["rank"] == len(out[r["query_id"]])
+    return out
+
+
+def test_footrule_of_posting_lists():
+    rng = np.random.default_rng(1)
+    v, pivots = rng.normal(size=(50, 5)), rng.normal(size=(12, 5))
+    index, order = P.InvertedFile(v, pivots, 6), P.orders(v, pivots, 6)
+    place = lambda o: {p: i for i, p in enumerate(o.tolist())}
+    for q in order[:10]:
+        mine = place(q)
+        want = [sum(abs(mine.get(p, 6) - place(o).get(p, 6)) for p in set(mine) | set(place(o))) for o in order]
+        assert index.footrule(q).tolist() == want
+
+
+def test_exact_with_copies_and_bad_vectors(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=4).round(1).tolist()) for i in range(450)]
+    rows += [(i, rows[0][1]) for i in range(600, 800)] + [(5, rows[5][1])]
+    good = list({i: (i, x) for i, x in rows}.values())
+    bad = [(900, None), (901, [0.0] * 4), (902, [1.0, None, 1.0, 1.0]), (903, [float("nan")] * 4), (904, []), (905, [1.0]),
+           (1000, [float("inf"), 1.0, 1.0, 1.0]), (None, [1.0] * 4)]
+    df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>").repartition(4)
+    df = df.withColumn("score", F.lit(1)).withColumn("id", F.lit("x"))  # names that clash with the result's
+    got = found(P.nearest_neighbours(df, F.col("vec_id") % 100 == 0, share=1.0, block=64))
+    want = brute(good)
+    assert got.keys() == want.keys()
+    for q in want:
+        assert [i for i, _ in got[q]] == [i for i, _ in want[q]]
+        assert np.allclose([s for _, s in got[q]], [s for _, s in want[q]], rtol=0, atol=1e-12)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall(spark, sf):
+    path = f"/root/testdata/{sf}"
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{path}/embeddings.parquet").collect()]
+    want, got = brute(rows), found(P.op8_nearest_neighbours(spark, path))
+    assert want.keys() == got.keys()
+    hit = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / len(want[q]) for q in want]
+    assert np.mean(hit) >= 0.9
+
+
+def test_few_and_no_rows(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    assert found(P.nearest_neighbours(df, F.col("vec_id") == 0)) == {0: [(1, float(np.sqrt(2.0)))]}
+    assert P.nearest_neighbours(df, F.col("vec_id") == 9).count() == 0
+    assert P.nearest_neighbours(df.where("false"), F.col("vec_id") == 0).count() == 0

@@ -13,14 +13,18 @@ distinct word shingles. The join is exact; only how pairs are found is filtered:
    at any size; any fixed order gives the same links. A set posts only its
    prefix: two linked sets must share a shingle there.
 3. *Candidates.* Postings of a shingle meet in one sorted run, read as a stream.
-   Pairs pass a length and a positional filter. Each run pairs its first
-   ``LEADERS`` classes with all others, which is every pair of a short run.
-   Longer runs are kept for step 5.
-4. *Verification.* Distinct pairs meet their sets (read once more, only for
-   classes in a pair), pass a suffix filter and are intersected, once per pair.
+   Pairs pass a length and a positional filter, and a suffix filter over small
+   parity bitmaps of the whole sets, whose Hamming distance never exceeds the
+   sets' difference. Each run pairs its first ``LEADERS`` classes with all others,
+   which is every pair of a short run. In a share of the longer runs each class
+   is also paired with the ``NEAREST`` ones by bitmap, which joins large groups of
+   near copies.
+4. *Verification.* The distinct pairs' sets are read once more and intersected,
+   once per pair.
 5. *The rest of long runs.* Components of the links so far settle most of a long
-   run. Its classes in different components are then paired in blocks, filtered
-   and verified as in 3 and 4; pairs within one component cannot change it.
+   run. Last, the pairs of its classes that are still in different components are
+   filtered as in 3, in blocks, and verified as in 4. Pairs within one component
+   cannot change it.
 
 So no link between different sets is lost, no group is expanded into all pairs,
 and no run, component or set is gathered on the driver.
@@ -37,6 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +57,11 @@ FREQUENT = 1 << 18
 LEADERS = 2
 #: Bits of the filter that drops sets of classes in no pair.
 CLASS_BITS = 1 << 22
+#: Nearest classes that a class of a long run is paired with, and one of how many
+#: long runs takes part.
+NEAREST, NEAR_SHARE = 4, 8
+#: Tokens of a class by which a pair's first common run is told.
+HEADS = 8
 #: Classes of a long run that one task compares with as many others.
 BLOCK = 2048
 
@@ -89,33 +99,58 @@ def class_name(s: np.ndarray) -> bytes:
     return N.mix(both + np.uint64(len(s))).tobytes()
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """Parities of the set's members over a power of two of at least 2 bits each."""
+    bits = 1 << max(6, (2 * len(s) - 1).bit_length())
+    place = (N.mix(s + N.GRAM[57]) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(bool)).tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets, from their bitmaps."""
+    a, b = np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def prefix_length(n: int, num: int, den: int) -> int:
     return n - -(-n * num // den) + 1
 
 
+def index_length(n, num: int, den: int):
+    """The part of the prefix in which the smaller of two linked sets (of either
+    where they are equally large) must meet the other's prefix."""
+    return n - -(-2 * n * num // (den + num)) + 1
+
+
 def least_overlap(total, num: int, den: int):
     """The overlap that sets of ``total`` members together need to link."""
     return -(-total * num // (den + num))
 
 
 def _scan(docs: DataFrame, n: int) -> DataFrame:
-    """First reading: ``kind 0``: (id, size, class) of every row; ``kind 1``:
+    """First reading: ``kind 0``: (id, size, class, bitmap) of every row; ``kind 1``:
     (shingle, count) of shingles that repeat within a block of rows."""
 
     def run(batches):
-        for b in batches:
-            ids, names, sizes, seen, hot = b.column(0), [], [], set(), []
+        for b in N.parts(batches, 1):
+            ids, names, sizes, maps, seen, hot = b.column(0), [], [], [], set(), []
             for s in shingle_sets(b.column(1).to_pylist(), n):
                 name = class_name(s) if len(s) else None
                 names.append(name)
                 sizes.append(len(s))
+                maps.append(bitmap(s) if len(s) else None)
                 if name is not None and name not in seen:
                     seen.add(name)
                     hot.append(s)
             k = len(names)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([0] * k, pa.int32()), ids, pa.array(sizes, pa.int64()), pa.array(names, pa.binary())],
-                names=["kind", "id", "n", "class"],
+                [pa.array([0] * k, pa.int32()), ids, pa.array(sizes, pa.int64()), pa.array(names, pa.binary()),
+                 pa.array(maps, pa.binary())],
+                names=["kind", "id", "n", "class", "bits"],
             )
             if hot:
                 tokens, count = np.unique(np.concatenate(hot), return_counts=True)
@@ -127,11 +162,12 @@ def _scan(docs: DataFrame, n: int) -> DataFrame:
                             pa.array(tokens.view(np.int64)),
                             pa.array(count.astype(np.int64)),
                             pa.nulls(len(tokens), pa.binary()),
+                            pa.nulls(len(tokens), pa.binary()),
                         ],
-                        names=["kind", "id", "n", "class"],
+                        names=["kind", "id", "n", "class", "bits"],
                     )
 
-    return docs.mapInArrow(run, "kind int, id long, n long, class binary")
+    return docs.mapInArrow(run, "kind int, id long, n long, class binary, bits binary")
 
 
 def _frequent(scan: DataFrame, bound: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +185,7 @@ def _postings(docs: DataFrame, frequent, n: int, num: int, den: int) -> DataFram
 
     def run(batches):
         known, count = shared.value
-        for b in batches:
+        for b in N.parts(batches, 1):
             seen, tokens, names, sizes, places = set(), [], [], [], []
             for s in shingle_sets(b.column(1).to_pylist(), n):
                 if not len(s) or (name := class_name(s)) in seen:
@@ -184,8 +220,13 @@ def _postings(docs: DataFrame, frequent, n: int, num: int, den: int) -> DataFram
 def _may_link(nx, i, ny, j, num: int, den: int):
     """Length filter, and positional filter for a shingle at places i and j."""
     small, large = np.minimum(nx, ny), np.maximum(nx, ny)
+    place = np.where(nx < ny, i, np.where(nx > ny, j, np.minimum(i, j)))
     most = np.minimum(nx - i, ny - j) + np.minimum(i, j)
-    return (small * den >= large * num) & (most >= least_overlap(nx + ny, num, den))
+    return (
+        (small * den >= large * num)
+        & (place < index_length(small, num, den))
+        & (most >= least_overlap(nx + ny, num, den))
+    )
 
 
 def _runs(postings: DataFrame, leaders: int, num: int, den: int) -> DataFrame:
@@ -238,6 +279,9 @@ def _runs(postings: DataFrame, leaders: int, num: int, den: int) -> DataFrame:
 
 def _pair(nx: int, i: int, ny: int, j: int, num: int, den: int) -> bool:
     small, large = (nx, ny) if nx <= ny else (ny, nx)
+    place = i if nx < ny else j if nx > ny else min(i, j)
+    if place >= index_length(small, num, den):
+        return False
     return small * den >= large * num and min(nx - i, ny - j) + min(i, j) >= least_overlap(nx + ny, num, den)
 
 
@@ -261,39 +305,57 @@ def overlap(x: bytes, y: bytes, num: int, den: int) -> int:
     return got if got >= need else -1
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The linked ones of the distinct candidate pairs, with their overlap."""
-    spark = docs.sparkSession
-    both = pairs.select(F.explode(F.array("a", "b")).alias("c"))
+def _bitmaps(scan: DataFrame) -> DataFrame:
+    return scan.where("kind = 0 and class is not null").select("class", "n", "bits").dropDuplicates(["class"])
+
+
+def _suffix_filter(scan: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """The distinct pairs whose bitmaps allow a link."""
+    maps = _bitmaps(scan)
+
+    def run(batches):
+        for b in batches:
+            rows = zip(*(b.column(i).to_pylist() for i in range(2, 6)), strict=True)
+            keep = [
+                m + k - least_difference(x, y) >= 2 * least_overlap(m + k, num, den) for m, x, k, y in rows
+            ]
+            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    left = maps.select(F.col("class").alias("a"), F.col("n").alias("m"), F.col("bits").alias("x"))
+    right = maps.select(F.col("class").alias("b"), F.col("n").alias("k"), F.col("bits").alias("y"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "m", "x", "k", "y")
+    return both.mapInArrow(run, "a binary, b binary")
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """``c, s``: the sets of the wanted classes, read from the texts. A bitmap of
+    fixed size drops most others before they are shuffled."""
     bucket = F.pmod(F.xxhash64("c"), F.lit(CLASS_BITS)).cast("int")
-    got = both.select(bucket.alias("k")).distinct().toPandas()["k"].to_numpy()
+    got = wanted.select(bucket.alias("k")).distinct().toPandas()["k"].to_numpy()
     mask = np.zeros(CLASS_BITS, dtype=bool)
     mask[got] = True
-    bitmap = spark.sparkContext.broadcast(np.packbits(mask))
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(mask))
 
     def run(batches):
-        for b in batches:
-            seen, names, sets = set(), [], []
+        bits = np.unpackbits(shared.value).view(bool)
+        for b in N.parts(batches, 1):
+            seen, sets = set(), []
             for s in shingle_sets(b.column(1).to_pylist(), n):
                 if len(s) and (name := class_name(s)) not in seen:
                     seen.add(name)
-                    names.append(name)
-                    sets.append(s)
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), _blobs(sets)], names=["c", "s"])
+                    if bits[xxhash.xxh64_intdigest(name, seed=42) % CLASS_BITS]:
+                        sets.append((name, s.tobytes()))
+            if sets:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*sets, strict=True)], names=["c", "s"])
 
-    if len(got) < CLASS_BITS // 4:
-        plain = run
-
-        def run(batches):
-            import xxhash
+    sets = docs.mapInArrow(run, "c binary, s binary").dropDuplicates(["c"])
+    return sets.join(wanted, "c", "left_semi")
 
-            bits = np.unpackbits(bitmap.value).view(bool)
-            for b in plain(batches):
-                keep = [bits[xxhash.xxh64_intdigest(c, seed=42) % CLASS_BITS] for c in b.column(0).to_pylist()]
-                yield b.filter(pa.array(keep, pa.bool_()))
 
-    sets = docs.mapInArrow(run, "c binary, s binary").dropDuplicates(["c"])
-    sets = stored(sets.join(both.distinct(), "c", "left_semi"), "sets")
+def _verified(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """The linked ones of the distinct candidate pairs, with their overlap."""
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), "wanted")
+    sets = stored(_sets(docs, wanted, n), "sets")
 
     def check(batches):
         for b in batches:
@@ -316,11 +378,83 @@ def _ordered(a: str, b: str):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
-def _across(members: DataFrame, roots: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of a long run's classes that lie in different components."""
-    known = members.join(roots.select(F.col("node").alias("a"), "root"), "a", "left").select(
-        "token", F.col("a").alias("c"), "at", F.coalesce("root", "a").alias("root")
-    )
+class _Bitmaps:
+    """Bitmaps of one group, by length, for many comparisons at once."""
+
+    def __init__(self, bits: list[bytes]):
+        self.length = np.array([len(x) for x in bits])
+        self.rows, self.place = {}, np.zeros(len(bits), dtype=np.int64)
+        for n in np.unique(self.length).tolist():
+            at = np.flatnonzero(self.length == n)
+            self.place[at] = np.arange(len(at))
+            self.rows[n] = np.frombuffer(b"".join(bits[i] for i in at), dtype=np.uint8).reshape(len(at), n)
+
+    def differences(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """``least_difference`` of each pair."""
+        out = np.zeros(len(i), dtype=np.int64)
+        for n, left in self.rows.items():
+            for m, right in self.rows.items():
+                both = np.flatnonzero((self.length[i] == n) & (self.length[j] == m))
+                for lo in range(0, len(both), 4096):
+                    at = both[lo : lo + 4096]
+                    x, y = left[self.place[i[at]]], right[self.place[j[at]]]
+                    while x.shape[1] > y.shape[1]:
+                        x = x[:, : x.shape[1] // 2] ^ x[:, x.shape[1] // 2 :]
+                    while y.shape[1] > x.shape[1]:
+                        y = y[:, : y.shape[1] // 2] ^ y[:, y.shape[1] // 2 :]
+                    out[at] = np.bitwise_count(x ^ y).sum(axis=1)
+        return out
+
+
+def _here_first(mine: np.ndarray, others: np.ndarray, token: int) -> np.ndarray:
+    """Which pairs of head lists do not surely meet in the run of an earlier token:
+    where two lists, in one order, have tokens in common, the first of these is the
+    run in which their pair is looked at; else any run may be."""
+    common = ((mine[:, :, None] == others[:, None, :]) & (mine[:, :, None] != -1)).any(axis=2)
+    first = mine[np.arange(len(mine)), common.argmax(axis=1)]
+    return ~common.any(axis=1) | (first == token)
+
+
+def _group_pairs(token, left, right, size, place, root, heads, maps, num, den, nearest):
+    """Pairs (i, j), i from ``left`` and j from ``right`` (the same rows or others),
+    that pass the filters; with ``nearest`` only so many for a row."""
+    a, b, d = [], [], []
+    rows = max(1, 100_000 // max(1, len(right)))
+    for lo in range(0, len(left), rows):
+        i, j = left[lo : lo + rows, None], right[None, :]
+        may = (root[i] != root[j]) & ((i < j) | (left is not right))
+        may &= (size[i] * den >= size[j] * num) & (size[j] * den >= size[i] * num)
+        p, q = np.nonzero(may)
+        i, j = left[lo + p], right[q]
+        ok = _may_link(size[i], place[i], size[j], place[j], num, den)
+        i, j = i[ok], j[ok]
+        ok = _here_first(heads[i], heads[j], token)
+        i, j = i[ok], j[ok]
+        total, apart = size[i] + size[j], maps.differences(i, j)
+        ok = total - apart >= 2 * least_overlap(total, num, den)
+        a.append(i[ok])
+        b.append(j[ok])
+        d.append(apart[ok])
+    i, j, apart = (np.concatenate(x) if x else np.empty(0, dtype=np.int64) for x in (a, b, d))
+    if nearest and len(i):
+        # both ways, as each row has its own nearest ones
+        one, other, far = np.concatenate((i, j)), np.concatenate((j, i)), np.concatenate((apart, apart))
+        order = np.lexsort((far, one))
+        one, other = one[order], other[order]
+        rank = np.arange(len(one)) - np.searchsorted(one, one)
+        return one[rank < nearest], other[rank < nearest]
+    return i, j
+
+
+def _within(scan: DataFrame, members: DataFrame, roots: DataFrame | None, num: int, den: int, nearest: int) -> DataFrame:
+    """Pairs of a long run's classes that pass the length, positional and suffix
+    filters; with ``roots`` only those in different components, with ``nearest``
+    only so many for a class."""
+    known = members.select("token", F.col("a").alias("c"), "at", F.col("a").alias("root"))
+    if roots is not None:
+        known = known.drop("root").join(roots.select(F.col("node").alias("c"), "root"), "c", "left").select(
+            "token", "c", "at", F.coalesce("root", "c").alias("root")
+        )
     spans = known.groupBy("token").agg(
         F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")
     ).where("lo <> hi")
@@ -328,27 +462,35 @@ def _across(members: DataFrame, roots: DataFrame, num: int, den: int) -> DataFra
     rest = known.join(spans, "token").withColumn("sides", sides).withColumn(
         "side", F.pmod(F.hash("c"), F.col("sides"))
     )
+    rest = stored(rest, "shingle-rest")
+    # the first tokens of each class's own runs of these, in the global order
+    place = F.col("at").bitwiseAND(0xFFFFFFFF)
+    heads = rest.select("c", F.struct(place.alias("i"), "token").alias("h")).groupBy("c").agg(
+        F.slice(F.transform(F.sort_array(F.collect_list("h")), lambda h: h["token"]), 1, HEADS).alias("heads")
+    )
+    rest = rest.join(_bitmaps(scan).select(F.col("class").alias("c"), "bits"), "c").join(heads, "c")
     # every pair of sides (p <= q) is one group; a class goes to the groups of its side
     dealt = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1))).select(
-        "token", F.least("side", "other").alias("p"), F.greatest("side", "other").alias("q"), "side", "c", "at", "root"
+        "token", F.least("side", "other").alias("p"), F.greatest("side", "other").alias("q"),
+        "side", "c", "at", "root", "bits", "heads",
     )
 
     def run(key, table):
         side = table.column("side").to_numpy()
         at = table.column("at").to_numpy()
-        root = np.array(table.column("root").to_pylist(), dtype=object)
+        root = np.unique(np.array(table.column("root").to_pylist(), dtype=object), return_inverse=True)[1]
         name = np.array(table.column("c").to_pylist(), dtype=object)
-        p, q = key[1].as_py(), key[2].as_py()
-        size, place = at >> 32, at & 0xFFFFFFFF
-        a, b = [], []
-        for i in np.flatnonzero(side == p):
-            near = np.flatnonzero((side == q) & (root != root[i]))
-            near = near[_may_link(size[i], place[i], size[near], place[near], num, den)]
-            if p == q:
-                near = near[near > i]
-            a += [name[i]] * len(near)
-            b += name[near].tolist()
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        heads = np.full((len(name), HEADS), -1, dtype=np.int64)
+        for i, h in enumerate(table.column("heads").to_pylist()):
+            heads[i, : len(h)] = h
+        token, p, q = (k.as_py() for k in key)
+        left = np.flatnonzero(side == p)
+        right = left if p == q else np.flatnonzero(side == q)
+        i, j = _group_pairs(
+            token, left, right, at >> 32, at & 0xFFFFFFFF, root, heads, _Bitmaps(table.column("bits").to_pylist()),
+            num, den, nearest,
+        )
+        return pa.table({"a": pa.array(name[i], pa.binary()), "b": pa.array(name[j], pa.binary())})
 
     return dealt.groupBy("token", "p", "q").applyInArrow(run, "a binary, b binary").select(*_ordered("a", "b")).distinct()
 
@@ -363,15 +505,19 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n
     scan = stored(_scan(texts, n), "shingle-scan")
     postings = _postings(texts, _frequent(scan, FREQUENT), n, num, den)
     runs = stored(_runs(postings, leaders, num, den), "shingle-runs")
-    pairs = stored(runs.where("token is null").select(*_ordered("a", "b")).distinct(), "pairs")
+    del postings
+    members = runs.where("token is not null").select("token", "a", "at")
+    some = members.where(F.pmod("token", F.lit(NEAR_SHARE)) == 0)
+    found = runs.where("token is null").select(*_ordered("a", "b")).distinct()
+    pairs = _suffix_filter(scan, found, num, den).unionByName(_within(scan, some, None, num, den, NEAREST))
+    pairs = stored(pairs.distinct(), "pairs")
     links = stored(_verified(texts, pairs, n, num, den), "links")
-    members = runs.where("token is not null")
     if not members.isEmpty():
-        cross = _across(members, components(links, "a", "b"), num, den)
-        more = stored(cross.join(pairs, ["a", "b"], "left_anti"), "pairs")
-        if not more.isEmpty():
-            links = links.unionByName(stored(_verified(texts, more, n, num, den), "links"))
-    return scan.where("kind = 0").drop("kind"), links
+        rest = _within(scan, members, components(links, "a", "b"), num, den, 0)
+        rest = stored(rest.join(pairs, ["a", "b"], "left_anti"), "pairs")
+        if not rest.isEmpty():
+            links = links.unionByName(stored(_verified(texts, rest, n, num, den), "links"))
+    return scan.where("kind = 0").drop("kind", "bits"), links
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = WORDS,

@@ -13,9 +13,8 @@ edges by unit, and fold Viterbi over them, ordered by their end, with Spark's
 UTF-8 bytes' pieces at ``UNKNOWN_PENALTY`` below the lowest score (or the unknown
 piece where the model has no byte pieces). Ties go to the longer last piece.
 
-*Documents.* Units that make up at least 1/``FREQUENT`` of all, hence at most
-``FREQUENT`` of them at any size, are sent to the tasks, which encode them in
-place. The rare rest meet the unit table in a join, and each document then gets
+*Documents.* The most frequent units, at most ``FREQUENT`` of them at any size, are
+sent to the tasks, which encode them in place. The rare rest meet the unit table in a join, and each document then gets
 its own few back. So neither a frequent unit nor the corpus's vocabulary is ever
 in one task.
 
@@ -34,20 +33,28 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.scratch import partitions, ship, stored
-from starloom.llm.textnum import GRAM, _PLACE, mix
+from starloom.llm.scratch import least_frequent, partitions, ship, stored
+from starloom.llm.textnum import hashes, parts
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-UNIT = 64
+UNIT = 63
 UNKNOWN_PENALTY = 10.0
 #: Bound of the units sent to the tasks.
-FREQUENT = 1 << 20
+FREQUENT = 1 << 19
 BATCH = 2 << 20
+#: Bytes of text whose units are counted together before they leave a task.
+COUNT_BYTES = 8 << 20
+
+
+# Bits of an edge's cost, piece id, start and end, from the lowest.
+_COST, _ID, _PLACE = 26, 18, 6
 
 
 @dataclass(frozen=True)
@@ -64,9 +71,25 @@ class Pieces:
     def longest(self) -> int:
         return max(len(t) for t, n in zip(self.text, self.normal, strict=True) if n)
 
+    def costs(self) -> list[int]:
+        """Each piece's negative score, and last an unknown character's, as whole
+        numbers: exact where the scores are whole, else to six places, and cut at the
+        largest that an edge holds."""
+        known = [-s for s, n in zip(self.score, self.normal, strict=True) if n]
+        if min(known) < 0:
+            raise ValueError("a piece's score is above 0")
+        scale = 1 if all(float(x).is_integer() for x in known) else 1_000_000
+        # a score beyond any sum of others within a unit only says: last of all
+        most = (1 << _COST) - 1 - round(UNKNOWN_PENALTY * scale)
+        out = [min(most, round(-s * scale)) if n else 0 for s, n in zip(self.score, self.normal, strict=True)]
+        out.append(max(out) + round(UNKNOWN_PENALTY * scale))
+        if len(out) > 1 << _ID:
+            raise ValueError("the model has too many pieces")
+        return out
+
     def table(self, spark: SparkSession) -> DataFrame:
-        rows = [(t, i, s) for i, (t, s, n) in enumerate(zip(self.text, self.score, self.normal, strict=True)) if n]
-        return spark.createDataFrame(rows, "piece string, id int, score double")
+        rows = [(t, i, c) for i, (t, c, n) in enumerate(zip(self.text, self.costs()[:-1], self.normal, strict=True)) if n]
+        return spark.createDataFrame(rows, "piece string, id int, cost long")
 
 
 def read_model(path: str = MODEL_PATH) -> Pieces:
@@ -95,45 +118,46 @@ def _kinds() -> np.ndarray:
     return kind
 
 
-def _cut(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Code points of the texts in a row, where each unit starts, and the first
-    unit of each text (with the number of units as a last entry)."""
-    code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+def _cut(texts: list[str]):
+    """``(name, first, data, begin, end)``: a 64-bit hash of every unit, the first
+    unit of each text (with the number of units as a last entry), and where the
+    units stand in ``data``, the texts' UTF-8 in a row."""
+    joined = "".join(texts)
+    code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    data = joined.encode("utf-8", "surrogatepass") + b" " * 8
+    where = np.cumsum([0, *map(len, texts)], dtype=np.int64)
+    if not len(code):
+        nothing = np.empty(0, dtype=np.int64)
+        return nothing.astype(np.uint64), where, data, nothing, nothing
     kind = _kinds()[code]
     edge = np.zeros(len(code) + 1, dtype=bool)
-    begin = np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
-    if len(code):
-        last, now = kind[:-1], kind[1:]
-        edge[1:-1] = (now != last) & (last != 0)
-        edge[begin] = True
-        edge[-1] = False
-        start = np.flatnonzero(edge)
-        length = np.diff(np.append(start, len(code)))
-        if int(length.max()) > UNIT:
-            extra = [np.arange(s + UNIT, s + n, UNIT) for s, n in zip(start, length, strict=True) if n > UNIT]
-            start = np.sort(np.concatenate([start, *extra]))
-    else:
-        start = np.empty(0, dtype=np.int64)
-    return code, start, np.searchsorted(start, begin)
-
-
-def _names(code: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each unit."""
-    if not len(start):
-        return np.empty(0, dtype=np.uint64)
+    edge[1:-1] = (kind[1:] != kind[:-1]) & (kind[:-1] != 0)
+    edge[where] = True
+    edge[-1] = False
+    start = np.flatnonzero(edge)
     length = np.diff(np.append(start, len(code)))
-    place = np.arange(len(code)) - np.repeat(start, length)
-    h = np.add.reduceat(mix(code.astype(np.uint64) + GRAM[59]) * _PLACE[place], start)
-    return mix(h + length.astype(np.uint64) * GRAM[58])
+    if int(length.max()) > UNIT:
+        long = np.flatnonzero(length > UNIT)
+        extra = [np.arange(start[i] + UNIT, start[i] + length[i], UNIT) for i in long]
+        start = np.sort(np.concatenate([start, *extra]))
+    first = np.searchsorted(start, where)
+    raw = np.frombuffer(data, dtype=np.uint8)[:-8]
+    # the byte at which each code point begins
+    begin = start if len(raw) == len(code) else np.flatnonzero((raw & 0xC0) != 0x80)[start]
+    end = np.append(begin[1:], len(raw))
+    return hashes(data, begin, end), first, data, begin, end
 
 
 def units(text: str) -> list[str]:
     """The units of one text that has its leading blank."""
     if not text:
         return []
-    _, start, _ = _cut([text])
-    at = [*start.tolist(), len(text)]
-    return [text[a:b] for a, b in zip(at, at[1:], strict=False)]
+    _, _, data, begin, end = _cut([text])
+    return [_text(data[a:b]) for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+
+
+def _text(raw: bytes) -> str:
+    return raw.decode("utf-8", "surrogatepass")
 
 
 def _groups(texts: list[str | None]):
@@ -155,25 +179,20 @@ def count_units(texts: DataFrame) -> DataFrame:
     ship(texts.sparkSession)
 
     def run(batches):
-        for b in batches:
-            names, counts, known = [], [], {}
+        for b in parts(batches, 0, COUNT_BYTES):
+            names, counts, spelled = [], [], []
             for _, held in _groups(b.column(0).to_pylist()):
-                code, start, _ = _cut(held)
-                name, first, n = np.unique(_names(code, start), return_index=True, return_counts=True)
-                joined = "".join(held)
-                end = np.append(start, len(joined))
-                for h, i in zip(name.tolist(), first.tolist(), strict=True):
-                    if h not in known:
-                        known[h] = joined[start[i] : end[i + 1]]
+                name, _, data, begin, end = _cut(held)
+                name, first, n = np.unique(name, return_index=True, return_counts=True)
                 names.append(name)
                 counts.append(n)
-            if not known:
+                spelled += [data[x:y] for x, y in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
+            if not spelled:
                 continue
-            every, back = np.unique(np.concatenate(names), return_inverse=True)
+            every, first, back = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
             total = np.bincount(back, weights=np.concatenate(counts)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([known[h] for h in every.tolist()], pa.string()), pa.array(total)], names=["unit", "n"]
-            )
+            column = pa.array([spelled[i] for i in first.tolist()], pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([column, pa.array(total)], names=["unit", "n"])
 
     return texts.mapInArrow(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
@@ -181,7 +200,6 @@ def count_units(texts: DataFrame) -> DataFrame:
 def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
     """``distinct`` (one row per ``unit``) with its ``ids``: the lattice and its fold."""
     spark = distinct.sparkSession
-    low = min(s for s, n in zip(pieces.score, pieces.normal, strict=True) if n) - UNKNOWN_PENALTY
     # one task's units stay together through the join, so grouping them is no shuffle
     words = distinct.repartition(partitions(spark), "unit")
     spans = words.select("unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("s")).select(
@@ -191,53 +209,96 @@ def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
     spans = spans.withColumn("piece", F.expr("substring(unit, s + 1, k)"))
     # the piece table is the model's, whatever the corpus
     found = spans.join(F.broadcast(pieces.table(spark)), "piece", "left").where("id is not null or k = 1")
-    if pieces.byte:
-        byte_ids = F.array(*[F.lit(i) for i in pieces.byte])
-        raw = F.hex(F.encode("piece", "UTF-8"))
-        fallback = F.transform(
-            F.sequence(F.lit(0), F.octet_length("piece") - 1),
-            lambda i: F.element_at(byte_ids, F.conv(F.substr(raw, 2 * i + 1, F.lit(2)), 16, 10).cast("int") + 1),
-        )
-    else:
-        fallback = F.array(F.lit(pieces.unknown))
-    edge = F.struct(
-        (F.col("s") + F.col("k")).alias("e"),
-        "s",
-        F.coalesce("score", F.lit(low)).alias("w"),
-        F.when(F.col("id").isNull(), fallback).otherwise(F.array("id")).alias("ids"),
+    # an edge as one number: end, start, piece (the table's size for a character
+    # that is no piece) and cost, so that edges sort by their end
+    size, cost = len(pieces.text), pieces.costs()[-1]
+    edge = F.expr(
+        f"shiftleft(cast(s + k as long), {_COST + _ID + _PLACE}) + shiftleft(cast(s as long), {_COST + _ID})"
+        f" + shiftleft(cast(coalesce(id, {size}) as long), {_COST}) + coalesce(cost, {cost})"
     )
     lattice = found.groupBy("unit").agg(F.collect_list(edge).alias("edges"))
-    fold = """
-      aggregate(
-        array_sort(edges),
-        named_struct('score', array(0D), 'path', array(array_repeat(0, 0))),
-        (a, x) -> CASE
-          WHEN size(a.score) <= x.e THEN named_struct(
-            'score', concat(a.score, array(a.score[x.s] + x.w)),
-            'path', concat(a.path, array(concat(a.path[x.s], x.ids))))
-          WHEN a.score[x.s] + x.w > a.score[x.e] THEN named_struct(
-            'score', concat(slice(a.score, 1, x.e), array(a.score[x.s] + x.w)),
-            'path', concat(slice(a.path, 1, x.e), array(concat(a.path[x.s], x.ids))))
-          ELSE a END,
-        a -> a.path[size(a.path) - 1])
-    """
-    return lattice.select("unit", F.expr(fold).alias("ids"))
+    lattice = lattice.select("unit", F.sort_array("edges").alias("edges"))
+
+    def field(x, shift: int, bits: int):
+        return F.shiftright(x, shift).bitwiseAND((1 << bits) - 1).cast("int")
+
+    def end(x):
+        return F.shiftright(x, _COST + _ID + _PLACE).cast("int")
+
+    def start(x):
+        return field(x, _COST + _ID, _PLACE)
+
+    def piece(x):
+        return field(x, _COST, _ID)
+
+    # least cost, and the edge that gives it, of every place
+    def step(a, x):
+        value = F.get(a["cost"], start(x)) + x.bitwiseAND((1 << _COST) - 1)
+        more = F.struct(F.concat(a["cost"], F.array(value)).alias("cost"), F.concat(a["back"], F.array(x)).alias("back"))
+        instead = F.struct(
+            F.concat(F.slice(a["cost"], 1, end(x)), F.array(value)).alias("cost"),
+            F.concat(F.slice(a["back"], 1, end(x)), F.array(x)).alias("back"),
+        )
+        return F.when(F.size(a["cost"]) <= end(x), more).when(value < F.get(a["cost"], end(x)), instead).otherwise(a)
+
+    none = F.array(F.lit(0).cast("long"))
+    zero = F.struct(none.alias("cost"), none.alias("back"))
+    best = lattice.select("unit", F.aggregate("edges", zero, step, lambda a: a["back"]).alias("back"))
+
+    # back from the last place to the first
+    def walk(a, _):
+        x = F.get(F.col("back"), a["at"])
+        taken = F.struct(start(x).alias("at"), F.concat(F.array(x), a["path"]).alias("path"))
+        return F.when(a["at"] == 0, a).otherwise(taken)
+
+    origin = F.struct((F.size("back") - 1).alias("at"), F.array().cast("array<bigint>").alias("path"))
+    best = best.select("unit", F.aggregate("back", origin, walk, lambda a: a["path"]).alias("path"))
+
+    def fallback(x):
+        if not pieces.byte:
+            return F.array(F.lit(pieces.unknown))
+        raw = F.hex(F.encode(F.substr(F.col("unit"), start(x) + 1, F.lit(1)), "UTF-8"))
+        byte = lambda i: F.conv(F.substr(raw, 2 * i + 1, F.lit(2)), 16, 10).cast("int")
+        numbers = F.array(*[F.lit(i) for i in pieces.byte])
+        return F.transform(F.sequence(F.lit(0), (F.length(raw) / 2 - 1).cast("int")), lambda i: F.get(numbers, byte(i)))
+
+    plain = F.transform("path", lambda x: piece(x))
+    whole = F.flatten(F.transform("path", lambda x: F.when(piece(x) == size, fallback(x)).otherwise(F.array(piece(x)))))
+    return best.select("unit", F.when(F.exists("path", lambda x: piece(x) == size), whole).otherwise(plain).alias("ids"))
+
+
+class Decoder:
+    """The texts of id sequences, without their leading blank."""
+
+    def __init__(self, pieces: Pieces):
+        self.parts = [t.encode("utf-8", "surrogatepass") for t in pieces.text]
+        for b, i in enumerate(pieces.byte):
+            self.parts[i] = bytes([b])
+
+    def raw(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.parts.__getitem__, ids)).removeprefix(b" ")
+
+    def text(self, ids: list[int]) -> str:
+        return self.raw(ids).decode("utf-8", "replace")
 
 
 class _Codes:
     """The frequent units by hash, and the ids of each."""
 
-    def __init__(self, rows: list[tuple[str, list[int]]]):
-        # a leading blank is part of a unit's text, so hash the units as they are
-        text = [u for u, _ in rows]
-        code = np.frombuffer("".join(text).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        size = np.array([len(t) for t in text], dtype=np.int64)
-        name = _names(code, np.cumsum(size) - size)
+    def __init__(self, best: pa.Table):
+        """Of ``unit, ids`` rows, the most frequent first; no row becomes an object."""
+        unit, ids = (best.column(c).combine_chunks() for c in ("unit", "ids"))
+        if not len(unit):
+            self.name, self.rank = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int32)
+            self.first, self.ids = np.zeros(1, dtype=np.int64), np.empty(0, dtype=np.int32)
+            return
+        end = np.cumsum(pc.binary_length(unit).to_numpy().astype(np.int64))
+        raw = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(unit)], pa.int32()), unit.cast(pa.binary())), b"")
+        name = hashes(raw[0].as_py() + b" " * 8, np.append(0, end[:-1]), end)
         order = np.argsort(name)
         self.name, self.rank = name[order], order.astype(np.int32)
-        count = np.array([len(i) for _, i in rows], dtype=np.int64)
-        self.first = np.concatenate(([0], np.cumsum(count)))
-        self.ids = np.array([i for _, ids in rows for i in ids], dtype=np.int32)
+        self.first = np.append(0, np.cumsum(pc.list_value_length(ids).to_numpy().astype(np.int64)))
+        self.ids = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
 
     def __len__(self) -> int:
         return len(self.name)
@@ -260,36 +321,76 @@ def _unpack(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
 
 
-def encode(docs: DataFrame, key: str, text: str, pieces: Pieces, ids: str = "ids", frequent: int = FREQUENT) -> DataFrame:
-    """``key``, ``h`` (hash of the text) and ``ids`` of every row."""
+def _filled(c: np.ndarray, codes: _Codes, tail: list[list[int]]) -> np.ndarray:
+    """The ids of a text's codes, with those of its rare units in their places."""
+    hole = np.flatnonzero(c == len(codes))
+    first = codes.first if len(codes) else np.zeros(2, dtype=np.int64)
+    c[hole] = 0
+    n = first[c + 1] - first[c]
+    n[hole] = [len(t) for t in tail]
+    at = np.cumsum(n) - n
+    out = np.empty(int(n.sum()), dtype=np.int32)
+    own = np.zeros(len(c), dtype=bool)
+    own[hole] = True
+    rare = np.repeat(own, n)
+    index = np.arange(len(out)) - np.repeat(at, n) + np.repeat(first[c], n)
+    out[~rare] = codes.ids[index[~rare]]
+    out[rare] = [i for t in tail for i in t]
+    return out
+
+
+def _unfolded(b: pa.RecordBatch, codes: _Codes, ids: str, decoder: Decoder, check: str | None) -> pa.RecordBatch:
+    """``key, h`` and the ids of rows of ``key, h, codes, own``."""
+    out, offset, absent, same = [np.empty(0, dtype=np.int32)], [0], [], []
+    for h, blob, own in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+        absent.append(blob is None)
+        if blob is not None:
+            tail = [o["ids"] for o in sorted(own or (), key=lambda o: o["no"])]
+            out.append(_filled(_unpack(blob), codes, tail))
+        if check:
+            # the hash that Spark gave the text
+            same.append(None if blob is None else xxhash.xxh64_intdigest(decoder.raw(out[-1].tolist()), seed=42) == h % (1 << 64))
+        offset.append(offset[-1] + (0 if blob is None else len(out[-1])))
+    lists = pa.ListArray.from_arrays(
+        pa.array(offset, pa.int32()), pa.array(np.concatenate(out), pa.int32()), mask=pa.array(absent, pa.bool_())
+    )
+    checked = [(check, pa.array(same, pa.bool_()))] if check else []
+    columns = [("key", b.column(0)), ("h", b.column(1)), (ids, lists), *checked]
+    return pa.RecordBatch.from_arrays([c for _, c in columns], names=[n for n, _ in columns])
+
+
+def encode(docs: DataFrame, key: str, text: str, pieces: Pieces, ids: str = "ids", frequent: int = FREQUENT,
+           check: str | None = None) -> DataFrame:
+    """``key``, ``h`` (xxhash64 of the text) and ``ids`` of every row; in a column
+    named by ``check`` also whether the ids, decoded where they are made, have the
+    text's hash."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
     counted = stored(count_units(rows.select("text")), "units")
     table = stored(encode_units(counted.select("unit"), pieces), "unit-ids")
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    often = counted.where(F.col("n") * F.lit(frequent) >= total)
+    often = counted.where(F.col("n") >= least_frequent(counted, "n", frequent))
     best = often.join(table, "unit").select("unit", "n", "ids").toArrow().sort_by([("n", "descending"), ("unit", "ascending")])
-    shared = spark.sparkContext.broadcast(
-        _Codes(list(zip(best.column("unit").to_pylist(), best.column("ids").to_pylist(), strict=True)))
-    )
+    shared = spark.sparkContext.broadcast(_Codes(best))
     del best
 
-    def run(batches):
+    def coder(only_rare: bool):
+        return lambda batches: run(batches, only_rare)
+
+    def run(batches, only_rare):
         codes = shared.value
-        for b in batches:
+        for b in parts(batches, 2):
             texts, blobs, tails = b.column(2).to_pylist(), [], []
             for lo, held in _groups(texts):
-                code, start, first = _cut(held)
-                got = codes.look_up(_names(code, start))
-                joined = "".join(held)
-                end = np.append(start, len(joined))
+                name, first, data, begin, end = _cut(held)
+                got = codes.look_up(name)
+                rare = np.flatnonzero(got == len(codes))
+                at = np.searchsorted(rare, first)
+                spelled = [data[x:y] for x, y in zip(begin[rare].tolist(), end[rare].tolist(), strict=True)]
                 for i in range(len(held)):
-                    u = slice(first[i], first[i + 1])
-                    blobs.append(None if texts[lo + i] is None else _pack(got[u]))
-                    rare = np.flatnonzero(got[u] == len(codes)) + first[i]
-                    tails.append([joined[start[r] : end[r + 1]] for r in rare])
+                    blobs.append(None if only_rare or texts[lo + i] is None else _pack(got[first[i] : first[i + 1]]))
+                    tails.append(spelled[at[i] : at[i + 1]])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(blobs, pa.binary()), pa.array(tails, pa.list_(pa.string()))],
+                [b.column(0), b.column(1), pa.array(blobs, pa.binary()), pa.array(tails, pa.list_(pa.binary())).cast(pa.list_(pa.string()))],
                 names=["key", "h", "codes", "rare"],
             )
 
@@ -298,60 +399,31 @@ def encode(docs: DataFrame, key: str, text: str, pieces: Pieces, ids: str = "ids
         T.StructField("key", kind), T.StructField("h", T.LongType()),
         T.StructField("codes", T.BinaryType()), T.StructField("rare", T.ArrayType(T.StringType())),
     ])
-    coded = rows.mapInArrow(run, schema)
-    rare = coded.select("key", "h", F.explode(F.array_distinct("rare")).alias("unit")).distinct()
-    # a document's own rare units: bounded by its text
+    coded = rows.mapInArrow(coder(False), schema)
+    rare = rows.mapInArrow(coder(True), schema).select("key", "h", F.posexplode("rare").alias("no", "unit"))
+    # a document's own rare units, by their place among them: bounded by its text; a
+    # set, as repeated rows bring theirs again
     own = rare.join(table, "unit").groupBy(F.col("key").alias("k2"), F.col("h").alias("h2")).agg(
-        F.collect_list(F.struct("unit", "ids")).alias("own")
+        F.collect_set(F.struct("no", "ids")).alias("own")
     )
     both = coded.join(own, F.col("key").eqNullSafe(F.col("k2")) & (F.col("h") == F.col("h2")), "left").select(
-        "key", "h", "codes", "rare", "own"
+        "key", "h", "codes", "own"
     )
 
     def fill(batches):
         codes = shared.value
-        for b in batches:
-            out, offset = [], [0]
-            absent = []
-            for blob, rare_, own_ in zip(
-                b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True
-            ):
-                if blob is None:
-                    absent.append(True)
-                    offset.append(offset[-1])
-                    continue
-                absent.append(False)
-                c = _unpack(blob)
-                hole = np.flatnonzero(c == len(codes))
-                extra = {o["unit"]: o["ids"] for o in own_ or ()}
-                tail = [extra[u] for u in rare_]
-                c[hole] = 0
-                n = codes.first[c + 1] - codes.first[c] if len(codes) else np.zeros(len(c), dtype=np.int64)
-                n[hole] = [len(t) for t in tail]
-                at = np.cumsum(n) - n
-                base = codes.first[c] if len(codes) else np.zeros(len(c), dtype=np.int64)
-                base[hole] = len(codes.ids) + np.concatenate(([0], np.cumsum(n[hole])[:-1])) if len(hole) else 0
-                pool = np.concatenate((codes.ids, np.array([i for t in tail for i in t], dtype=np.int32))) if len(hole) else codes.ids
-                index = np.arange(int(n.sum())) - np.repeat(at, n) + np.repeat(base, n)
-                out.append(pool[index])
-                offset.append(offset[-1] + len(index))
-            values = np.concatenate(out) if out else np.empty(0, dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.array(offset, dtype=np.int32)), pa.array(values, pa.int32()),
-                                             mask=pa.array(absent, pa.bool_()) if len(absent) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists], names=["key", "h", ids])
+        for whole in batches:
+            # a few documents at a time: what they unfold to is many times their codes
+            for b in (whole.slice(lo, 512) for lo in range(0, whole.num_rows, 512)):
+                yield _unfolded(b, codes, ids, decoder, check)
 
     schema = T.StructType([*schema.fields[:2], T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    if check:
+        schema = schema.add(check, T.BooleanType())
+    decoder = Decoder(pieces)
     return both.mapInArrow(fill, schema).withColumnRenamed("key", key)
 
 
-def decode_ids(ids: list[int], pieces: Pieces) -> str:
-    """The text of one id sequence, without the leading blank."""
-    byte = {i: bytes([b]) for b, i in enumerate(pieces.byte)}
-    raw = b"".join(byte[i] if i in byte else pieces.text[i].encode("utf-8", "surrogatepass") for i in ids)
-    text = raw.decode("utf-8", "replace")
-    return text[1:] if text.startswith(" ") else text
-
-
 def decode(frame: DataFrame, ids: str, pieces: Pieces, text: str = "text") -> DataFrame:
     """``frame`` with the text of its ``ids`` in a new column; null ids give null."""
     if text in frame.columns:
@@ -359,34 +431,20 @@ def decode(frame: DataFrame, ids: str, pieces: Pieces, text: str = "text") -> Da
     ship(frame.sparkSession)
     at = frame.columns.index(ids)
     names = [*frame.columns, text]
-    raw = {i: t.encode("utf-8", "surrogatepass") for i, t in enumerate(pieces.text)}
-    raw |= {i: bytes([b]) for b, i in enumerate(pieces.byte)}
-    parts = [raw[i] for i in range(len(pieces.text))]
+    decoder = Decoder(pieces)
 
     def run(batches):
-        for b in batches:
-            out = []
+        for b in (whole.slice(lo, 512) for whole in batches for lo in range(0, whole.num_rows, 512)):
             column = b.column(at)
-            for row in column:
-                if not row.is_valid:
-                    out.append(None)
-                    continue
-                whole = b"".join(map(parts.__getitem__, row.values.to_numpy(zero_copy_only=False).tolist()))
-                out.append(whole.decode("utf-8", "replace").removeprefix(" "))
+            out = [decoder.text(r.values.to_numpy(zero_copy_only=False).tolist()) if r.is_valid else None for r in column]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=names)
 
     return frame.mapInArrow(run, T.StructType([*frame.schema.fields, T.StructField(text, T.StringType())]))
 
 
 def _encoded(docs: DataFrame, model: str) -> DataFrame:
-    pieces = read_model(model)
-    done = decode(encode(docs, "doc_id", "text", pieces), "ids", pieces, "decoded")
-    return done.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_pieces"),
-        "ids",
-        F.when(F.col("ids").isNotNull(), F.xxhash64("decoded") == F.col("h")).alias("round_trip"),
-    )
+    done = encode(docs, "doc_id", "text", read_model(model), check="round_trip")
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "round_trip")
 
 
 def op7_sentencepiece(spark, sf_dir: str, model: str = MODEL_PATH) -> DataFrame:
@@ -399,5 +457,5 @@ def stage_sentencepiece(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _encoded(docs, MODEL_PATH)
 
 
-__all__ = ["Pieces", "read_model", "units", "count_units", "encode_units", "encode", "decode", "decode_ids",
+__all__ = ["Pieces", "read_model", "units", "count_units", "encode_units", "encode", "decode", "Decoder",
            "op7_sentencepiece", "stage_sentencepiece"]

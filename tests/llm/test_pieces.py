@@ -52,7 +52,7 @@ def test_ids_equal_plain_viterbi(spark, model, frequent):
         if t is None:
             assert by[(d, None)] is None
         else:  # also the exact round trip; a run beyond the unit length may be cut
-            assert P.decode_ids(by[(d, t)], model) == t
+            assert P.Decoder(model).text(by[(d, t)]) == t
             if max(map(len, P.units(" " + t)), default=0) < P.UNIT:
                 assert by[(d, t)] == viterbi(t, model)
 

@@ -13,6 +13,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+ARROW_BYTES = 16 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
@@ -44,10 +48,14 @@ def partitions(spark: SparkSession) -> int:
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once, so that Python tasks can import it
-    wherever the driver found it."""
+    wherever the driver found it, and bound the bytes of text that a task holds at
+    once: the session's Arrow batches are cut at ``ARROW_BYTES`` if they were larger."""
     import os
     import shutil
 
+    size = spark.conf.get(_BATCH)
+    if size.rstrip("b").isdigit() and int(size.rstrip("b")) > ARROW_BYTES:
+        spark.conf.set(_BATCH, str(ARROW_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_starloom_shipped", False):
         return

@@ -15,6 +15,12 @@ Lines travel as 64-bit hashes of (host, line) with a count per task, so a line
 on a third of all pages costs one row per task. Hosts' totals meet their lines
 over ``SALTS`` copies, so a host with a third of all pages is spread. The text
 is shuffled once, by page.
+
+*Documents.* A source is no site with a frame of its own, so the document stage
+has its own bounds, ``DOC_RATIO`` and ``DOC_MIN``, and counts a text once however
+many copies of it the source holds. Lines in fewer than ``DOC_MIN`` texts of a
+source stay: two texts of a source that share lines are mostly near copies, and
+cutting what they share would leave neither.
 """
 
 from __future__ import annotations
@@ -27,6 +33,9 @@ from starloom.llm.scratch import stored
 RATIO = 0.3
 MIN_PAGES = 5
 SALTS = 32
+#: The document stage's own bounds: share of a source's distinct texts, and least number of them.
+DOC_RATIO = 0.005
+DOC_MIN = 3
 
 
 def _lines(text: Column) -> Column:
@@ -37,21 +46,27 @@ def _hash(host: Column, line: Column) -> Column:
     return F.xxhash64(host, F.btrim(line))
 
 
-def boilerplate(pages: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``h, n_pages, host_pages``: hash of (host, line) of each boilerplate line."""
+def boilerplate(pages: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES,
+                once: bool = False) -> DataFrame:
+    """``h, n_pages, host_pages``: hash of (host, line) of each boilerplate line.
+    With ``once`` a host's equal texts are one page."""
     p = pages.select(F.col(host).alias("host"), F.col(text).alias("text"))
+    own = [F.xxhash64("text").alias("copy")] if once else []
     lines = p.select(
-        "host", F.explode(F.array_distinct(F.transform(_lines(F.col("text")), lambda x: F.btrim(x)))).alias("line")
+        "host", *own, F.explode(F.array_distinct(F.transform(_lines(F.col("text")), lambda x: F.btrim(x)))).alias("line")
     ).where("line <> ''")
+    lines = lines.select(F.xxhash64("host", "line").alias("h"), F.xxhash64("host").alias("site"), *(["copy"] if once else []))
+    sites = p.select(F.xxhash64("host").alias("site"), *own)
+    if once:
+        lines, sites = lines.distinct(), sites.distinct()
     often = (
-        lines.select(F.xxhash64("host", "line").alias("h"), F.xxhash64("host").alias("site"))
-        .groupBy("site", "h")
+        lines.groupBy("site", "h")
         .agg(F.count(F.lit(1)).alias("n_pages"))
         .where(F.col("n_pages") >= min_pages)
         .withColumn("salt", F.pmod(F.col("h"), F.lit(SALTS)))
     )
     totals = (
-        p.groupBy(F.xxhash64("host").alias("site"))
+        sites.groupBy("site")
         .agg(F.count(F.lit(1)).alias("host_pages"))
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
     )
@@ -61,13 +76,14 @@ def boilerplate(pages: DataFrame, host: str, text: str, ratio: float = RATIO, mi
 
 
 def drop_boilerplate(pages: DataFrame, key: str, host: str, text: str, ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES, dropped: str = "n_dropped") -> DataFrame:
+                     min_pages: int = MIN_PAGES, dropped: str = "n_dropped", once: bool = False) -> DataFrame:
     """``pages`` with boilerplate lines cut from ``text`` and, in a new column
     ``dropped``, how many were cut. ``key`` identifies a page; pages sharing a key
-    (or with none) are still cleaned by their own host's lines."""
+    (or with none) are still cleaned by their own host's lines. With ``once`` a
+    host's equal texts count as one page; all are cleaned."""
     if dropped in pages.columns:
         raise ValueError(f"column exists already: {dropped}")
-    bad = boilerplate(pages, host, text, ratio, min_pages)
+    bad = boilerplate(pages, host, text, ratio, min_pages, once)
     seen = pages.select(
         F.col(key).alias("_key"),
         F.explode(
@@ -118,10 +134,11 @@ def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_line_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents without their source's boilerplate lines, with
-    ``n_chars`` of the text that stays. No document is dropped."""
+    """Pipeline stage: documents without the lines on over ``DOC_RATIO`` of their
+    source's distinct texts (``DOC_MIN`` at least), with ``n_chars`` of the text that
+    stays. No document is dropped."""
     columns = docs.columns
-    clean = drop_boilerplate(docs, "doc_id", "source", "text", dropped="_dropped")
+    clean = drop_boilerplate(docs, "doc_id", "source", "text", DOC_RATIO, DOC_MIN, "_dropped", once=True)
     n = F.when(F.col("_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return clean.select(*[n.alias(c) if c == "n_chars" else F.col(c) for c in columns])
 

@@ -60,3 +60,35 @@ def test_stage_keeps_every_document(spark):
     got = D.stage_line_dedup(spark, docs, SF)
     assert got.columns == docs.columns and got.count() == 10
     assert {(r["text"], r["n_chars"]) for r in got.collect()} == {(f"text {i}", 6) for i in range(10)}
+
+
+def test_stage_cuts_repeated_lines_of_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    given = docs.collect()
+    texts, lines = defaultdict(set), defaultdict(set)
+    split = lambda t: {x.strip(" ") for x in (t or "").split("\n")} - {""}
+    for r in given:
+        texts[r["source"]].add(r["text"])
+        for x in split(r["text"]):
+            lines[r["source"], x].add(r["text"])
+    bad = {k for k, t in lines.items() if len(t) >= D.DOC_MIN and len(t) > D.DOC_RATIO * len(texts[k[0]])}
+    out = {r["doc_id"]: r["text"] for r in D.stage_line_dedup(spark, docs, SF).collect()}
+    assert len(out) == len(given)
+    cut = 0
+    for r in given:
+        kept = [x for x in (r["text"] or "").split("\n") if x.strip(" ") == "" or (r["source"], x.strip(" ")) not in bad]
+        assert out[r["doc_id"]] == (None if r["text"] is None else "\n".join(kept))
+        cut += len((r["text"] or "").split("\n")) - len(kept)
+    # the leading line of 997 texts is gone, lines of one text all stay
+    assert cut > 6000 and not any("The and attion to thanedble the, anea. Eriner thanea." in split(t) for t in out.values())
+
+
+def test_stage_counts_copies_once(spark):
+    # a line of one text, however often copied, is none of the source's frame
+    rows = [(i, "own line\nbody", "en", "s", 13) for i in range(8)]
+    rows += [(10 + i, f"shared\nbody {i}", "en", "s", 13) for i in range(3)] + [(20 + i, f"pair\nother {i}", "en", "s", 12) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in D.stage_line_dedup(spark, docs, SF).collect()}
+    assert {got[i] for i in range(8)} == {"own line\nbody"}
+    assert {got[10 + i] for i in range(3)} == {f"body {i}" for i in range(3)}
+    assert {got[20 + i] for i in range(2)} == {f"pair\nother {i}" for i in range(2)}

@@ -204,10 +204,12 @@ def op10_decontaminate(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_decontaminate(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold no benchmark passage."""
+    """Pipeline stage: rows that hold no benchmark passage. A row is known by its id
+    and text, so rows that share an id, or have none, are decided one by one."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    bad = contaminated(docs, items).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    row = F.xxhash64("doc_id", "text")
+    bad = contaminated(docs.select(row.alias("doc_id"), "text"), items).select(F.col("doc_id").alias("_bad")).distinct()
+    return docs.join(bad, row == F.col("_bad"), "left_anti")
 
 
 __all__ = ["benchmark_seeds", "contaminated", "op10_decontaminate", "stage_decontaminate"]

@@ -544,10 +544,34 @@ def op9_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_jaccard(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest id stays.
-    Documents without words, or with a null id, are in no component and stay."""
-    found = jaccard_components(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("_copy")).distinct()
-    return docs.join(found, docs["doc_id"] == found["_copy"], "left_anti")
+    """Pipeline stage: of each component one row with the smallest id stays, and one
+    of its rows without an id if it has any; of ids with several texts the text of the
+    smallest hash, of repeated rows the smallest row. Rows without words are in no
+    component and stay. A row is known by its id and text."""
+    row = F.xxhash64("doc_id", "text")
+    rows, links = jaccard_links(docs.select(row.alias("doc_id"), "text"))
+    known = docs.groupBy(row.alias("row")).agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n"))
+    known = known.join(rows.where("class is not null").select(F.col("id").alias("row"), "class").distinct(), "row")
+    known = stored(known, "rows")
+    # copies collapse to their class before components form
+    least = known.groupBy("class").agg(
+        F.min(F.when(F.col("id").isNotNull(), F.struct("id", "row"))).alias("named"),
+        F.min(F.when(F.col("id").isNull(), F.col("row"))).alias("bare"),
+    )
+    roots = components(links, "a", "b").select(F.col("node").alias("class"), "root")
+    stay = least.join(roots, "class", "left").groupBy(F.coalesce("root", "class").alias("root")).agg(
+        F.min("named")["row"].alias("named"), F.min("bare").alias("bare")
+    )
+    stay = stored(stay.select(F.explode(F.array("named", "bare")).alias("row")).where("row is not null"), "rows")
+    copies = known.join(stay, "row", "left_anti").select(F.col("row").alias("_row"))
+    again = stored(known.where("n > 1").join(stay, "row", "left_semi").select(F.col("row").alias("_row")), "rows")
+    if again.isEmpty():
+        return docs.join(copies, row == F.col("_row"), "left_anti")
+    once = docs.join(again, row == F.col("_row"), "left_semi").groupBy(row.alias("_row")).agg(
+        F.min(F.struct(*docs.columns)).alias("least")
+    )
+    single = docs.join(copies.unionByName(again), row == F.col("_row"), "left_anti")
+    return single.unionByName(once.select("least.*"))
 
 
 __all__ = ["jaccard_links", "jaccard_components", "op9_jaccard_join", "stage_jaccard"]

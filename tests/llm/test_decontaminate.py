@@ -68,3 +68,10 @@ def test_empty_tables_and_stage(spark, tmp_path):
     items.write.parquet(f"{tmp_path}/benchmark.parquet")
     kept = C.stage_decontaminate(spark, docs, str(tmp_path))
     assert kept.columns == docs.columns and [r["doc_id"] for r in kept.collect()] == [None]
+
+
+def test_stage_decides_by_row(spark, tmp_path):
+    docs = [(None, "a b c d"), (None, "clean text"), (None, None), (1, "x a b c"), (1, "clean too"), (2, "clean text"), (2, "clean text")]
+    spark.createDataFrame([(7, "a b c")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = C.stage_decontaminate(spark, spark.createDataFrame(docs, "doc_id long, text string"), str(tmp_path))
+    assert sorted(map(str, (tuple(r) for r in kept.collect()))) == sorted(map(str, (docs[i] for i in (1, 2, 4, 5, 6))))

@@ -102,6 +102,23 @@ def test_empty_and_clashing_columns(spark):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {2, None, 4}
 
 
+def test_stage_decides_by_row(spark):
+    one, two, near = "a b c d e f g h", "i j k l m n o p", "a b c d e f g h " + "q r s t u v w x y z " * 4
+    docs = [
+        (5, one, 1), (5, one, 2), (5, one, 1),  # repeated rows of the smallest id: one stays
+        (6, one, 3), (6, two, 4), (6, None, 5),  # its copy goes, its own texts stay
+        (8, near, 6), (7, near + "end", 7), (7, "only here", 8),
+        (None, one, 9), (None, one, 10), (None, two + " x y", 11), (None, "", 12), (None, "", 12),
+        (None, "of null ids alone in all copies", 13), (None, "of null ids alone in all copies", 13),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, n int").repartition(3)
+    kept = J.stage_jaccard(spark, frame, "")
+    assert kept.columns == frame.columns
+    want = [(5, one, 1), (6, two, 4), (6, None, 5), (7, near + "end", 7), (7, "only here", 8), (None, one, 9),
+            (None, two + " x y", 11), (None, "", 12), (None, "", 12), (None, "of null ids alone in all copies", 13)]
+    assert sorted(map(str, (tuple(r) for r in kept.collect()))) == sorted(map(str, want))
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(50)] + [(5, 5)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}

@@ -1,8 +1,8 @@
 """Keyed surrogates for personal data. DataFrame functions only.
 
 *Detection.* Mail and IPv4 addresses, phone, card (by check digit) and social
-security numbers, access keys, ``password=`` and ``token =`` values, and names
-after a title.
+security numbers, access keys, ``password=`` and ``token =`` values (the keyword in
+any case), and names after a title.
 
 *Surrogates.* The distinct entities of the whole corpus get one surrogate each, a
 keyed hash of type and canonical form driving every character, so an entity reads
@@ -55,7 +55,7 @@ _NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 # Every pattern begins where no longer token does, so a scan reads each word once.
 PATTERNS = {
     "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": r"(?<![A-Za-z])(?:password|passwd|pwd|secret|token|api_key)\s?[=:]\s?\"?[A-Za-z0-9_/+-]{8,}",
+    "secret": r"(?<![A-Za-z])(?i:password|passwd|pwd|secret|token|api_key)\s?[=:]\s?\"?[A-Za-z0-9_/+-]{8,}",
     "access": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}"
     r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])",
@@ -102,7 +102,7 @@ def detect(docs: DataFrame, key: str, text: str) -> DataFrame:
         "key", "h1", "h2", F.posexplode(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).alias("no", "match")
     ).distinct()
     m = F.col("match")
-    kept = F.regexp_extract(m, r"^(?:[a-z_]+\s?[=:]\s?\"?|AKIA)", 0)
+    kept = F.regexp_extract(m, r"^(?:[A-Za-z_]+\s?[=:]\s?\"?|AKIA)", 0)
     title = F.regexp_extract(m, rf"^{_TITLE}\s", 0)
     male = F.regexp_replace(F.regexp_extract(m, rf"^({_TITLE})\s", 1), r"\.$", "").isin(MALE)
     found = found.withColumn("kind", _kind(m)).withColumn(
@@ -119,7 +119,7 @@ def detect(docs: DataFrame, key: str, text: str) -> DataFrame:
     ).otherwise(F.when(F.col("male"), "given_m").otherwise("given_f"))
     bare = F.regexp_replace("raw", "[^0-9]", "")
     canon = F.when(F.col("kind").isin("phone", "social", "card"), bare).when(
-        F.col("kind").isin("secret", "access"), F.col("raw")
+        F.col("kind") == "access", F.col("raw")
     ).otherwise(F.lower("raw"))
     out = out.select("key", "h1", "h2", "no", "part", kind.alias("kind"), canon.alias("canon"), "raw", "before")
     # a run of digits is a card only with a valid check digit
@@ -249,6 +249,9 @@ def _rendered(raw: Column, surrogate: Column, kind: Column) -> Column:
         return F.when(~c.rlike(r"[\p{L}0-9]"), c).when(c.rlike(r"\p{Lu}"), F.upper(new)).otherwise(new)
 
     by_place = F.array_join(F.transform(characters, like), "")
+    # a digit of a hexadecimal secret may become a letter: it follows the others' case
+    upper = raw.rlike("[A-Z]") & ~raw.rlike("[a-z]")
+    by_place = F.when((kind == "secret") & upper, F.upper(by_place)).otherwise(by_place)
     proper = F.concat(F.upper(F.substring(surrogate, 1, 1)), F.expr("substring(surrogate, 2)"))
     return F.when(kind.isin("given_m", "given_f", "surname"), proper).otherwise(by_place)
 

@@ -79,3 +79,15 @@ def test_empty_and_clash(spark):
     assert S.replace_entities(df).count() == 0
     with pytest.raises(ValueError, match="exists"):
         S.replace_entities(df.withColumnRenamed("doc_id", "n_replaced"), "n_replaced")
+
+
+def test_secrets_of_upper_cased_documents(spark):
+    secret, other = "9233a8ec77bd01f4", "Zk3_mNbv-Q91"
+    low = f'see token = "{secret}" and password: {other} end'
+    docs = [(1, low), (2, low.upper()), (3, f"Api_Key={secret}"), (4, f"TOKEN: {secret.upper()}")]
+    got = {r["doc_id"]: r for r in S.replace_entities(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [got[i]["n_replaced"] for i in range(1, 5)] == [2, 2, 1, 1]
+    assert all(secret not in r["text"].lower() and other.lower() not in r["text"].lower() for r in got.values())
+    new = got[1]["text"]
+    assert new.startswith('see token = "') and got[2]["text"] == new.upper()
+    assert got[3]["text"] == "Api_Key=" + new[13:29] and got[4]["text"] == "TOKEN: " + new[13:29].upper()

@@ -3,13 +3,14 @@
 *Units.* A text gets a leading blank and is cut into units: a run of blanks with
 the letters, or the other characters, that follow it. No piece of the model
 reaches across such a border (checked when the model is read), so the best path
-through a text is the best paths through its units, one after the other. A run
-longer than ``UNIT`` characters is cut there, so no unit is unbounded.
+through a text is the best paths through its units, one after the other. A unit
+is as long as its run.
 
 *Lattice.* Over the distinct units of the corpus only: explode every substring
 of at most the longest piece's length, equi-join to the piece table, group the
 edges by unit, and fold Viterbi over them, ordered by their end, with Spark's
-``aggregate``. Scores are the model's; a character that is no piece becomes its
+``aggregate``. An edge is one number with room for units of up to ``UNIT``
+characters; the few longer ones take the same Viterbi in their task. Scores are the model's; a character that is no piece becomes its
 UTF-8 bytes' pieces at ``UNKNOWN_PENALTY`` below the lowest score (or the unknown
 piece where the model has no byte pieces). Ties go to the longer last piece.
 
@@ -135,11 +136,6 @@ def _cut(texts: list[str]):
     edge[where] = True
     edge[-1] = False
     start = np.flatnonzero(edge)
-    length = np.diff(np.append(start, len(code)))
-    if int(length.max()) > UNIT:
-        long = np.flatnonzero(length > UNIT)
-        extra = [np.arange(start[i] + UNIT, start[i] + length[i], UNIT) for i in long]
-        start = np.sort(np.concatenate([start, *extra]))
     first = np.searchsorted(start, where)
     raw = np.frombuffer(data, dtype=np.uint8)[:-8]
     # the byte at which each code point begins
@@ -197,8 +193,55 @@ def count_units(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
 
+def long_path(unit: str, known: dict[str, tuple[int, int]], longest: int, unknown: int) -> list[tuple[int, int]]:
+    """``(piece, start)`` along the best path through a unit of any length, with -1
+    for a character that is no piece; ties as in the fold."""
+    cost, back = [0], [(0, 0)]
+    for end in range(1, len(unit) + 1):
+        least = None
+        for start in range(max(0, end - longest), end):
+            piece, c = known.get(unit[start:end], (-1, unknown))
+            if (piece >= 0 or start == end - 1) and (least is None or cost[start] + c < least):
+                least, edge = cost[start] + c, (piece, start)
+        cost.append(least)
+        back.append(edge)
+    path, at = [], len(unit)
+    while at:
+        path.append(back[at])
+        at = back[at][1]
+    return path[::-1]
+
+
+def _long_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
+    ship(distinct.sparkSession)
+    costs = pieces.costs()
+    longest = pieces.longest
+
+    def run(batches):
+        known = {t: (i, c) for i, (t, c, n) in enumerate(zip(pieces.text, costs[:-1], pieces.normal, strict=True)) if n}
+        for b in batches:
+            out = []
+            for unit in b.column(0).to_pylist():
+                ids = []
+                for piece, start in long_path(unit, known, longest, costs[-1]):
+                    if piece >= 0:
+                        ids.append(piece)
+                    else:
+                        ids += [pieces.byte[x] for x in unit[start].encode()] if pieces.byte else [pieces.unknown]
+                out.append(ids)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], names=["unit", "ids"])
+
+    return distinct.mapInArrow(run, "unit string, ids array<int>")
+
+
 def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
-    """``distinct`` (one row per ``unit``) with its ``ids``: the lattice and its fold."""
+    """``distinct`` (one row per ``unit``) with its ``ids``: the lattice and its fold,
+    and for units beyond an edge's room the same path without it."""
+    over = F.length("unit") > UNIT
+    return _short_units(distinct.where(~over), pieces).unionByName(_long_units(distinct.where(over), pieces))
+
+
+def _short_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
     spark = distinct.sparkSession
     # one task's units stay together through the join, so grouping them is no shuffle
     words = distinct.repartition(partitions(spark), "unit")
@@ -368,7 +411,9 @@ def encode(docs: DataFrame, key: str, text: str, pieces: Pieces, ids: str = "ids
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
     counted = stored(count_units(rows.select("text")), "units")
     table = stored(encode_units(counted.select("unit"), pieces), "unit-ids")
-    often = counted.where(F.col("n") >= least_frequent(counted, "n", frequent))
+    # what is sent to the tasks is bounded in its units' length too
+    brief = counted.where(F.length("unit") <= UNIT)
+    often = brief.where(F.col("n") >= least_frequent(brief, "n", frequent))
     best = often.join(table, "unit").select("unit", "n", "ids").toArrow().sort_by([("n", "descending"), ("unit", "ascending")])
     shared = spark.sparkContext.broadcast(_Codes(best))
     del best

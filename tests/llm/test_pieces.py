@@ -57,6 +57,20 @@ def test_ids_equal_plain_viterbi(spark, model, frequent):
                 assert by[(d, t)] == viterbi(t, model)
 
 
+@pytest.mark.parametrize("frequent", [0, 1 << 20])
+def test_ids_of_long_runs_equal_plain_viterbi(spark, model, frequent):
+    rng = random.Random(5)
+    runs = ["".join(rng.choice(letters) for _ in range(n)) for letters in ("etaoinshrdlu", "日本語文字の中国人大", "=-*#", " ", "aé🙂")
+            for n in (P.UNIT - 1, P.UNIT, P.UNIT + 1, 200)]
+    words = "the internationalization of representatives".replace(" ", "")
+    rows = list(enumerate([*runs, words * 9, f"a {words * 9} b " * 2, "x" * 3000]))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["ids"] for r in P.encode(df, "doc_id", "text", model, frequent=frequent).collect()}
+    for d, t in rows:
+        assert got[d] == viterbi(t, model), t[:80]
+        assert P.Decoder(model).text(got[d]) == t
+
+
 def test_without_byte_pieces(spark):
     p = P.Pieces([" a", "b", "?", " "], [-1.0, -2.0, 0.0, -3.0], [True, True, False, True], [], 2)
     df = spark.createDataFrame([(1, "ab"), (2, "xb")], "doc_id long, text string")

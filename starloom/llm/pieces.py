@@ -238,7 +238,9 @@ def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
     """``distinct`` (one row per ``unit``) with its ``ids``: the lattice and its fold,
     and for units beyond an edge's room the same path without it."""
     over = F.length("unit") > UNIT
-    return _short_units(distinct.where(~over), pieces).unionByName(_long_units(distinct.where(over), pieces))
+    short, long = _short_units(distinct.where(~over), pieces), distinct.where(over)
+    # most corpora have none: no task then holds the piece table for them
+    return short if long.isEmpty() else short.unionByName(_long_units(long, pieces))
 
 
 def _short_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:

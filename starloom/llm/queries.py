@@ -10,10 +10,13 @@ from starloom.llm.license import op6_license_scan
 from starloom.llm.linededup import SQL as LINE_SQL
 from starloom.llm.linededup import op2_line_dedup
 from starloom.llm.lm import op5_lm_scores
+from starloom.llm.packing import op13_packing
 from starloom.llm.permutation import op8_nearest_neighbours
 from starloom.llm.pieces import op7_sentencepiece
+from starloom.llm.repair import op12_conversation_repair
 from starloom.llm.surrogates import op4_surrogates
 from starloom.llm.warc import op3_warc
+from starloom.llm.whitening import op11_whitening
 
 QUERIES = {
     "op1_language_id": op1_language_id,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontaminate": op10_decontaminate,
+    "op11_whitening": op11_whitening,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_packing": op13_packing,
     "pipeline": corpus_pipeline.run,
 }
 

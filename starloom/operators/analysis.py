@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 
 from starloom.operators.joins import product_join
 from starloom.operators.keys import with_surrogate_key
+from starloom.operators.partitions import MONTH, YEAR, has_month
 
 PRICE_T = "decimal(18,5)"
 
 
 def _with_month_year(fact: DataFrame, date_dim: DataFrame | None) -> DataFrame:
+    if date_dim is None and has_month(fact):  # of a partitioned fact, which then reads no date
+        return fact.withColumn("month", F.col(MONTH).cast("string")).withColumn("year", F.col(YEAR))
     if date_dim is None:
         return fact.withColumn("month", F.month("date").cast("string")).withColumn("year", F.year("date"))
     dt = date_dim.select("date_key", "month", "year")

@@ -1,20 +1,23 @@
 """Dense surrogate keys (K1) and keys that continue an existing table (K2).
 
-``row_number() OVER (ORDER BY ...)`` moves every row into one task. Instead a
-random sample of the order keys, of a size that the number of buckets fixes,
-gives bucket bounds. They are plain values in the plan, so a row's bucket is a
-function of the row alone: counting the buckets and numbering the rows in them
-agree whatever the optimizer prunes, reuses or computes twice. A bucket's rows
-are numbered in its own task and get the row count of all buckets before it,
-one row per bucket, which is broadcast.
+``row_number() OVER (ORDER BY ...)`` moves every row into one task. Instead about
+``SAMPLE`` order keys per bucket, drawn at a share that the row count gives, are
+sorted and cut into bucket bounds. No task merges the sample: it goes to the driver
+as drawn, a number of rows that the buckets fix, whatever the number of input tasks.
+The bounds come back as one array, and a row finds its bucket by halving it. So the
+bucket is a function of the row alone: counting the buckets and numbering the rows in
+them agree whatever the optimizer prunes, reuses or computes twice. A bucket's rows
+are numbered in its own task and get the row count of all buckets before it, one row
+per bucket, which is broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.session import shuffle_partitions
 
@@ -23,30 +26,50 @@ _BUCKET, _OFF, _N = "_sk_bucket", "_sk_off", "_sk_n"
 #: Sampled order keys per bucket.
 SAMPLE = 20
 
+_JSON = {
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "allowNonNumericNumbers": "true",
+}
+
 
 def _cols(order_by: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_by]
 
 
-def _bounds(keys: DataFrame, buckets: int) -> list[Row]:
-    """At most ``buckets - 1`` order keys that cut the rows into about equal parts.
-    Any bounds give the same numbering, so the sample may be random."""
-    drawn = keys.orderBy(F.rand(17)).limit(SAMPLE * buckets).orderBy("k").collect()
-    found = [r["k"] for r in drawn[SAMPLE::SAMPLE]]
-    return [k for i, k in enumerate(found) if i == 0 or k != found[i - 1]]
+def _sample(keys: DataFrame, buckets: int) -> DataFrame:
+    """About ``SAMPLE * buckets`` rows (all, where there are fewer), each drawn for itself."""
+    total = keys.count()
+    return keys.sample(min(1.0, SAMPLE * buckets / max(total, 1)), seed=17)
+
+
+def _bounds(keys: DataFrame, buckets: int) -> Column:
+    """At most ``buckets - 1`` ascending order keys that cut the rows into about equal
+    parts, as one constant. Any ascending bounds give the same numbering, so they may
+    be random, and a value may lose precision in the text between."""
+    spark = keys.sparkSession
+    drawn = _sample(keys, buckets).toArrow()
+    step = max(1, -(-drawn.num_rows // buckets))
+    local = spark.createDataFrame(drawn).agg(F.sort_array(F.collect_list("k")).alias("k"))
+    cut = F.array_distinct(F.filter("k", lambda _, i: (i % step == 0) & (i > 0)))
+    text = local.select(F.to_json(cut, _JSON)).first()[0]
+    return F.from_json(F.lit(text), T.ArrayType(keys.schema["k"].dataType), _JSON)
 
 
-def _bucket(key: Column, bounds: list[Row], types) -> Column:
-    """How many bounds are not above the key, found by halving."""
-    fixed = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, types, strict=True)]) for b in bounds]
+def _bucket(key: Column, bounds: Column, most: int) -> Column:
+    """How many of at most ``most`` ascending bounds are not above the key, by halving."""
 
-    def within(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < fixed[mid], within(lo, mid)).otherwise(within(mid + 1, hi))
+    def half(at: Column, _: Column) -> Column:
+        mid = F.shiftright(at["lo"] + at["hi"], 1)
+        open_, below = at["lo"] < at["hi"], key < F.get(bounds, mid)
+        return F.struct(
+            F.when(open_ & ~below, mid + 1).otherwise(at["lo"]).alias("lo"),
+            F.when(open_ & below, mid).otherwise(at["hi"]).alias("hi"),
+        )
 
-    return within(0, len(fixed))
+    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+    steps = F.array(*[F.lit(i) for i in range(max(1, most.bit_length()))])
+    # never null, or the join on it would compute it a second time to filter nulls
+    return F.coalesce(F.aggregate(steps, start, half, lambda at: at["lo"]), F.lit(0))
 
 
 def with_surrogate_key(
@@ -64,8 +87,7 @@ def with_surrogate_key(
     order = _cols(order_by)
     key = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
     keys = df.select(key.alias("k"))
-    bounds = _bounds(keys, n) if n > 1 else []
-    placed = df.withColumn(_BUCKET, _bucket(key, bounds, keys.schema["k"].dataType.fields))
+    placed = df.withColumn(_BUCKET, _bucket(key, _bounds(keys, n), n - 1) if n > 1 else F.lit(0))
     # a bucket a task, which is also how the numbering window needs the rows
     dealt = placed.repartitionById(n, F.col(_BUCKET))
     counts = placed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias(_N))

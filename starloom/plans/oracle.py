@@ -128,6 +128,8 @@ bad_tweets AS (SELECT * REPLACE (NULLIF(coin_key, 3) AS coin_key,
 fewer_coins AS (SELECT * FROM coin_dim WHERE coin_key % 5 <> 0),
 fewer_dates AS (SELECT * FROM date_dim_set WHERE date_key % 7 <> 3)"""
 
+MONTH_RANGE = """"date" BETWEEN TIMESTAMP '1996-03-10 00:00:00' AND TIMESTAMP '1997-01-31 23:59:59'"""
+
 ALL_HIST_COLS = "date_key, coin_key, \"date\", coin_name, coin_symbol, price, market_cap, total_volumes"
 ALL_TWEET_COLS = "date_key, coin_key, \"date\", tweet_id, coin_name, tweet, username, search_term"
 
@@ -253,6 +255,20 @@ FROM (SELECT *, starts_with(coin, 'Nation-') AS spoiled FROM hourly_src) WHERE s
     "append_documents": _with() + "SELECT * FROM tweets_stg",
     "coin_subset_long": _with() + "SELECT * FROM hourly_stg WHERE coin LIKE 'nation!_%' ESCAPE '!'",
     "load_fact_append": _with(FACTS_SET) + "SELECT * FROM coin_stats_hist",
+    "load_fact_partitioned": _with(FACTS_SET) + """SELECT *, CAST(year("date") AS INTEGER) AS part_year,
+  CAST(month("date") AS INTEGER) AS part_month FROM coin_stats_hist""",
+    "load_fact_replace_month": _with(FACTS_SET) + """
+SELECT * REPLACE (CAST(CASE WHEN coin_key % 2 = 1 AND strftime("date", '%Y-%m') = '1996-05' THEN price + 1 ELSE price END
+  AS DECIMAL(18,5)) AS price) FROM coin_stats_hist""",
+    "time_range_partitioned": _with(FACTS_SET) + f"SELECT * FROM coin_stats_hist WHERE {MONTH_RANGE}",
+    "monthly_price_stats_partitioned": _with(FACTS_SET.replace("coin_stats_hist AS", "whole AS", 1),
+        f"coin_stats_hist AS (SELECT * FROM whole WHERE {MONTH_RANGE})") + MONTHLY_STATS.format(dd="date_dim_set"),
+    "write_conformed": _with() + "SELECT * FROM tweets_stg",
+    "write_violations": _with() + """
+SELECT * FROM (
+  SELECT 'text' AS column_name, 'not_null' AS rule, CAST(COUNT(*) AS BIGINT) AS violations FROM tweets_stg WHERE tweet_id % 7 = 0
+  UNION ALL SELECT 'username', 'max_length_256', COUNT(*) FROM tweets_stg WHERE tweet_id % 11 = 0)
+WHERE violations > 0""",
     "monthly_price_stats_fact": _with(FACTS_SET) + MONTHLY_STATS.format(dd="date_dim_set"),
     "pipeline_monthly": _with(FACTS_SET) + MONTHLY_STATS.format(dd="date_dim_set"),
     "csv_roundtrip_events": "SELECT event_id, ts FROM events",

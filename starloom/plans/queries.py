@@ -17,7 +17,7 @@ from starloom import schemas as S
 from starloom.functions.calendar import epoch_millis, iso_text, millis_to_timestamp, text_to_epoch_seconds
 from starloom.operators import analysis as A
 from starloom.operators import quality as Q
-from starloom.operators.conform import conform
+from starloom.operators.conform import ConstraintError, conform
 from starloom.operators.dims import build_coin_dim, build_date_dim, build_date_dim_from_sources, date_rows
 from starloom.operators.facts import (
     build_coin_stats_hist,
@@ -30,6 +30,7 @@ from starloom.operators.facts import (
 from starloom.operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, fits
 from starloom.operators.filters import coin_subset, last_n_days, time_range
 from starloom.operators.keys import append_with_keys, with_surrogate_key
+from starloom.operators.partitions import MONTH, MONTH_PARTS, YEAR, with_month
 from starloom.plans import fixtures as fx
 from starloom.plans.pipeline import (
     EXPORTS,
@@ -41,7 +42,7 @@ from starloom.plans.pipeline import (
     Sources,
     run_pipeline,
 )
-from starloom.plans.tables import Catalog, load_dimension, load_fact
+from starloom.plans.tables import Catalog, load_dimension, load_fact, write_table
 from starloom.session import configure, scratch_path
 from starloom.sinks.csv import export_csv, read_exported_csv, with_timestamp_text
 from starloom.sources.delimited import load_errors, stage_delimited
@@ -312,6 +313,77 @@ def q_load_fact_append(spark, sf_dir):
     return out
 
 
+MONTH_RANGE = ("1996-03-10 00:00:00", "1997-01-31 23:59:59")
+
+
+def _partitioned_fact(spark, sf_dir):
+    """``coin_stats_hist`` in two batches, partitioned by month."""
+    m = Model(spark, sf_dir, "set")
+    cat = Catalog(spark, scratch_path(spark, "catalog"))
+    fact = with_month(m.coin_stats())
+    load_fact(cat, "crypto.coin_stats_hist", fact.where("coin_key % 2 = 0"), "delete", "even", MONTH_PARTS, S.COIN_STATS_HIST)
+    load_fact(cat, "crypto.coin_stats_hist", fact.where("coin_key % 2 = 1"), "append", "odd", MONTH_PARTS, S.COIN_STATS_HIST)
+    return cat, fact
+
+
+def q_load_fact_partitioned(spark, sf_dir):
+    cat, _ = _partitioned_fact(spark, sf_dir)
+    return cat.read("crypto.coin_stats_hist").select(*S.COIN_STATS_HIST.names, *MONTH_PARTS)
+
+
+def q_load_fact_replace_month(spark, sf_dir):
+    """One month of one batch is loaded again with other prices."""
+    cat, fact = _partitioned_fact(spark, sf_dir)
+    again = fact.where((F.col(YEAR) == 1996) & (F.col(MONTH) == 5) & (F.col("coin_key") % 2 == 1))
+    again = again.withColumn("price", F.col("price") + 1)
+    out = load_fact(cat, "crypto.coin_stats_hist", again, "replace", "odd", MONTH_PARTS, S.COIN_STATS_HIST)
+    return out.select(*S.COIN_STATS_HIST.names)
+
+
+def q_time_range_partitioned(spark, sf_dir):
+    """F-5 over the partitioned fact: only the months of the range are read."""
+    cat, _ = _partitioned_fact(spark, sf_dir)
+    return time_range(cat.read("crypto.coin_stats_hist"), *MONTH_RANGE).select(*S.COIN_STATS_HIST.names)
+
+
+def q_monthly_price_stats_partitioned(spark, sf_dir):
+    """A1 over some months of the partitioned fact, by its partition columns."""
+    cat, _ = _partitioned_fact(spark, sf_dir)
+    return A.monthly_price_stats(time_range(cat.read("crypto.coin_stats_hist"), *MONTH_RANGE))
+
+
+def q_write_conformed(spark, sf_dir):
+    """The tweets written with their declared rules counted by the write; a second
+    write that breaks them leaves the first, which is read back."""
+    m = Model(spark, sf_dir)
+    cat = Catalog(spark, scratch_path(spark, "catalog"))
+    write_table(m.tweets_stg, cat.path("tweets"), schema=S.TWEETS_STG)
+    try:
+        write_table(_broken_tweets(m), cat.path("tweets"), schema=S.TWEETS_STG)
+    except ConstraintError:
+        return cat.read("tweets")
+    raise AssertionError("a write that breaks declared rules must not count")
+
+
+def q_write_violations(spark, sf_dir):
+    """What such a write reports: rows per rule."""
+    m = Model(spark, sf_dir)
+    cat = Catalog(spark, scratch_path(spark, "catalog"))
+    try:
+        write_table(_broken_tweets(m), cat.path("tweets"), schema=S.TWEETS_STG)
+    except ConstraintError as e:
+        return spark.createDataFrame(e.violations, "column_name string, rule string, violations long")
+    raise AssertionError("a write that breaks declared rules must not count")
+
+
+def _broken_tweets(m: Model) -> DataFrame:
+    """Every seventh tweet without a text, every eleventh by a name of 257 characters."""
+    return m.tweets_stg.withColumns({
+        "text": F.when(F.col("tweet_id") % 7 != 0, F.col("text")),
+        "username": F.when(F.col("tweet_id") % 11 == 0, F.repeat(F.lit("u"), 257)).otherwise(F.col("username")),
+    })
+
+
 # -- aggregates and orderings ---------------------------------------------
 
 def q_monthly_price_stats(spark, sf_dir):
@@ -520,6 +592,12 @@ QUERIES: dict[str, Query] = {
     "tweets_hist": q_tweets_hist,
     "tweets_hist_set": q_tweets_hist_set,
     "load_fact_append": q_load_fact_append,
+    "load_fact_partitioned": q_load_fact_partitioned,
+    "load_fact_replace_month": q_load_fact_replace_month,
+    "time_range_partitioned": q_time_range_partitioned,
+    "monthly_price_stats_partitioned": q_monthly_price_stats_partitioned,
+    "write_conformed": q_write_conformed,
+    "write_violations": q_write_violations,
     "tweets_and_stats_same_time": q_same_time,
     "tweets_and_stats_same_time_set": q_same_time_set,
     "tweets_and_stats_top5": q_same_time_top5,

@@ -9,7 +9,9 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["nation", "orders", "conversations", "events"]
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
 
 
 @pytest.fixture(scope="module")
@@ -44,15 +46,3 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns[:2] == ["coin_name", "coin_symbol"]
-
-
-def test_load_errors_returns_exactly_the_spoiled_lines(spark, con):
-    """No SQL oracle (the rows carry file paths and times): compare with the
-    rule that spoiled them - every case-variant-id row, price text ending in x."""
-    rows = E.queries()["load_errors"](spark, SF).collect()
-    expected = con.execute("SELECT count(*) FROM orders WHERE o_orderkey % 8 = 4").fetchone()[0]
-    assert len(rows) == expected
-    for r in rows:
-        fields = r["raw_line"].split("|")
-        assert len(fields) == 5 and fields[1].endswith("x") and fields[4].startswith("Nation-")
-        assert r["price"] is None and r["coin"] == fields[4]

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import product_join
+from starloom.operators.joins import product_join, repeat_rows
 from starloom.operators.keys import with_surrogate_key
 from starloom.operators.partitions import MONTH, YEAR, has_month
 
@@ -206,22 +206,6 @@ def same_time_top(
     return top_k(first.select(*SAME_TIME), k)
 
 
-REPEAT_BLOCK = 4096
-
-
-def repeat_rows(df: DataFrame, count_col: str, block: int = REPEAT_BLOCK) -> DataFrame:
-    """Each row ``count_col`` times (rows with a count below 1 are dropped).
-
-    Copies are made in blocks: one row per block of at most ``block`` copies, then
-    expanded, so no array grows past ``max(count / block, block)``.
-    """
-    n = F.col(count_col).cast("long")
-    last = F.floor((n - 1) / block).cast("long")
-    blocks = df.where(n > 0).select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_blk"))
-    size = F.least(F.lit(block).cast("long"), n - F.col("_blk") * block).cast("int")
-    return blocks.select("*", F.explode(F.array_repeat(F.lit(0), size)).alias("_rep")).drop("_blk", "_rep")
-
-
 def top_k(df: DataFrame, k: int = 5) -> DataFrame:
     """``... LIMIT k`` ordered by every output column (O4), planned as a top-k."""
     return df.orderBy(*df.columns).limit(k)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.session import shuffle_partitions
+from starloom.session import scratch_path, shuffle_partitions
 
 # Largest side we are willing to ship to every executor. The coin alias list of a
 # real market-data source is in the tens of thousands of rows.
@@ -33,37 +33,83 @@ def maybe_broadcast(df: DataFrame) -> DataFrame:
 
 #: Rows of one side that one cell of a split product holds, about.
 PRODUCT_BLOCK = 1024
+#: Copies of one row that are made together.
+REPEAT_BLOCK = 4096
 
+_LEFT, _RIGHT = "_left_copies", "_right_copies"
 
-def product_join(left: DataFrame, right: DataFrame, keys: list[str], block: int = PRODUCT_BLOCK) -> DataFrame:
-    """Inner equi join whose hot keys' products are split over many tasks.
 
-    Adaptive execution splits by bytes read, but a key with n and m rows makes
-    n * m. Both sides are counted per key (combined per task). Keys whose product
-    exceeds ``block`` squared are cut into a grid: a row is dealt to a part of its
-    own side by its hash and repeated for each part of the other, so each cell
-    multiplies about ``block`` by ``block`` rows. Other keys are joined as ever.
+def repeat_rows(df: DataFrame, count_col: str, block: int = REPEAT_BLOCK, spread: int | None = None) -> DataFrame:
+    """Each row ``count_col`` times (rows with a count below 1 are dropped).
+
+    Copies are made in blocks: one row per block of at most ``block`` copies, then
+    expanded, so no array grows past ``max(count / block, block)``. With ``spread`` the
+    blocks are dealt to that many tasks before they are expanded, so that the copies of
+    one row are made by all of them.
     """
+    n = F.col(count_col).cast("long")
+    last = F.floor((n - 1) / block).cast("long")
+    blocks = df.where(n > 0).select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_blk"))
+    if spread:
+        blocks = blocks.repartition(spread, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), "_blk")
+    size = F.least(F.lit(block).cast("long"), n - F.col("_blk") * block).cast("int")
+    return blocks.select("*", F.explode(F.array_repeat(F.lit(0), size)).alias("_rep")).drop("_blk", "_rep")
+
+
+def product_counts(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, _n, _m)``: rows of both sides per key they share, combined per task."""
+
     def counted(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
-    many = counted(left, "_n").join(counted(right, "_m"), keys).where(F.col("_n") * F.col("_m") > block * block)
-    parts = many.select(
+    return counted(left, "_n").join(counted(right, "_m"), keys)
+
+
+def product_join(left: DataFrame, right: DataFrame, keys: list[str], block: int = PRODUCT_BLOCK) -> DataFrame:
+    """Inner equi join whose hot keys' products are split over many tasks.
+
+    Adaptive execution splits by bytes read, but a key with n and m rows makes
+    n * m. Both sides are counted per key. Keys whose product is at most ``block``
+    squared are joined as ever. The others are written to the shared folder first, in a
+    job of its own, as mostly there are none. Their rows are factorised: equal rows become one
+    with their number, combined per task. The different ones are cut into a grid: a row is dealt to a part of its own side by its hash and repeated for
+    each part of the other, so each cell multiplies about ``block`` by ``block`` rows.
+    A pair stands for the product of its two numbers, and its copies are made at the
+    end, in blocks that are dealt to all tasks.
+    """
+    spark = left.sparkSession
+    spread = shuffle_partitions(spark)
+    path = scratch_path(spark, "hot-keys")
+    hot = product_counts(left, right, keys).where(F.col("_n") * F.col("_m") > block * block).select(*keys)
+    hot.write.parquet(path)
+    hot = spark.read.schema(hot.schema).parquet(path)
+    if hot.isEmpty():
+        return left.join(right, keys)
+
+    def factorised(df: DataFrame, copies: str) -> DataFrame:
+        columns = [F.col(f"`{c}`") for c in df.columns]
+        return df.join(hot, keys, "left_semi").groupBy(*columns).agg(F.count(F.lit(1)).alias(copies))
+
+    a, b = factorised(left, _LEFT), factorised(right, _RIGHT)
+    parts = product_counts(a, b, keys).select(
         *keys, F.ceil(F.col("_n") / block).cast("int").alias("_p"), F.ceil(F.col("_m") / block).cast("int").alias("_q")
     )
 
     def dealt(df: DataFrame, own: str, other: str, own_cell: str, other_cell: str) -> DataFrame:
         row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-        known = df.join(parts, keys, "left")
-        every = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
         return (
-            known.withColumn(own_cell, F.pmod(row, F.coalesce(F.col(own), F.lit(1))).cast("int"))
-            .withColumn(other_cell, F.explode(every))
+            df.join(parts, keys)
+            .withColumn(own_cell, F.pmod(row, F.col(own)).cast("int"))
+            .withColumn(other_cell, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
             .drop("_p", "_q")
         )
 
     # a fixed number of tasks: what they read is small, so it must not be merged again
-    n, cell = shuffle_partitions(left.sparkSession), [*keys, "_i", "_j"]
-    a = dealt(left, "_p", "_q", "_i", "_j").repartition(n, *cell)
-    b = dealt(right, "_q", "_p", "_j", "_i").repartition(n, *cell)
-    return a.join(b, cell).drop("_i", "_j")
+    cell = [*keys, "_i", "_j"]
+    pairs = (
+        dealt(a, "_p", "_q", "_i", "_j").repartition(spread, *cell)
+        .join(dealt(b, "_q", "_p", "_j", "_i").repartition(spread, *cell), cell).drop("_i", "_j")
+        .withColumn(_LEFT, F.col(_LEFT) * F.col(_RIGHT)).drop(_RIGHT)
+    )
+    plain = left.join(hot, keys, "left_anti").join(right.join(hot, keys, "left_anti"), keys)
+    return plain.unionByName(repeat_rows(pairs, _LEFT, spread=spread).drop(_LEFT))

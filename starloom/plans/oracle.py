@@ -248,10 +248,19 @@ SELECT check_name, CAST(LEAST(n, 3) AS BIGINT) AS shown, n > 0 AS failed FROM (
     WHERE crypto NOT IN (SELECT word FROM tweet_word))""",
     "load_errors": _with() + """
 SELECT concat_ws('|', strftime("date", '%Y-%m-%d %H:%M:%S'), CAST(price AS VARCHAR) || CASE WHEN spoiled THEN 'x' ELSE '' END,
-         CAST(market_cap AS VARCHAR), CAST(total_volumes AS VARCHAR), CASE WHEN src_id % 16 <> 3 THEN coin ELSE '' END) AS raw_line,
+         CAST(market_cap AS VARCHAR), CAST(total_volumes AS VARCHAR), CASE WHEN src_id % 16 <> 3 THEN coin ELSE '\\N' END) AS raw_line,
        CASE WHEN spoiled THEN 'price' ELSE 'coin' END AS column_name,
        CASE WHEN spoiled THEN 'not a decimal(18,5)' ELSE 'NULL in a NOT NULL column' END AS reason
 FROM (SELECT *, starts_with(coin, 'Nation-') AS spoiled FROM hourly_src) WHERE spoiled OR src_id % 16 = 3""",
+    "load_error_lines": _with() + """
+SELECT src_id // 4096 AS block, CAST(line AS BIGINT) AS line_number,
+       concat_ws('|', strftime("date", '%Y-%m-%d %H:%M:%S'), CASE WHEN spoiled THEN ' ' || price || 'x ' ELSE CAST(price AS VARCHAR) END,
+         CAST(market_cap AS VARCHAR), CAST(total_volumes AS VARCHAR), CASE WHEN src_id % 16 <> 3 THEN coin ELSE '\\N' END) AS raw_line,
+       CASE WHEN spoiled THEN 'price' ELSE 'coin' END AS column_name,
+       CASE WHEN spoiled THEN 'not a decimal(18,5)' ELSE 'NULL in a NOT NULL column' END AS reason
+FROM (SELECT *, starts_with(coin, 'Nation-') AS spoiled,
+             1 + row_number() OVER (PARTITION BY src_id // 4096 ORDER BY src_id) AS line FROM hourly_src)
+WHERE spoiled OR src_id % 16 = 3""",
     "append_documents": _with() + "SELECT * FROM tweets_stg",
     "coin_subset_long": _with() + "SELECT * FROM hourly_stg WHERE coin LIKE 'nation!_%' ESCAPE '!'",
     "load_fact_append": _with(FACTS_SET) + "SELECT * FROM coin_stats_hist",

@@ -162,6 +162,29 @@ def q_load_errors(spark, sf_dir):
     return load_errors(spark, path, S.HOURLY_STG).select("raw_line", "column_name", "reason")
 
 
+LINES_PER_FILE = 4096
+
+
+def q_load_error_lines(spark, sf_dir):
+    """The same lines with blanks and NULL markers, in one file per block of source ids
+    and in their order: each bad line as it stands, with its number in its file."""
+    m = Model(spark, sf_dir)
+    path = scratch_path(spark, "hourly-lines")
+    price = F.col("price").cast("string")
+    rows = m.hourly_src.withColumns({
+        "block": F.floor(F.col("src_id") / LINES_PER_FILE),
+        "price": F.when(F.col("coin").startswith("Nation-"), F.concat(F.lit(" "), price, F.lit("x "))).otherwise(price),
+        "coin": F.when(F.col("src_id") % 16 != 3, F.col("coin")),
+    })
+    rows = with_timestamp_text(rows).repartition("block").sortWithinPartitions("block", "src_id").drop("src_id")
+    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    rows.write.partitionBy("block").options(**HOURLY_CSV_WRITE, **keep).csv(path)
+    return load_errors(spark, f"{path}/block=*", S.HOURLY_STG).select(
+        F.regexp_extract("file_path", "block=([0-9]+)", 1).cast("long").alias("block"),
+        "line_number", "raw_line", "column_name", "reason",
+    )
+
+
 def q_read_documents(spark, sf_dir):
     m = Model(spark, sf_dir)
     path = scratch_path(spark, "tweets-json")
@@ -571,6 +594,7 @@ QUERIES: dict[str, Query] = {
     "stage_delimited": q_stage_delimited,
     "stage_parquet": q_stage_parquet,
     "load_errors": q_load_errors,
+    "load_error_lines": q_load_error_lines,
     "read_documents": q_read_documents,
     "append_documents": q_append_documents,
     "flatten_market_chart": q_flatten_market_chart,

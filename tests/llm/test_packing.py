@@ -58,13 +58,34 @@ def test_ids_of_any_text_equal_the_tokenizers(tokenizer, monkeypatch):
     rnd = random.Random(5)
     signs = list("ab \n\t\r\x0b\x1c\x85\xa0 ​　.'s1é漢") + ["<|endoftext|>", "don't", "   "]
     encoder = P.Encoder(P.VOCABULARY)
+    assert encoder.fast is not None
     texts = ["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
+    texts += ["^" * 5000, " " * 9000 + "x", "é" * 20_000, "a\n" * 9000, "<|endoftext|>" * 600, "漢" * 4095 + " " + "漢" * 4096]
     want = [t.ids + [0] for t in tokenizer.encode_batch(texts, add_special_tokens=False)]
-    for stretch, table in ((1 << 20, 1 << 19), (7, 1 << 19), (200, 5)):
+    for stretch, fast in ((1 << 20, encoder.fast), (7, encoder.fast), (1 << 20, None)):
         monkeypatch.setattr(P, "STRETCH", stretch)
-        monkeypatch.setattr(P, "TABLE", table)
-        assert [g.tolist() for g in encoder.batch(texts)] == want
-    assert list(encoder.batch([])) == [] and encoder.ids(None).tolist() == [0]
+        encoder.fast = fast
+        assert [encoder.ids(t).tolist() for t in texts] == want
+    assert encoder.ids(None).tolist() == encoder.ids("").tolist() == [0]
+
+
+def test_both_libraries_agree_on_every_code_point(tokenizer):
+    fast = P.ranked(tokenizer)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for lo in range(0, len(points), 1 << 16):
+        texts = [f"a{c}b {c}1{c} !{c}  x{c}{c} 's{c}" for c in points[lo : lo + (1 << 16)]]
+        want = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        assert fast.encode_batch(texts, num_threads=4, allowed_special="all") == want
+
+
+def test_other_tokenizers_are_not_taken_for_plain_ones():
+    from tokenizers import Tokenizer
+
+    other = Tokenizer.from_file(P.VOCABULARY.replace("byte_bpe_50k", "word_bpe_49k"))
+    assert P.ranked(other) is None
+    encoder = P.Encoder(P.VOCABULARY.replace("byte_bpe_50k", "word_bpe_49k"))
+    text = "Some WORDS, 12 of them " * 50
+    assert encoder.ids(text).tolist() == other.encode(text, add_special_tokens=False).ids + [0]
 
 
 def plain_level(levels, size, window):

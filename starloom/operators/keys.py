@@ -55,7 +55,7 @@ def _bounds(keys: DataFrame, buckets: int) -> Column:
     return F.from_json(F.lit(text), T.ArrayType(keys.schema["k"].dataType), _JSON)
 
 
-def _bucket(key: Column, bounds: Column, most: int) -> Column:
+def bucket_of(key: Column, bounds: Column, most: int) -> Column:
     """How many of at most ``most`` ascending bounds are not above the key, by halving."""
 
     def half(at: Column, _: Column) -> Column:
@@ -87,7 +87,7 @@ def with_surrogate_key(
     order = _cols(order_by)
     key = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
     keys = df.select(key.alias("k"))
-    placed = df.withColumn(_BUCKET, _bucket(key, _bounds(keys, n), n - 1) if n > 1 else F.lit(0))
+    placed = df.withColumn(_BUCKET, bucket_of(key, _bounds(keys, n), n - 1) if n > 1 else F.lit(0))
     # a bucket a task, which is also how the numbering window needs the rows
     dealt = placed.repartitionById(n, F.col(_BUCKET))
     counts = placed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias(_N))

@@ -130,6 +130,8 @@ fewer_dates AS (SELECT * FROM date_dim_set WHERE date_key % 7 <> 3)"""
 
 MONTH_RANGE = """"date" BETWEEN TIMESTAMP '1996-03-10 00:00:00' AND TIMESTAMP '1997-01-31 23:59:59'"""
 
+FAULTS_BAG = FAULTS.replace("date_dim_set", "date_dim")
+
 ALL_HIST_COLS = "date_key, coin_key, \"date\", coin_name, coin_symbol, price, market_cap, total_volumes"
 ALL_TWEET_COLS = "date_key, coin_key, \"date\", tweet_id, coin_name, tweet, username, search_term"
 
@@ -152,6 +154,14 @@ def _orphans(table: str, key: str, dim: str, name: str) -> str:
     )
 
 
+ORPHANS = " UNION ALL ".join([
+    _orphans("bad_coin_stats", "coin_key", "fewer_coins", "coin_stats_hist"),
+    _orphans("bad_coin_stats", "date_key", "fewer_dates", "coin_stats_hist"),
+    _orphans("bad_tweets", "coin_key", "fewer_coins", "tweets_hist"),
+    _orphans("bad_tweets", "date_key", "fewer_dates", "tweets_hist"),
+])
+
+
 def _exported(name: str, rows: str, text: str) -> str:
     return (
         f"SELECT '{name}' AS table_name, CAST(COUNT(*) AS BIGINT) AS n_rows, "
@@ -196,6 +206,7 @@ FROM events""",
     "date_dim": _with() + "SELECT * FROM date_dim",
     "date_dim_set": _with() + "SELECT * FROM date_dim_set",
     "load_dimension_append": _with() + "SELECT * FROM date_dim",
+    "load_dimension_ranges": _with() + "SELECT * FROM date_dim",
     "coin_stats_hist": _with(FACTS) + "SELECT * FROM coin_stats_hist",
     "coin_stats_hist_set": _with(FACTS_SET) + "SELECT * FROM coin_stats_hist",
     "coin_stats_hist_by_id": _with() + """SELECT k.date_key, c.coin_key, "date", c.name AS coin_name, s.price, s.market_cap, s.total_volumes
@@ -234,12 +245,15 @@ FROM e""",
         _nulls("bad_coin_stats", ["coin_key", "date_key"], "coin_stats_hist"),
         _nulls("bad_tweets", ["coin_key", "date_key"], "tweets_hist"),
     ]),
-    "fk_orphans": _with(FACTS_SET, FAULTS) + " UNION ALL ".join([
-        _orphans("bad_coin_stats", "coin_key", "fewer_coins", "coin_stats_hist"),
-        _orphans("bad_coin_stats", "date_key", "fewer_dates", "coin_stats_hist"),
-        _orphans("bad_tweets", "coin_key", "fewer_coins", "tweets_hist"),
-        _orphans("bad_tweets", "date_key", "fewer_dates", "tweets_hist"),
+    "fk_orphans": _with(FACTS_SET, FAULTS) + ORPHANS,
+    "fk_orphans_dense": _with(FACTS_SET, FAULTS) + ORPHANS,
+    "bag_null_key_report": _with(FACTS, FAULTS_BAG) + " UNION ALL ".join([
+        _nulls("bad_coin_stats", ["coin_key", "date_key"], "coin_stats_hist"),
+        _nulls("bad_tweets", ["coin_key", "date_key"], "tweets_hist"),
     ]),
+    "bag_fk_orphans": _with(FACTS, FAULTS_BAG) + ORPHANS,
+    "declared_table": _with() + "SELECT * FROM hourly_stg",
+    "find_null": _with() + "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS username) FROM tweets_stg WHERE tweet_id % 5 = 0",
     "run_checks": _with(SPELLINGS) + """
 SELECT check_name, CAST(LEAST(n, 3) AS BIGINT) AS shown, n > 0 AS failed FROM (
   SELECT 'coins without id' AS check_name, COUNT(*) AS n FROM coin_stg WHERE coin_id IS NULL
@@ -280,6 +294,7 @@ SELECT * FROM (
 WHERE violations > 0""",
     "monthly_price_stats_fact": _with(FACTS_SET) + MONTHLY_STATS.format(dd="date_dim_set"),
     "pipeline_monthly": _with(FACTS_SET) + MONTHLY_STATS.format(dd="date_dim_set"),
+    "csv_one_file": _with() + "SELECT * FROM hourly_stg",
     "csv_roundtrip_events": "SELECT event_id, ts FROM events",
     "export_all": _with(FACTS_SET, "m AS (" + MONTHLY_STATS.format(dd="date_dim_set") + ")") + " UNION ALL ".join([
         _exported("snscrape_tweets_hist", "tweets_hist", "tweet"), _exported("coin_stats_hist", "coin_stats_hist", "coin_name"),

@@ -7,6 +7,7 @@ round trips write to a fresh folder under the cluster's checkpoint directory.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -32,6 +33,7 @@ from starloom.operators.filters import coin_subset, last_n_days, time_range
 from starloom.operators.keys import append_with_keys, with_surrogate_key
 from starloom.operators.partitions import MONTH, MONTH_PARTS, YEAR, with_month
 from starloom.plans import fixtures as fx
+from starloom.plans.declared import create_table, insert_rows
 from starloom.plans.pipeline import (
     EXPORTS,
     T_COIN_DIM,
@@ -42,9 +44,10 @@ from starloom.plans.pipeline import (
     Sources,
     run_pipeline,
 )
+from starloom.plans.ranges import append_with_range
 from starloom.plans.tables import Catalog, load_dimension, load_fact, write_table
 from starloom.session import configure, scratch_path
-from starloom.sinks.csv import export_csv, read_exported_csv, with_timestamp_text
+from starloom.sinks.csv import export_csv, export_csv_file, read_exported_csv, with_timestamp_text
 from starloom.sources.delimited import load_errors, stage_delimited
 from starloom.sources.documents import MARKET_CHART, append_documents, flatten_market_chart, read_documents
 from starloom.sources.parquet import stage_parquet
@@ -283,6 +286,18 @@ def q_load_dimension_append(spark, sf_dir):
     return out
 
 
+def q_load_dimension_ranges(spark, sf_dir):
+    """Two appends at once: both claim their key ranges before either is written."""
+    m = Model(spark, sf_dir)
+    cat = Catalog(spark, scratch_path(spark, "catalog"))
+    load = {"tweets": (m.tweets_stg, ["datetime", "tweet_id"]), "crypto": (m.hourly_src, ["date", "src_id"])}
+    keyed = {b: append_with_range(cat, "dim.date_dim", df.select(order), "date_key", order, b) for b, (df, order) in load.items()}
+    for batch in ("crypto", "tweets"):
+        dates = build_date_dim(keyed[batch], load[batch][1][0], keep=["date_key"]).select(*S.DATE_DIM.names)
+        out = load_dimension(cat, "dim.date_dim", dates, mode="append", batch_id=batch)
+    return out
+
+
 # -- facts -----------------------------------------------------------------
 
 def q_coin_stats_hist(spark, sf_dir):
@@ -551,6 +566,68 @@ def q_fk_orphans(spark, sf_dir):
     return Q.fk_orphan_report({n: t[n] for n in ("coin_stats_hist", "tweets_hist")}, dims)
 
 
+def q_fk_orphans_dense(spark, sf_dir):
+    """Q4 by the bounds and the missing keys of the dimensions."""
+    _, t = _stored_facts(spark, sf_dir)
+    dims = {"coin_key": t["coin_dim"], "date_key": t["date_dim"]}
+    return Q.dense_fk_orphan_report({n: t[n] for n in ("coin_stats_hist", "tweets_hist")}, dims)
+
+
+def _bag_sides(spark, sf_dir):
+    """What the bag-mode facts are products of, stored once, with NULL keys in both."""
+    m = Model(spark, sf_dir, "bag")
+    cat = Catalog(spark, scratch_path(spark, "catalog"))
+    coin = F.when(F.col("coin_key") != 3, F.col("coin_key"))
+    date = F.when(F.col("date_key") % 11 != 0, F.col("date_key"))
+    dates = load_dimension(cat, "date_dim", m.date_dim.select("date_key", "date"))
+    coins = load_dimension(cat, "coin_dim", m.coin_dim)
+    matched = {
+        name: load_fact(cat, name, df.select(coin.alias("coin_key"), "date"))
+        for name, df in (("coin_stats_hist", m.coin_matches()), ("tweets_hist", m.tweet_matches()))
+    }
+    return matched, dates.select(date.alias("date_key"), "date"), coins, dates
+
+
+def q_bag_null_key_report(spark, sf_dir):
+    """Q1 of the bag-mode facts without building them."""
+    matched, dates, _, _ = _bag_sides(spark, sf_dir)
+    a, b = (Q.product_null_key_report(df, dates, ["date"], ["coin_key", "date_key"], n) for n, df in matched.items())
+    return a.unionByName(b)
+
+
+def q_bag_fk_orphans(spark, sf_dir):
+    """Q4 of the bag-mode facts without building them."""
+    matched, dates, coins, all_dates = _bag_sides(spark, sf_dir)
+    dims = {"coin_key": coins.where("coin_key % 5 <> 0"), "date_key": all_dates.where("date_key % 7 <> 3")}
+    a, b = (Q.product_fk_orphan_report(df, dates, ["date"], dims, n) for n, df in matched.items())
+    return a.unionByName(b)
+
+
+def q_declared_table(spark, sf_dir):
+    """The hourly rows through a declared catalog table: an insert, one that is too long
+    and fails, and an overwrite of the whole."""
+    m = Model(spark, sf_dir)
+    name = f"starloom_{uuid.uuid4().hex[:12]}"
+    create_table(spark, S.HOURLY_STG, name, location=scratch_path(spark, "declared"))
+    insert_rows(m.hourly_stg.limit(10), S.HOURLY_STG, name)
+    try:
+        insert_rows(m.hourly_stg.withColumn("coin", F.repeat("coin", 64)), S.HOURLY_STG, name, overwrite=True)
+    except Exception as e:
+        if "EXCEED_LIMIT_LENGTH" not in str(e):
+            raise
+        return insert_rows(m.hourly_stg, S.HOURLY_STG, name, overwrite=True)
+    raise AssertionError("a text beyond its declared length must fail the write")
+
+
+def q_find_null(spark, sf_dir):
+    """``find({username: null})``: documents whose field is null or absent."""
+    m = Model(spark, sf_dir)
+    path = scratch_path(spark, "tweets-null")
+    some = F.when(F.col("tweet_id") % 5 != 0, F.col("username"))
+    m.tweets_stg.withColumn("username", some).write.json(path)
+    return read_documents(spark, path, S.TWEETS_STG.struct(), where={"username": None})
+
+
 def q_run_checks(spark, sf_dir):
     """A list of checks under both policies: how many rows each shows, and whether
     the strict policy stops at it."""
@@ -583,6 +660,14 @@ def q_csv_roundtrip_events(spark, sf_dir):
     return read_exported_csv(spark, path, events.schema)
 
 
+def q_csv_one_file(spark, sf_dir):
+    """The hourly rows exported as one file that all tasks write."""
+    m = Model(spark, sf_dir)
+    path = scratch_path(spark, "hourly-export") + ".csv"
+    export_csv_file(m.hourly_stg, path)
+    return read_exported_csv(spark, path, S.HOURLY_STG.struct())
+
+
 def q_csv_roundtrip(spark, sf_dir):
     m = Model(spark, sf_dir)
     path = scratch_path(spark, "tweets-export")
@@ -610,6 +695,7 @@ QUERIES: dict[str, Query] = {
     "date_dim": q_date_dim,
     "date_dim_set": q_date_dim_set,
     "load_dimension_append": q_load_dimension_append,
+    "load_dimension_ranges": q_load_dimension_ranges,
     "coin_stats_hist": q_coin_stats_hist,
     "coin_stats_hist_set": q_coin_stats_hist_set,
     "coin_stats_hist_by_id": q_coin_stats_hist_by_id,
@@ -640,8 +726,14 @@ QUERIES: dict[str, Query] = {
     "epoch_roundtrip": q_epoch_roundtrip,
     "null_key_report": q_null_key_report,
     "fk_orphans": q_fk_orphans,
+    "fk_orphans_dense": q_fk_orphans_dense,
+    "bag_null_key_report": q_bag_null_key_report,
+    "bag_fk_orphans": q_bag_fk_orphans,
+    "declared_table": q_declared_table,
+    "find_null": q_find_null,
     "run_checks": q_run_checks,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_one_file": q_csv_one_file,
     "csv_roundtrip_events": q_csv_roundtrip_events,
     "export_all": q_export_all,
 }

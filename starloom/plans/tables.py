@@ -182,6 +182,12 @@ class Catalog:
         return n
 
 
+def generation_of(catalog: Catalog, name: str) -> str:
+    """The directory name of the generation that an append to the table goes to."""
+    folder = _Folder(catalog.spark, catalog.path(name))
+    return _current(folder)[0] or _next(folder.children(), "_g")
+
+
 def write_table(
     df: DataFrame, path: str, mode: str = "delete", batch_id: str | int = 0,
     partition_by: Sequence[str] = (), schema: TableSchema | None = None,

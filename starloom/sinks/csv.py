@@ -3,13 +3,17 @@
 Timestamps as ``yyyy-MM-dd HH:mm:ss``, with a fraction where it is not zero, quotes doubled, NULL and '' both empty,
 leading and trailing blanks kept. Spark writes one directory of part files per
 table from the executors; ``single_file`` coalesces to one task and is meant for
-small tables only.
+small tables only. ``export_csv_file`` writes one file of any size: the parts are
+written by all tasks and put behind one another by the store, or copied as a stream
+where the store cannot.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +60,59 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     with_timestamp_text(out).write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
 
 
+def export_csv_file(df: DataFrame, path: str) -> str:
+    """One CSV file at ``path`` itself, with the bytes of ``export_csv(single_file=True)``;
+    how the parts came together (``concat`` or ``copy``).
+
+    Parts without a header lie in a scratch folder beside it until the file stands
+    whole under a name of its own, which then takes the place of an older export. So a
+    reader sees the old file or the new one. A copy holds one buffer at a time.
+    """
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    work = jvm.org.apache.hadoop.fs.Path(at.getParent(), f".{at.getName()}-{uuid.uuid4().hex[:12]}")
+    folder = jvm.org.apache.hadoop.fs.Path(work, "parts")
+    try:
+        with_timestamp_text(df).write.options(**{**CSV_WRITE_OPTIONS, "header": "false"}).csv(folder.toString())
+        head = spark.createDataFrame([tuple(df.columns)], ", ".join(f"c{i} string" for i in range(len(df.columns))))
+        top = jvm.org.apache.hadoop.fs.Path(work, "header")
+        head.coalesce(1).write.options(**{**CSV_WRITE_OPTIONS, "header": "false"}).csv(top.toString())
+        parts = [f for p in (top, folder) for f in _part_files(fs, p)]
+        whole, how = parts[0], "concat"
+        if len(parts) > 1:
+            try:
+                fs.concat(whole, _java_array(spark, jvm.org.apache.hadoop.fs.Path, parts[1:]))
+            except UnsupportedOperationException:
+                whole, how = jvm.org.apache.hadoop.fs.Path(work, "whole"), "copy"
+                out = fs.create(whole, False)
+                for f in parts:
+                    stream = fs.open(f)
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 20, False)
+                    stream.close()
+                out.close()
+        if fs.exists(at):
+            fs.delete(at, True)
+        if not fs.rename(whole, at):
+            raise OSError(f"cannot move the export to {path}")
+        return how
+    finally:
+        fs.delete(work, True)
+
+
+def _part_files(fs, folder) -> list:
+    found = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-") and s.getLen() > 0]
+    return sorted(found, key=lambda p: p.getName())
+
+
+def _java_array(spark: SparkSession, kind, items: list):
+    out = spark.sparkContext._gateway.new_array(kind, len(items))
+    for i, item in enumerate(items):
+        out[i] = item
+    return out
+
+
 def read_exported_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """Read an export back (texts may hold newlines, hence multiLine); a line that
     does not fit the schema fails the read."""

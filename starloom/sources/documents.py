@@ -23,13 +23,14 @@ def read_documents(
     where: dict | None = None, drop_id: bool = True,
 ) -> DataFrame:
     """A document collection with an equality filter (``find(query)``), ``_id``
-    dropped. A broken line or a value of the wrong type fails the read."""
+    dropped. ``{field: None}`` finds the documents whose field is null or absent. A
+    broken line or a value of the wrong type fails the read."""
     configure(spark)
     reader = spark.read.option("mode", "FAILFAST")
     reader = reader.schema(schema) if schema is not None else reader
     df = reader.json(path)
     for field, value in (where or {}).items():
-        df = df.where(F.col(field) == F.lit(value))
+        df = df.where(F.col(field).eqNullSafe(F.lit(value)))
     return df.drop("_id") if drop_id else df
 
 

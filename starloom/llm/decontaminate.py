@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm import textnum as N
-from starloom.llm.scratch import ship, stored
+from starloom.llm.scratch import ship, stored, unused
 
 MASKS = ("10001111", "11011001")
 WINDOW = 12
@@ -208,8 +208,9 @@ def stage_decontaminate(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     and text, so rows that share an id, or have none, are decided one by one."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     row = F.xxhash64("doc_id", "text")
-    bad = contaminated(docs.select(row.alias("doc_id"), "text"), items).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, row == F.col("_bad"), "left_anti")
+    (name,) = unused(docs.columns, "_bad")
+    bad = contaminated(docs.select(row.alias("doc_id"), "text"), items).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(bad, row == F.col(name), "left_anti")
 
 
 __all__ = ["benchmark_seeds", "contaminated", "op10_decontaminate", "stage_decontaminate"]

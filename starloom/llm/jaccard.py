@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm import textnum as N
 from starloom.llm.components import components
-from starloom.llm.scratch import partitions, ship, stored
+from starloom.llm.scratch import partitions, ship, stored, unused
 
 WORDS = 5
 NUM, DEN = 75, 100
@@ -546,8 +546,10 @@ def op9_jaccard_join(spark, sf_dir: str) -> DataFrame:
 def stage_jaccard(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component one row with the smallest id stays, and one
     of its rows without an id if it has any; of ids with several texts the text of the
-    smallest hash, of repeated rows the smallest row. Rows without words are in no
-    component and stay. A row is known by its id and text."""
+    smallest hash, of repeated rows the smallest row (by its JSON text where a column is
+    a map, which has no order). Rows without words are in no component and stay. A row is
+    known by its id and text."""
+    (name,) = unused(docs.columns, "_row")
     row = F.xxhash64("doc_id", "text")
     rows, links = jaccard_links(docs.select(row.alias("doc_id"), "text"))
     known = docs.groupBy(row.alias("row")).agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n"))
@@ -563,14 +565,14 @@ def stage_jaccard(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.min("named")["row"].alias("named"), F.min("bare").alias("bare")
     )
     stay = stored(stay.select(F.explode(F.array("named", "bare")).alias("row")).where("row is not null"), "rows")
-    copies = known.join(stay, "row", "left_anti").select(F.col("row").alias("_row"))
-    again = stored(known.where("n > 1").join(stay, "row", "left_semi").select(F.col("row").alias("_row")), "rows")
+    copies = known.join(stay, "row", "left_anti").select(F.col("row").alias(name))
+    again = stored(known.where("n > 1").join(stay, "row", "left_semi").select(F.col("row").alias(name)), "rows")
     if again.isEmpty():
-        return docs.join(copies, row == F.col("_row"), "left_anti")
-    once = docs.join(again, row == F.col("_row"), "left_semi").groupBy(row.alias("_row")).agg(
-        F.min(F.struct(*docs.columns)).alias("least")
-    )
-    single = docs.join(copies.unionByName(again), row == F.col("_row"), "left_anti")
+        return docs.join(copies, row == F.col(name), "left_anti")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = F.min_by(whole, F.to_json(whole)) if "map<" in docs.schema.simpleString() else F.min(whole)
+    once = docs.join(again, row == F.col(name), "left_semi").groupBy(row.alias(name)).agg(first.alias("least"))
+    single = docs.join(copies.unionByName(again), row == F.col(name), "left_anti")
     return single.unionByName(once.select("least.*"))
 
 

@@ -36,8 +36,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starloom.llm.scratch import ship
+from starloom.llm.scratch import ship, unused
 from starloom.llm.textnum import parts
 
 TRAIN_TEXTS = 400
@@ -247,13 +248,14 @@ def identify(docs: DataFrame, model: Model, text: str = "text", out: tuple[str,
             got = list(zip(*m.classify(b.column(at).to_pylist(), table), strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(got[0], pa.string()), pa.array(got[1], pa.float64()), pa.array(got[2], pa.float64())],
-                names=names,
+                names=places,
             )
 
-    schema = docs.schema
-    for c, t in zip(out, ("string", "double", "double"), strict=True):
-        schema = type(schema)([*schema.fields]).add(c, t)
-    return docs.mapInArrow(run, schema)
+    # by place: Spark's call resolves names, and a dot in one would not be found
+    places = [f"c{i}" for i in range(len(names))]
+    kinds = [*(f.dataType for f in docs.schema), T.StringType(), T.DoubleType(), T.DoubleType()]
+    schema = T.StructType([T.StructField(c, k) for c, k in zip(places, kinds, strict=True)])
+    return docs.toDF(*places[: len(docs.columns)]).mapInArrow(run, schema).toDF(*names)
 
 
 def op1_language_id(spark, sf_dir: str) -> DataFrame:
@@ -270,8 +272,9 @@ def stage_language_id(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     have no letter are rejected. Learns from the labelled ones of its input."""
     columns = docs.columns
     model = fit(docs.select("text", "lang"))
-    found = identify(docs, model, out=("_lang", "_score", "_bits"))
-    return found.where(F.col("_lang") != UNKNOWN).select(*columns)
+    out = unused(columns, "_lang", "_score", "_bits")
+    found = identify(docs, model, out=tuple(out))
+    return found.where(F.col(out[0]) != UNKNOWN).select(*[F.col(f"`{c}`") for c in columns])
 
 
 __all__ = ["Automaton", "Model", "training_sample", "fit", "identify", "op1_language_id", "stage_language_id"]

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.scratch import stored
+from starloom.llm.scratch import stored, unused
 
 RATIO = 0.3
 MIN_PAGES = 5
@@ -84,22 +84,26 @@ def drop_boilerplate(pages: DataFrame, key: str, host: str, text: str, ratio: fl
     if dropped in pages.columns:
         raise ValueError(f"column exists already: {dropped}")
     bad = boilerplate(pages, host, text, ratio, min_pages, once)
+    row, own = unused(pages.columns, "_key", "_bad")
+    # a line is bad for its host whoever asks, so a row is known by what it holds: rows
+    # that share a key, or have none, are no group
+    name = F.xxhash64(F.col(key), F.col(host), F.col(text))
     seen = pages.select(
-        F.col(key).alias("_key"),
+        name.alias(row),
         F.explode(
             F.array_distinct(F.transform(_lines(F.col(text)), lambda x: _hash(F.col(host), x)))
         ).alias("h"),
     )
     # a page holds a bounded number of its own lines, so its list is bounded by its text
-    hits = seen.join(bad.select("h"), "h", "left_semi").groupBy("_key").agg(F.collect_set("h").alias("_bad"))
-    both = pages.join(hits, pages[key].eqNullSafe(hits["_key"]), "left")
+    hits = seen.join(bad.select("h"), "h", "left_semi").groupBy(row).agg(F.collect_set("h").alias(own))
+    both = pages.join(hits, name == F.col(row), "left")
     lines = _lines(F.col(text))
-    kept = F.filter(lines, lambda x: (F.btrim(x) == "") | ~F.array_contains("_bad", _hash(F.col(host), x)))
-    gone = F.col("_bad").isNotNull()
+    kept = F.filter(lines, lambda x: (F.btrim(x) == "") | ~F.array_contains(own, _hash(F.col(host), x)))
+    gone = F.col(own).isNotNull()
     clean = F.when(gone, F.array_join(kept, "\n")).otherwise(F.col(text))
     n = F.when(gone, F.size(lines) - F.size(kept)).otherwise(F.lit(0))
     return both.select(
-        *[clean.alias(c) if c == text else F.col(c) for c in pages.columns], n.cast("long").alias(dropped)
+        *[clean.alias(c) if c == text else F.col(f"`{c}`") for c in pages.columns], n.cast("long").alias(dropped)
     )
 
 
@@ -138,9 +142,10 @@ def stage_line_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     source's distinct texts (``DOC_MIN`` at least), with ``n_chars`` of the text that
     stays. No document is dropped."""
     columns = docs.columns
-    clean = drop_boilerplate(docs, "doc_id", "source", "text", DOC_RATIO, DOC_MIN, "_dropped", once=True)
-    n = F.when(F.col("_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return clean.select(*[n.alias(c) if c == "n_chars" else F.col(c) for c in columns])
+    (dropped,) = unused(columns, "_dropped")
+    clean = drop_boilerplate(docs, "doc_id", "source", "text", DOC_RATIO, DOC_MIN, dropped, once=True)
+    n = F.when(F.col(dropped) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return clean.select(*[n.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in columns])
 
 
 SQL = rf"""

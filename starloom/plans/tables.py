@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.operators.conform import ConstraintError, conform, rule_counts
 from starloom.schemas import TableSchema
@@ -199,6 +200,9 @@ def write_table(
     configure(spark)
     if mode == "replace" and not partition_by:
         raise ValueError("only partitions can be replaced; name them in partition_by")
+    for c in partition_by:
+        if not isinstance(df.schema[c].dataType, T.IntegerType | T.DateType):
+            raise ValueError(f"{c}: a partition column is an int or a date, as others change their type when read back")
     folder = _Folder(spark, path.rstrip("/"))
     generation, found = _current(folder)
     if mode == "delete" or generation is None:

@@ -90,6 +90,8 @@ def test_replacing_needs_partitions(spark, tmp_path):
     with pytest.raises(ValueError):
         write_table(df, cat.path("t"), "replace", "b", ["p"])
     assert cat.read("t").count() == 1
+    with pytest.raises(ValueError, match="int or a date"):
+        write_table(df.withColumn("p", F.lit("007")), cat.path("t"), partition_by=["p"])
 
 
 def test_a_partitioned_write_without_rows(spark, tmp_path):
@@ -102,7 +104,7 @@ def test_a_partitioned_write_without_rows(spark, tmp_path):
 
 def test_a_hot_month_is_several_files(spark, tmp_path):
     cat = Catalog(spark, str(tmp_path))
-    df = spark.range(200_000).select(F.sha2(F.col("id").cast("string"), 256).alias("s"), F.when(F.col("id") < 190_000, 1).otherwise(F.col("id") % 5).alias("p"))
+    df = spark.range(200_000).select(F.sha2(F.col("id").cast("string"), 256).alias("s"), F.when(F.col("id") < 190_000, 1).otherwise(F.col("id") % 5).cast("int").alias("p"))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
     try:
         write_table(df.repartition(8), cat.path("t"), partition_by=["p"])

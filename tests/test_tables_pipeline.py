@@ -62,6 +62,25 @@ def test_pipeline_end_to_end(spark, source_files, tmp_path, mode, expected):
         assert glob.glob(str(tmp_path / "out" / f"{name}.csv" / "part-*.csv"))
 
 
+def test_pipeline_by_month(spark, source_files, tmp_path):
+    """Facts by month: the same rows and exports, and months that can be read alone."""
+    src = Sources(f"{source_files}/coins", f"{source_files}/hourly/{{year}}", f"{source_files}/tweets", {"year": 2024})
+    runs = {}
+    for by_month in (False, True):
+        root = tmp_path / str(by_month)
+        runs[by_month] = run_pipeline(spark, src, str(root / "wh"), "set", str(root / "out"), by_month=by_month)
+    for name, schema in ((T_COIN_STATS, S.COIN_STATS_HIST), (T_TWEETS_HIST, S.TWEETS_HIST)):
+        plain, parted = runs[False].table(name), runs[True].table(name)
+        assert parted.columns == [*schema.names, "part_year", "part_month"]
+        got = parted.select(schema.names)
+        assert got.exceptAll(plain).count() == plain.exceptAll(got).count() == 0
+        assert glob.glob(f"{runs[True].catalog.path(name)}/*/*/*/part_year=*/part_month=*/*.parquet")
+    assert runs[True].previews == runs[False].previews
+    for name, _ in EXPORTS:
+        lines = [sorted(line for f in glob.glob(str(tmp_path / str(b) / "out" / f"{name}.csv" / "part-*.csv")) for line in set(open(f))) for b in (False, True)]
+        assert set(lines[0]) == set(lines[1])
+
+
 def test_missing_table_reads_empty_with_its_schema(spark, tmp_dir):
     from starloom.operators.keys import next_key
 

@@ -4,10 +4,12 @@ A template is a license's notice as words. Every rolling hash of ``GRAM`` words
 of every document meets the templates' positions in a Spark join; a hit whose
 words are really equal votes for the diagonal ``document place - template place``.
 Votes are added up per diagonal; diagonals at most ``DRIFT`` apart, as a few
-inserted or dropped words make them, are merged; a merged span is verified if its
-votes cover at least ``COVER`` of the template's positions and it is no longer
-than ``STRETCH`` templates. Beside the templates, fixed phrases are found at every
-place where their words stand in a row.
+inserted or dropped words make them, are merged. Merged diagonals of ``CHAIN`` votes
+and more are then chained where the document and the template both go on, as a
+sentence put into a notice makes them. A chain, or a merged diagonal of one that fails,
+is verified if its votes cover at least ``COVER`` of the template's positions and it is
+no longer than ``STRETCH`` templates. Beside the templates, fixed phrases are found at
+every place where their words stand in a row.
 
 The template table is fixed, so it is broadcast. Votes are combined per task
 before they are shuffled, by document, so no group exceeds one document.
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 GRAM = 4
 DRIFT = 3
+CHAIN = 3
 COVER = 0.6
 STRETCH = 1.5
 
@@ -116,15 +119,38 @@ def spans(docs: DataFrame, text: str, key: str, templates: DataFrame, gram: int
     merged = votes.withColumn("new", F.when(gap <= DRIFT, 0).otherwise(1)).withColumn(
         "group", F.sum("new").over(along)
     )
-    found = merged.groupBy("key", "h1", "h2", "label", "t_grams", "group").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("voted"),
-        F.min("first").alias("first_word"),
-        (F.max("last") + F.lit(gram - 1)).alias("last_word"),
+    text_label = ["key", "h1", "h2", "label", "t_grams"]
+    single = merged.groupBy(*text_label, "group").agg(
+        F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
+        F.min("first").alias("first"), F.max("last").alias("last"),
     )
-    length = F.col("last_word") - F.col("first_word") + 1
-    return found.withColumn("cover", F.col("voted") / F.col("t_grams")).where(
-        (F.col("cover") >= COVER) & (length <= STRETCH * (F.col("t_grams") + F.lit(gram - 1)))
-    ).select("key", "h1", "h2", "label", "first_word", "last_word", "cover")
+    strong = F.size("places") >= CHAIN
+    on = Window.partitionBy("key", "h1", "h2", "label", strong).orderBy("first", "last", "group")
+    whole = F.col("t_grams") + F.lit(gram - 1)
+    goes_on = (
+        strong & (F.array_min("places") > F.lag(F.array_max("places")).over(on)) & (F.col("first") > F.lag("last").over(on))
+        & (F.col("first") - F.lag("last").over(on) <= (STRETCH - 1) * whole)
+    )
+    single = single.withColumn("breaks", F.when(goes_on, 0).otherwise(1)).withColumn("strong", strong).withColumn(
+        "chain", F.sum("breaks").over(on.rowsBetween(Window.unboundedPreceding, 0))
+    )
+
+    def span(places: Column, first: Column, last: Column) -> Column:
+        return F.struct(
+            first.alias("first_word"), (last + F.lit(gram - 1)).alias("last_word"), (F.size(places) / F.col("t_grams")).alias("cover")
+        )
+
+    def holds(s: Column) -> Column:
+        return (s["cover"] >= COVER) & (s["last_word"] - s["first_word"] + 1 <= STRETCH * whole)
+
+    chains = single.groupBy(*text_label, "strong", "chain").agg(F.collect_list(F.struct("places", "first", "last")).alias("members"))
+    members = F.transform("members", lambda m: span(m["places"], m["first"], m["last"]))
+    every = span(
+        F.array_distinct(F.flatten(F.transform("members", lambda m: m["places"]))),
+        F.array_min(F.transform("members", lambda m: m["first"])), F.array_max(F.transform("members", lambda m: m["last"])),
+    )
+    verified = F.when(holds(every), F.array(every)).otherwise(F.filter(members, holds))
+    return chains.select("key", "h1", "h2", "label", F.explode(verified).alias("s")).select("key", "h1", "h2", "label", "s.*")
 
 
 def _text_hashes(text: Column) -> tuple[Column, Column]:

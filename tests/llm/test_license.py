@@ -58,6 +58,32 @@ def test_templates_survive_edits_and_edges(spark):
     assert L.scan(df.where("false")).count() == 0
 
 
+def _labels(spark, *texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r["labels"] for r in L.scan(df).orderBy("doc_id").collect()]
+
+
+def test_a_sentence_put_into_a_notice(spark):
+    """Eight words after the 30th, at two places, or a stray repetition between."""
+    w = L.TEMPLATES["mit-text"].split()
+    extra = "by the holder named above in this very file".split()
+    one = " ".join([*w[:30], *extra[:8], *w[30:]])
+    two = " ".join([*w[:20], *extra, *w[20:40], *extra, *w[40:]])
+    stray = " ".join([*w[:30], *w[2:6], "and so on", *w[30:]])
+    far = " ".join([*w[:30], *(["else"] * 60), *w[30:]])  # no longer one notice
+    assert _labels(spark, one, two, stray, far) == ["mit-text", "mit-text", "mit-text", ""]
+    df = spark.createDataFrame([(1, "intro " + one + " outro")], "doc_id long, text string")
+    (s,) = [r for r in L.spans(df, "text", "doc_id", L.template_positions(spark)).collect() if r["label"] == "mit-text"]
+    assert (s["first_word"], s["last_word"]) == (1, len(WORD.findall(one))) and s["cover"] > 0.9
+
+
+def test_a_failed_chain_keeps_its_notices(spark):
+    """Of a whole notice and the half of another behind it the whole one stays."""
+    w = L.TEMPLATES["mit-text"].split()
+    assert _labels(spark, " ".join([*w[:45], "x", *w[30:], *w[:20]])) == ["mit-text"]
+    assert _labels(spark, " ".join([*w, *w[:20], *w[40:], *w])) == ["mit-text"]
+
+
 def test_spans_are_where_the_template_stands(spark):
     text = "one two three " + L.TEMPLATES["gpl-3.0-line"] + " four " + L.TEMPLATES["gpl-3.0-line"]
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")

@@ -14,8 +14,7 @@ difference of their places, a missing pivot counting as place ``NEAREST``.
 smallest ``SHARE`` of the block (all that tie with the last of them) are ranked
 by Euclidean distance in double precision; the best of all blocks are merged by a
 window. ``SHARE`` is a share, not a count, so the index behaves alike at every
-size; 1.0 makes the search exact. Blocks no larger than ``EXACT`` are reranked
-whole.
+size; 1.0 makes the search exact. At least as many as are kept are reranked.
 
 Exact copies of a vector are indexed once, with their smallest ids, which is all
 that a list of k neighbours can show of them; equal queries are searched once.
@@ -37,10 +36,9 @@ from pyspark.sql import functions as F
 from starloom.llm.scratch import partitions, ship, stored
 
 PIVOTS = 256
-NEAREST = 32
+NEAREST = 64
 SHARE = 0.3
 BLOCK = 4096
-EXACT = 256
 QUERY_BLOCK = 4096
 K = 10
 
@@ -82,18 +80,18 @@ class InvertedFile:
         ).astype(np.int64)
 
 
-def search_block(vectors, queries, pivots, nearest: int, share: float, exact: int, keep: int):
+def search_block(vectors, queries, pivots, nearest: int, share: float, keep: int):
     """``(query, vector, distance)`` of the ``keep`` nearest found of each query,
     and all that tie with the last."""
     q, v, d = [], [], []
-    index = InvertedFile(vectors, pivots, nearest) if len(vectors) > exact and share < 1.0 else None
+    index = InvertedFile(vectors, pivots, nearest) if share < 1.0 else None
     order = orders(queries, pivots, nearest) if index else None
     for i, x in enumerate(queries):
         if index is None:
             found = np.arange(len(vectors))
         else:
             far = index.footrule(order[i])
-            n = min(len(far), max(exact, int(np.ceil(share * len(far)))))
+            n = min(len(far), max(keep, int(np.ceil(share * len(far)))))
             found = np.flatnonzero(far <= np.partition(far, n - 1)[n - 1])
         dist = np.sqrt(((vectors[found] - x) ** 2).sum(axis=1))
         if len(dist) > keep:
@@ -165,7 +163,7 @@ def nearest_neighbours(
         if not left.num_rows or not right.num_rows:
             return pa.table({"ask": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         q, v, d = search_block(
-            _matrix(left.column("v")), _matrix(right.column("v")), centres.value, nearest, share, EXACT, k + 1
+            _matrix(left.column("v")), _matrix(right.column("v")), centres.value, nearest, share, k + 1
         )
         ids, asks = left.column("id").to_numpy(), right.column("id").to_numpy()
         return pa.table({"ask": asks[q], "id": ids[v], "score": d})

@@ -64,6 +64,31 @@ def test_recall(spark, sf):
     assert np.mean(hit) >= 0.9
 
 
+@pytest.mark.parametrize("dims,least", [(64, 0.97), (256, 0.75)])
+def test_recall_of_a_full_block_without_structure(dims, least):
+    """Independent normal entries, the hardest case: nothing is near anything. In 256
+    dimensions the share falls short of 0.9, which the README states."""
+    rng = np.random.default_rng(0)
+    v = rng.normal(size=(P.BLOCK, dims))
+    queries, pivots = v[::100], v[rng.choice(len(v), P.PIVOTS, replace=False)]
+    q, found, _ = P.search_block(v, queries, pivots, P.NEAREST, P.SHARE, 11)
+    hit = 0
+    for i, x in enumerate(queries):
+        want = np.argsort(((v - x) ** 2).sum(axis=1), kind="stable")[:11]
+        hit += len(set(want.tolist()) & set(found[q == i].tolist())) - 1  # itself apart
+    assert hit / len(queries) / 10 >= least
+
+
+def test_a_small_block_is_searched_like_a_large_one():
+    """Also of a few vectors only a share is reranked."""
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(100, 16))
+    _, found, _ = P.search_block(v, v[:10], v[:64], P.NEAREST, 0.3, 30)
+    assert len(found) == 10 * 30
+    q, _, _ = P.search_block(v[:5], v[:2], v[:3], P.NEAREST, 0.3, 11)
+    assert np.bincount(q).tolist() == [5, 5]
+
+
 def test_few_and_no_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert found(P.nearest_neighbours(df, F.col("vec_id") == 0)) == {0: [(1, float(np.sqrt(2.0)))]}

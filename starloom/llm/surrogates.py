@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.scratch import stored
+from starloom.llm.scratch import stored, unused
 
 ATTEMPTS = 12
 KEY = "change-me"
@@ -66,8 +66,17 @@ PATTERNS = {
     "name": rf"(?<![\p{{L}}]){_TITLE}\s{_NAME}(?:\s{_NAME})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-# A cheap first look: no entity is without one of these.
-MAYBE = rf"[0-9@=:]|(?<![\p{{L}}]){_TITLE}\s"
+#: No entity is without one of these; a title that another begins stands for it.
+SIGNS = [*"0123456789@=:", "AKIA", *(t for t in MALE + FEMALE if not any(t != o and t.startswith(o) for o in MALE + FEMALE))]
+
+
+def _holds(text: Column) -> Column:
+    """Whether a text holds an entity. A search for plain signs comes first and spares
+    most texts without one the patterns."""
+    some = F.lit(False)
+    for sign in SIGNS:
+        some = some | F.contains(text, F.lit(sign))
+    return some & text.rlike(ANY)
 
 
 def _kind(match: Column) -> Column:
@@ -98,7 +107,7 @@ def detect(docs: DataFrame, key: str, text: str) -> DataFrame:
     match in its text), ``part``, ``kind``, ``canon``, ``raw``, ``before`` (what the
     surrogate keeps of the match in front of it)."""
     rows = docs.select(F.col(key).alias("key"), *_hashes(F.col(text)), F.col(text).alias("text"))
-    found = rows.where(F.col("text").rlike(ANY)).select(
+    found = rows.where(_holds(F.col("text"))).select(
         "key", "h1", "h2", F.posexplode(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).alias("no", "match")
     ).distinct()
     m = F.col("match")
@@ -273,23 +282,24 @@ def replace_entities(docs: DataFrame, key: str = "doc_id", text: str = "text", s
             F.min("before"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "shown"))), lambda s: s["shown"]), " ")
         ).alias("new")
     )
-    own = matches.groupBy(F.col("key").alias("_key"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).agg(
-        F.map_from_entries(F.collect_list(F.struct("no", "new"))).alias("_new")
+    key2, first, second, own_new = unused(docs.columns, "_key", "_h1", "_h2", "_new")
+    own = matches.groupBy(F.col("key").alias(key2), F.col("h1").alias(first), F.col("h2").alias(second)).agg(
+        F.map_from_entries(F.collect_list(F.struct("no", "new"))).alias(own_new)
     )
     t = F.col(text)
-    hit = F.coalesce(t.rlike(ANY), F.lit(False))
+    hit = F.coalesce(_holds(t), F.lit(False))
     h1, h2 = _hashes(t)
     both = docs.where(hit).join(
-        own, F.col(key).eqNullSafe(F.col("_key")) & (h1 == F.col("_h1")) & (h2 == F.col("_h2")), "left"
+        own, F.col(key).eqNullSafe(F.col(key2)) & (h1 == F.col(first)) & (h2 == F.col(second)), "left"
     )
     found = F.regexp_extract_all(t, F.lit(ANY), F.lit(0))
     # a match without a surrogate (a number that is no card) stays
-    new = F.transform(found, lambda m, i: F.coalesce(F.element_at(F.col("_new"), i), m))
+    new = F.transform(found, lambda m, i: F.coalesce(F.element_at(F.col(own_new), i), m))
     pieces = F.zip_with(F.split(t, ANY, -1), new, lambda s, r: F.concat(s, F.coalesce(r, F.lit(""))))
-    clean = F.when(F.col("_new").isNull(), t).otherwise(F.array_join(pieces, ""))
+    clean = F.when(F.col(own_new).isNull(), t).otherwise(F.array_join(pieces, ""))
     rewritten = both.select(
-        *[clean.alias(c) if c == text else F.col(c) for c in docs.columns],
-        F.coalesce(F.size("_new"), F.lit(0)).cast("long").alias(count),
+        *[clean.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns],
+        F.coalesce(F.size(own_new), F.lit(0)).cast("long").alias(count),
     )
     rest = docs.where(~hit).withColumn(count, F.lit(0).cast("long"))
     return rewritten.unionByName(rest)

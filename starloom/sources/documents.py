@@ -30,7 +30,7 @@ def read_documents(
     reader = reader.schema(schema) if schema is not None else reader
     df = reader.json(path)
     for field, value in (where or {}).items():
-        df = df.where(F.col(field).eqNullSafe(F.lit(value)))
+        df = df.where(F.col(field).isNull() if value is None else F.col(field) == F.lit(value))
     return df.drop("_id") if drop_id else df
 
 

@@ -49,9 +49,11 @@ UNIT = 63
 UNKNOWN_PENALTY = 10.0
 #: Bound of the units sent to the tasks.
 FREQUENT = 1 << 19
-BATCH = 2 << 20
-#: Bytes of text whose units are counted together before they leave a task.
-COUNT_BYTES = 8 << 20
+BATCH = 1 << 20
+#: Bytes of text whose units are counted together before they leave a task, and bytes of
+#: text or codes that become ids together.
+COUNT_BYTES = 4 << 20
+PART = 2 << 20
 
 
 # Bits of an edge's cost, piece id, start and end, from the lowest.
@@ -425,7 +427,7 @@ def encode(docs: DataFrame, key: str, text: str, pieces: Pieces, ids: str = "ids
 
     def run(batches, only_rare):
         codes = shared.value
-        for b in parts(batches, 2):
+        for b in parts(batches, 2, PART):
             texts, blobs, tails = b.column(2).to_pylist(), [], []
             for lo, held in _groups(texts):
                 name, first, data, begin, end = _cut(held)
@@ -459,10 +461,9 @@ def encode(docs: DataFrame, key: str, text: str, pieces: Pieces, ids: str = "ids
 
     def fill(batches):
         codes = shared.value
-        for whole in batches:
-            # a few documents at a time: what they unfold to is many times their codes
-            for b in (whole.slice(lo, 512) for lo in range(0, whole.num_rows, 512)):
-                yield _unfolded(b, codes, ids, decoder, check)
+        # a few documents at a time: what they unfold to is many times their codes
+        for b in parts(batches, 2, PART // 16):
+            yield _unfolded(b, codes, ids, decoder, check)
 
     schema = T.StructType([*schema.fields[:2], T.StructField(ids, T.ArrayType(T.IntegerType()))])
     if check:

@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-ARROW_BYTES = 16 << 20
+ARROW_BYTES = 8 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from starloom.llm.scratch import trim
+
 BATCH_BYTES = 1 << 20
 PART_BYTES = 8 << 20
 
@@ -58,7 +60,8 @@ def slices(texts: Sequence[bytes], limit: int = BATCH_BYTES) -> Iterator[tuple[i
 def parts(batches, at: int, limit: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
     """The Arrow batches in consecutive pieces of at most ``limit`` bytes of text
     in column ``at`` (one row at least), so that what is made of a piece at once
-    does not depend on how Spark cut the batches."""
+    does not depend on how Spark cut the batches. Behind the last one freed memory goes
+    back to the system, as Spark keeps the worker."""
     for b in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         lo = 0
@@ -67,6 +70,8 @@ def parts(batches, at: int, limit: int = PART_BYTES) -> Iterator[pa.RecordBatch]
             hi = max(lo + 1, int(np.searchsorted(ends, done + limit, side="right")))
             yield b.slice(lo, hi - lo)
             lo = hi
+    b = None
+    trim()
 
 
 def lowered(texts: Sequence[str | None]) -> list[bytes]:

@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import joins
+from starloom.operators import joins, keys
 from starloom.operators.joins import product_join
+from starloom.operators.keys import with_surrogate_key
 
 
 def test_a_product_of_different_rows_is_not_shuffled(spark, monkeypatch):
@@ -22,3 +23,16 @@ def test_few_and_many_copies_equal_a_join(spark, monkeypatch, few):
     right = spark.createDataFrame([(1, i) for i in range(1, 6) for _ in range(i * i)] + [(2, 1), (3, 1), (None, 2)], "d int, b int")
     want, got = left.join(right, "d"), product_join(left, right, ["d"], block=4, right_keys=right.select("d"))
     assert got.columns == want.columns and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_numbering_is_compiled(spark, monkeypatch):
+    rows = [(i % 5 or None, float(i * 7 % 50) / 3, f"a,\"{i}[]") for i in range(50)]
+    df = spark.createDataFrame(rows, "g int, x double, s string")
+    nested = with_surrogate_key(df, "k", ["g", "x", "s"], partitions=7)
+    assert "aggregate(" not in nested._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(keys, "NESTED", 2)
+    folded = with_surrogate_key(df, "k", ["g", "x", "s"], partitions=7)
+    assert "aggregate(" in folded._jdf.queryExecution().optimizedPlan().toString()
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    for keyed in (nested, folded):
+        assert [tuple(r)[:3] for r in keyed.orderBy("k").collect()] == order

@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import UnsupportedOperationException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,11 +113,61 @@ def _java_array(spark: SparkSession, kind, items: list):
     return out
 
 
-def read_exported_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read an export back (texts may hold newlines, hence multiLine); a line that
-    does not fit the schema fails the read."""
+def read_exported_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Read an export back; a line that does not fit the schema fails the read.
+
+    A file of any size is read by many tasks. Spark's ``multiLine`` reads it in one, so
+    it is asked for nowhere: where no record goes over a line's end, lines are records,
+    and otherwise lines are put together to records first (``_records``).
+    """
     configure(spark)
-    return spark.read.schema(schema).options(**CSV_READ_OPTIONS).csv(path)
+    lines = _lines(spark, path)
+    # a blank line or a lone carriage return is told apart only by whole records
+    seen = lines.agg(F.max((_quotes() % 2 == 1) | F.col("value").rlike(r"^[\x00-\x20]*$|\r"))).first()[0]
+    if not seen:
+        line = {**CSV_READ_OPTIONS, "multiLine": "false", "lineSep": "\n"}
+        return spark.read.schema(schema).options(**line).csv(path)
+    names = ", ".join("`{}` {}".format(f.name.replace("`", "``"), f.dataType.simpleString()) for f in schema.fields)
+    options = {k: v for k, v in CSV_READ_OPTIONS.items() if k != "header"} | {"lineSep": "\n"}
+    return _records(lines).select(F.from_csv("record", names, options).alias("r")).select("r.*")
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Each line with its file, the file's block that a task reads, and a number rising in it."""
+    return spark.read.text(path, lineSep="\n").select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("no"),
+    )
+
+
+def _quotes() -> Column:
+    return F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """The records of files with a header, whose quoted values may hold line ends.
+
+    A line begins a record where the quotes before it in its file are even. They are
+    summed in each block, and over the blocks of a file (a row a block); so is the
+    number of the record that the line belongs to.
+    """
+    file, block = ["file"], ["file", "block"]
+    earlier = Window.partitionBy(*file).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy(*block).orderBy("no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def before(df: DataFrame, column: str, name: str) -> DataFrame:
+        sums = df.groupBy(*block).agg(F.sum(column).alias("n"))
+        return df.join(F.broadcast(sums.select(*block, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(name))), block)
+
+    quoted = before(lines.withColumn("quotes", _quotes()), "quotes", "outside")
+    ahead = F.col("outside") + F.sum("quotes").over(so_far) - F.col("quotes")
+    begun = before(quoted.withColumn("begins", F.when(ahead % 2 == 0, 1).otherwise(0)), "begins", "records")
+    numbered = begun.withColumn("record_no", F.col("records") + F.sum("begins").over(so_far))
+    parts = F.sort_array(F.collect_list(F.struct("block", "no", "value")))
+    text = F.concat_ws("\n", F.transform(parts, lambda x: x["value"]))
+    # the first is the header; Spark skips empty lines
+    whole = numbered.where("record_no > 1").groupBy("file", "record_no").agg(text.alias("record"))
+    return whole.where("record <> ''").select("record")
 
 
 def export_all(tables: Iterable[tuple[str, DataFrame]], prefix: str) -> list[str]:

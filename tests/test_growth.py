@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from starloom.operators import joins, keys
 from starloom.operators.joins import product_join
 from starloom.operators.keys import with_surrogate_key
+from starloom.sinks.csv import export_csv_file, read_exported_csv
 
 
 def test_a_product_of_different_rows_is_not_shuffled(spark, monkeypatch):
@@ -36,3 +37,23 @@ def test_numbering_is_compiled(spark, monkeypatch):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
     for keyed in (nested, folded):
         assert [tuple(r)[:3] for r in keyed.orderBy("k").collect()] == order
+
+
+@pytest.mark.parametrize("text", ["plain", "line\nend, \"quoted\"\n\n", "a\r\nb\rc", '"\n"', " "])
+def test_one_file_is_read_by_many_tasks(spark, tmp_dir, text):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 7 > 0, F.concat(F.lit(text), F.col("id").cast("string"))).alias("s"),
+                                  F.when(F.col("id") % 3 > 0, F.lit(text)).alias("t")).repartition(3)
+    path = f"{tmp_dir}/one.csv"
+    export_csv_file(df, path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = read_exported_csv(spark, path, df.schema)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        if "FileScan csv" in plan:
+            assert got.rdd.getNumPartitions() > 3
+        assert ("FileScan csv" in plan) == (text == "plain") and "multiLine=true" not in plan
+        assert got.exceptAll(df).count() == df.exceptAll(got).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")

@@ -113,7 +113,7 @@ def _java_array(spark: SparkSession, kind, items: list):
     return out
 
 
-def read_exported_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_exported_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Read an export back; a line that does not fit the schema fails the read.
 
     A file of any size is read by many tasks. Spark's ``multiLine`` reads it in one, so
@@ -127,7 +127,8 @@ def read_exported_csv(spark: SparkSession, path: str, schema: T.StructType) -> D
     if not seen:
         line = {**CSV_READ_OPTIONS, "multiLine": "false", "lineSep": "\n"}
         return spark.read.schema(schema).options(**line).csv(path)
-    names = ", ".join("`{}` {}".format(f.name.replace("`", "``"), f.dataType.simpleString()) for f in schema.fields)
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    names = ", ".join("`{}` {}".format(f.name.replace("`", "``"), f.dataType.simpleString()) for f in fields)
     options = {k: v for k, v in CSV_READ_OPTIONS.items() if k != "header"} | {"lineSep": "\n"}
     return _records(lines).select(F.from_csv("record", names, options).alias("r")).select("r.*")
 

@@ -8,8 +8,8 @@ is as long as its run.
 
 *Lattice.* Over the distinct units of the corpus only: explode every substring
 of at most the longest piece's length, equi-join to the piece table, group the
-edges by unit, and fold Viterbi over them, ordered by their end, with Spark's
-``aggregate``. An edge is one number with room for units of up to ``UNIT``
+edges by unit, and fold Viterbi over them, ordered by their end, for the units of an
+Arrow batch together. An edge is one number with room for units of up to ``UNIT``
 characters; the few longer ones take the same Viterbi in their task. Scores are the model's; a character that is no piece becomes its
 UTF-8 bytes' pieces at ``UNKNOWN_PENALTY`` below the lowest score (or the unknown
 piece where the model has no byte pieces). Ties go to the longer last piece.
@@ -50,6 +50,8 @@ UNKNOWN_PENALTY = 10.0
 #: Bound of the units sent to the tasks.
 FREQUENT = 1 << 19
 BATCH = 1 << 20
+#: Units whose lattices are folded together.
+FOLD = 4096
 #: Bytes of text whose units are counted together before they leave a task, and bytes of
 #: text or codes that become ids together.
 COUNT_BYTES = 4 << 20
@@ -214,7 +216,23 @@ def long_path(unit: str, known: dict[str, tuple[int, int]], longest: int, unknow
     return path[::-1]
 
 
-def _long_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
+def _id_lists(n: np.ndarray, ids: np.ndarray, packed: bool) -> pa.Array:
+    """Lists of ids one after the other, as arrays or, ``packed``, as their bytes."""
+    first = np.append(0, np.cumsum(n)).astype(np.int32)
+    if packed:
+        return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(first * 4), pa.py_buffer(ids.astype("<i4").tobytes())])
+    return pa.ListArray.from_arrays(pa.array(first), pa.array(ids.astype(np.int32)))
+
+
+def _unknown(pieces: Pieces, character: str) -> list[int]:
+    return [pieces.byte[x] for x in character.encode()] if pieces.byte else [pieces.unknown]
+
+
+def _id_type(packed: bool) -> str:
+    return f"unit string, ids {'binary' if packed else 'array<int>'}"
+
+
+def _long_units(distinct: DataFrame, pieces: Pieces, packed: bool) -> DataFrame:
     ship(distinct.sparkSession)
     costs = pieces.costs()
     longest = pieces.longest
@@ -222,31 +240,66 @@ def _long_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
     def run(batches):
         known = {t: (i, c) for i, (t, c, n) in enumerate(zip(pieces.text, costs[:-1], pieces.normal, strict=True)) if n}
         for b in batches:
-            out = []
+            out, size = [], []
             for unit in b.column(0).to_pylist():
-                ids = []
+                done = len(out)
                 for piece, start in long_path(unit, known, longest, costs[-1]):
-                    if piece >= 0:
-                        ids.append(piece)
-                    else:
-                        ids += [pieces.byte[x] for x in unit[start].encode()] if pieces.byte else [pieces.unknown]
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], names=["unit", "ids"])
-
-    return distinct.mapInArrow(run, "unit string, ids array<int>")
-
-
-def encode_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
+                    out += [piece] if piece >= 0 else _unknown(pieces, unit[start])
+                size.append(len(out) - done)
+            ids = _id_lists(np.array(size, dtype=np.int64), np.array(out, dtype=np.int64), packed)
+            yield pa.RecordBatch.from_arrays([b.column(0), ids], names=["unit", "ids"])
+
+    return distinct.mapInArrow(run, _id_type(packed))
+
+
+def _best_paths(edge: np.ndarray, owner: np.ndarray, units: int):
+    """``(n, edges)``: the number of edges of each unit's best path, and these edges. Of
+    equal ones the edge that is least as a number is taken. ``owner`` tells an
+    edge's unit; every place of a unit ends an edge."""
+    end = edge >> (_COST + _ID + _PLACE)
+    order = np.lexsort((edge, owner, end))
+    edge, owner = edge[order], owner[order]
+    cut = np.append(0, np.cumsum(np.bincount(end)))
+    last = len(cut) - 2
+    cost, back = np.zeros((last + 1, units), dtype=np.int64), np.zeros((last + 1, units), dtype=np.int64)
+    length = np.zeros(units, dtype=np.int64)
+    for place in range(1, last + 1):
+        e, u = edge[cut[place] : cut[place + 1]], owner[cut[place] : cut[place + 1]]
+        value = cost[(e >> (_COST + _ID)) & ((1 << _PLACE) - 1), u] + (e & ((1 << _COST) - 1))
+        first = np.flatnonzero(np.diff(u, prepend=-1))
+        least = np.minimum.reduceat(value, first)
+        hit = np.flatnonzero(value == np.repeat(least, np.diff(np.append(first, len(u)))))
+        hit = hit[np.flatnonzero(np.diff(u[hit], prepend=-1))]
+        cost[place, u[hit]], back[place, u[hit]], length[u[hit]] = value[hit], e[hit], place
+    # back from the last place to the first
+    steps, at, n = [], length, np.zeros(units, dtype=np.int64)
+    which = np.flatnonzero(at)
+    while len(which):
+        e = back[at[which], which]
+        steps.append((which, e))
+        n[which] += 1
+        at[which] = (e >> (_COST + _ID)) & ((1 << _PLACE) - 1)
+        which = which[at[which] > 0]
+    out = np.empty(int(n.sum()), dtype=np.int64)
+    place = np.cumsum(n) - 1
+    for i, (which, e) in enumerate(steps):
+        out[place[which] - i] = e
+    return n, out
+
+
+def encode_units(distinct: DataFrame, pieces: Pieces, packed: bool = False) -> DataFrame:
     """``distinct`` (one row per ``unit``) with its ``ids``: the lattice and its fold,
-    and for units beyond an edge's room the same path without it."""
+    and for units beyond an edge's room the same path without it. ``packed`` gives
+    the ids' bytes, four each, lowest first."""
     over = F.length("unit") > UNIT
-    short, long = _short_units(distinct.where(~over), pieces), distinct.where(over)
+    short, long = _short_units(distinct.where(~over), pieces, packed), distinct.where(over)
     # most corpora have none: no task then holds the piece table for them
-    return short if long.isEmpty() else short.unionByName(_long_units(long, pieces))
+    return short if long.isEmpty() else short.unionByName(_long_units(long, pieces, packed))
 
 
-def _short_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
+def _short_units(distinct: DataFrame, pieces: Pieces, packed: bool) -> DataFrame:
     spark = distinct.sparkSession
+    ship(spark)
     # one task's units stay together through the join, so grouping them is no shuffle
     words = distinct.repartition(partitions(spark), "unit")
     spans = words.select("unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("s")).select(
@@ -264,54 +317,27 @@ def _short_units(distinct: DataFrame, pieces: Pieces) -> DataFrame:
         f" + shiftleft(cast(coalesce(id, {size}) as long), {_COST}) + coalesce(cost, {cost})"
     )
     lattice = found.groupBy("unit").agg(F.collect_list(edge).alias("edges"))
-    lattice = lattice.select("unit", F.sort_array("edges").alias("edges"))
-
-    def field(x, shift: int, bits: int):
-        return F.shiftright(x, shift).bitwiseAND((1 << bits) - 1).cast("int")
-
-    def end(x):
-        return F.shiftright(x, _COST + _ID + _PLACE).cast("int")
-
-    def start(x):
-        return field(x, _COST + _ID, _PLACE)
-
-    def piece(x):
-        return field(x, _COST, _ID)
-
-    # least cost, and the edge that gives it, of every place
-    def step(a, x):
-        value = F.get(a["cost"], start(x)) + x.bitwiseAND((1 << _COST) - 1)
-        more = F.struct(F.concat(a["cost"], F.array(value)).alias("cost"), F.concat(a["back"], F.array(x)).alias("back"))
-        instead = F.struct(
-            F.concat(F.slice(a["cost"], 1, end(x)), F.array(value)).alias("cost"),
-            F.concat(F.slice(a["back"], 1, end(x)), F.array(x)).alias("back"),
-        )
-        return F.when(F.size(a["cost"]) <= end(x), more).when(value < F.get(a["cost"], end(x)), instead).otherwise(a)
-
-    none = F.array(F.lit(0).cast("long"))
-    zero = F.struct(none.alias("cost"), none.alias("back"))
-    best = lattice.select("unit", F.aggregate("edges", zero, step, lambda a: a["back"]).alias("back"))
-
-    # back from the last place to the first
-    def walk(a, _):
-        x = F.get(F.col("back"), a["at"])
-        taken = F.struct(start(x).alias("at"), F.concat(F.array(x), a["path"]).alias("path"))
-        return F.when(a["at"] == 0, a).otherwise(taken)
-
-    origin = F.struct((F.size("back") - 1).alias("at"), F.array().cast("array<bigint>").alias("path"))
-    best = best.select("unit", F.aggregate("back", origin, walk, lambda a: a["path"]).alias("path"))
-
-    def fallback(x):
-        if not pieces.byte:
-            return F.array(F.lit(pieces.unknown))
-        raw = F.hex(F.encode(F.substr(F.col("unit"), start(x) + 1, F.lit(1)), "UTF-8"))
-        byte = lambda i: F.conv(F.substr(raw, 2 * i + 1, F.lit(2)), 16, 10).cast("int")
-        numbers = F.array(*[F.lit(i) for i in pieces.byte])
-        return F.transform(F.sequence(F.lit(0), (F.length(raw) / 2 - 1).cast("int")), lambda i: F.get(numbers, byte(i)))
 
-    plain = F.transform("path", lambda x: piece(x))
-    whole = F.flatten(F.transform("path", lambda x: F.when(piece(x) == size, fallback(x)).otherwise(F.array(piece(x)))))
-    return best.select("unit", F.when(F.exists("path", lambda x: piece(x) == size), whole).otherwise(plain).alias("ids"))
+    def fold(batches):
+        for b in (whole.slice(lo, FOLD) for whole in batches for lo in range(0, whole.num_rows, FOLD)):
+            edges = b.column(1)
+            owner = np.repeat(np.arange(b.num_rows), pc.list_value_length(edges).to_numpy())
+            n, path = _best_paths(edges.flatten().to_numpy(), owner, b.num_rows)
+            ids = (path >> _COST) & ((1 << _ID) - 1)
+            strange = np.flatnonzero(ids == size)
+            if len(strange):
+                # a character that is no piece becomes its bytes' pieces
+                unit = np.repeat(np.arange(b.num_rows), n)
+                start = (path >> (_COST + _ID)) & ((1 << _PLACE) - 1)
+                own = [_unknown(pieces, b.column(0)[unit[i]].as_py()[start[i]]) for i in strange]
+                more = np.ones(len(ids), dtype=np.int64)
+                more[strange] = [len(x) for x in own]
+                n = np.bincount(unit, weights=more, minlength=b.num_rows).astype(np.int64)
+                ids = np.repeat(ids, more)
+                ids[ids == size] = [x for o in own for x in o]
+            yield pa.RecordBatch.from_arrays([b.column(0), _id_lists(n, ids, packed)], names=["unit", "ids"])
+
+    return lattice.mapInArrow(fold, _id_type(packed))
 
 
 class Decoder:
@@ -333,7 +359,7 @@ class _Codes:
     """The frequent units by hash, and the ids of each."""
 
     def __init__(self, best: pa.Table):
-        """Of ``unit, ids`` rows, the most frequent first; no row becomes an object."""
+        """Of ``unit, ids`` rows (packed ids), the most frequent first; no row becomes an object."""
         unit, ids = (best.column(c).combine_chunks() for c in ("unit", "ids"))
         if not len(unit):
             self.name, self.rank = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int32)
@@ -344,8 +370,9 @@ class _Codes:
         name = hashes(raw[0].as_py() + b" " * 8, np.append(0, end[:-1]), end)
         order = np.argsort(name)
         self.name, self.rank = name[order], order.astype(np.int32)
-        self.first = np.append(0, np.cumsum(pc.list_value_length(ids).to_numpy().astype(np.int64)))
-        self.ids = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+        self.first = np.append(0, np.cumsum(pc.binary_length(ids).to_numpy().astype(np.int64) // 4))
+        raw = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), b"")
+        self.ids = np.frombuffer(raw[0].as_py(), dtype="<i4")
 
     def __len__(self) -> int:
         return len(self.name)
@@ -368,7 +395,7 @@ def _unpack(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
 
 
-def _filled(c: np.ndarray, codes: _Codes, tail: list[list[int]]) -> np.ndarray:
+def _filled(c: np.ndarray, codes: _Codes, tail: list[np.ndarray]) -> np.ndarray:
     """The ids of a text's codes, with those of its rare units in their places."""
     hole = np.flatnonzero(c == len(codes))
     first = codes.first if len(codes) else np.zeros(2, dtype=np.int64)
@@ -382,7 +409,7 @@ def _filled(c: np.ndarray, codes: _Codes, tail: list[list[int]]) -> np.ndarray:
     rare = np.repeat(own, n)
     index = np.arange(len(out)) - np.repeat(at, n) + np.repeat(first[c], n)
     out[~rare] = codes.ids[index[~rare]]
-    out[rare] = [i for t in tail for i in t]
+    out[rare] = np.concatenate(tail) if tail else ()
     return out
 
 
@@ -392,7 +419,7 @@ def _unfolded(b: pa.RecordBatch, codes: _Codes, ids: str, decoder: Decoder, chec
     for h, blob, own in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
         absent.append(blob is None)
         if blob is not None:
-            tail = [o["ids"] for o in sorted(own or (), key=lambda o: o["no"])]
+            tail = [np.frombuffer(o["ids"], dtype="<i4") for o in sorted(own or (), key=lambda o: o["no"])]
             out.append(_filled(_unpack(blob), codes, tail))
         if check:
             # the hash that Spark gave the text
@@ -414,7 +441,7 @@ def encode(docs: DataFrame, key: str, text: str, pieces: Pieces, ids: str = "ids
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
     counted = stored(count_units(rows.select("text")), "units")
-    table = stored(encode_units(counted.select("unit"), pieces), "unit-ids")
+    table = stored(encode_units(counted.select("unit"), pieces, packed=True), "unit-ids")
     # what is sent to the tasks is bounded in its units' length too
     brief = counted.where(F.length("unit") <= UNIT)
     often = brief.where(F.col("n") >= least_frequent(brief, "n", frequent))

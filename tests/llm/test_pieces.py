@@ -88,3 +88,18 @@ def test_empty_table_and_clash(spark, model):
 def test_query_round_trips(spark):
     got = P.op7_sentencepiece(spark, "/root/testdata/sf0.001").collect()
     assert len(got) == 200 and all(r["round_trip"] and r["n_pieces"] == len(r["ids"]) for r in got)
+
+
+def test_units_folded_together_take_the_path_of_each_alone(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(P, "FOLD", 3)
+    pieces = P.Pieces(["a", "b", "ab", "ba", "aba", " ", " a", "<unk>"], [-3.0, -3.0, -6.0, -5.0, -8.0, -1.0, -4.0, 0.0], [True] * 7 + [False], [], 7)
+    known = {t: (i, c) for i, (t, c, n) in enumerate(zip(pieces.text, pieces.costs()[:-1], pieces.normal, strict=True)) if n}
+    rng = np.random.default_rng(5)
+    units = {"".join(rng.choice(list("ab é"), n)) for n in rng.integers(1, 12, 60)} | {"é", " ", "ab" * 31, "ab" * 40}
+    frame = spark.createDataFrame([(u,) for u in units], "unit string")
+    want = {u: [7 if p < 0 else p for p, _ in P.long_path(u, known, pieces.longest, pieces.costs()[-1])] for u in units}
+    assert {r["unit"]: r["ids"] for r in P.encode_units(frame, pieces).collect()} == want
+    packed = P.encode_units(frame, pieces, packed=True).collect()
+    assert {r["unit"]: np.frombuffer(r["ids"], dtype="<i4").tolist() for r in packed} == want

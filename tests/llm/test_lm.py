@@ -154,3 +154,100 @@ def test_every_text_is_coded_once_and_every_window_is_dealt_once(spark, monkeypa
     windows = Counter(r["w"][i : i + size] for r in dealt for i in range(0, len(r["w"]), size))
     want = L.windows_of(np.concatenate(train), np.array([len(t) - 1 for t in train]))[0]
     assert windows == Counter(w.tobytes() for w in want) and all(0 <= r["shard"] < 5 for r in dealt)
+
+
+def some_trees(rng, sizes=(1, 3, 40, 700)):
+    """Members' masses and classes, of that many members each, and weights of their trees."""
+    mass = np.sort(rng.pareto(1.0, sum(sizes)) + 0.5)[::-1]  # the most frequent first
+    of = np.repeat(np.arange(L.HEAD, L.HEAD + len(sizes)), sizes).astype(np.uint8)
+    w = L.trees(mass, of)
+    w |= {k: rng.normal(0, 0.3, w[k].shape).astype(np.float32) for k in ("own", "deep")}
+    w["own"][0] = 0
+    return mass, of, w
+
+
+def test_members_of_a_class_are_a_distribution_given_the_context():
+    rng = np.random.default_rng(8)
+    mass, of, tree = some_trees(rng)
+    w, n = weights(5) | tree, len(mass)
+    assert tree["path"].shape[1] <= 5
+    # without what is learned, a member's probability is its share of its class
+    flat = w | {"deep": np.zeros_like(w["deep"])}
+    x, xm = rng.integers(0, L.HEAD, L.WINDOW), np.zeros(L.WINDOW, dtype=int)
+    x[3], xm[3] = of[50], 51
+    rows, own = np.tile(x, (n, 1)), np.tile(xm, (n, 1))
+    y, ym = rows.copy(), own.copy()
+    y[:, -1], ym[:, -1] = of, np.arange(1, n + 1)
+    got = {k: L.log_probabilities(v, rows, y, 0, (own, ym))[:, -1] for k, v in (("learned", w), ("not", flat))}
+    # that of the class alone, with the vector of the member that was read
+    alone = np.zeros_like(ym)
+    classes = L.log_probabilities(w, rows, y, 0, (own, alone))[:, -1]
+    for c in np.unique(of):
+        assert np.exp(got["learned"] - classes)[of == c].sum() == pytest.approx(1, abs=1e-4)
+        assert np.exp(got["not"] - classes)[of == c] == pytest.approx(mass[of == c] / mass[of == c].sum(), rel=1e-3)
+    # another context, other shares
+    rows[:, -1] = (x[-1] + 1) % L.HEAD
+    other = L.log_probabilities(w, rows, y, 0, (own, ym))[:, -1] - L.log_probabilities(w, rows, y, 0, (own, alone))[:, -1]
+    assert np.abs(other - (got["learned"] - classes))[of == of[-1]].max() > 0.01
+    # the member that was read counts, too
+    assert np.abs(L.log_probabilities(w, rows, y, 0, (alone, alone))[:, 4:] - L.log_probabilities(w, rows, y, 0, (own, alone))[:, 4:]).max() > 1e-3
+
+
+def test_gradients_of_members_by_differences():
+    rng = np.random.default_rng(9)
+    mass, of, tree = some_trees(rng)
+    w = weights(6) | tree
+    m = rng.integers(0, len(mass) + 1, (2, 4, L.WINDOW))
+    x, y = np.where(m > 0, of[m - 1], rng.integers(0, L.HEAD, m.shape))
+    valid = (rng.random(y.shape) < 0.8).astype(np.float32)
+    m[1][valid == 0] = 0
+    both = (m[0], m[1])
+    loss = lambda: -(L.log_probabilities(w, x, y, 0, both) * valid).sum(dtype=np.float64) / valid.sum()
+    g = L.gradients(w, x, y, valid, both)
+    for name in w.keys() & g.keys():
+        at, d = g[name] if name in ("own", "deep") else (None, g[name])
+        i = np.unravel_index(np.argmax(np.abs(d)), d.shape)
+        own = i if at is None else (at[i[0]], *i[1:])
+        old = w[name][own]
+        w[name][own] = old + 1e-2
+        up = loss()
+        w[name][own] = old - 1e-2
+        down = loss()
+        w[name][own] = old
+        assert (up - down) / 2e-2 == pytest.approx(d[i], rel=0.05, abs=1e-4), name
+
+
+def test_training_tells_members_of_one_class_by_what_comes_before():
+    counts = np.array([[i, 1000 if i < L.HEAD else 1] for i in range(2000)])
+    c = L.Classes(counts, 2000)
+    a, b = [np.flatnonzero(c.of == L.HEAD + 2)[i] for i in (0, -1)]
+    ids = np.array(([5, a, 6, b] * 5)[: L.WINDOW + 1])
+    rows, m = np.tile(c.of[ids], (20000, 1)), np.tile(c.member[ids], (20000, 1))
+    w = L.fresh() | L.trees(c.mass, c.shared)
+    done = L.train(w, rows, members=m)
+    x, xm = rows[:1, :-1].astype(int), m[:1, :-1].astype(int)
+    y, ym = rows[:1, 1:].astype(int), m[:1, 1:].astype(int)
+    swap = np.where(ym == c.member[a], c.member[b], np.where(ym == c.member[b], c.member[a], 0))
+    right, wrong = (L.log_probabilities(done, x, y, 0, (xm, t))[0, 4::2] for t in (ym, swap))
+    assert (right > wrong + 1).all()  # nothing but the context tells them
+    # and only what was met has moved; an average over shards takes it from those alone
+    met = L._times_met(done, m)
+    assert set(np.flatnonzero(met["own"])) == {c.member[a], c.member[b]}
+    for k in ("own", "deep"):
+        assert set(np.flatnonzero(np.abs(done[k] - w[k]).reshape(len(w[k]), -1).sum(axis=1))) == set(np.flatnonzero(met[k]))
+    t = L._table(done, len(rows), met)
+    back = L._with_rows(w, t["at"].to_numpy(), np.stack([t[f"x{i}"].to_numpy() for i in range(L.WIDTH)], axis=1))
+    assert all(np.array_equal(back[k], done[k]) for k in done)
+
+
+def test_a_rare_subword_is_scored_by_its_context(spark):
+    rng = np.random.default_rng(11)
+    v = L._vocabulary(open(L.VOCABULARY, "rb").read())
+    words = [w for w in (f"{a}{b}{c}" for a in "bcdfgklmnprst" for b in "aeiou" for c in "bdglmnprst") if len(v.encode([w])[0]) == 1]
+    head, (a, b) = words[: L.HEAD + 30], words[-2:]
+    text = [" ".join(w for _ in range(20) for w in (*rng.choice(head, 6), *((head[0], a) if rng.random() < 0.5 else (head[1], b)))) for _ in range(400)]
+    asked = [f"{head[2]} {head[i]} {w} {head[3]}" for i in (0, 1) for w in (a, b)]
+    df = spark.createDataFrame([*enumerate(text), *((1000 + i, t) for i, t in enumerate(asked))], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in L.score_texts(df, F.col("doc_id") < 1000).collect()}
+    right, wrong = got[1000] + got[1003], got[1001] + got[1002]
+    assert right > wrong + 0.3
